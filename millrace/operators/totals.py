@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def join_back(df: DataFrame, keys: Sequence[str], totals: Mapping[str, Column], where: Column | None = None) -> DataFrame:
@@ -33,10 +34,16 @@ def net_refunds(df: DataFrame, keys: Sequence[str], quantity: str, amount: str,
     sales of one transaction each carry the full total.  Rows outside ``where``
     pass through unchanged.
     """
-    netted = where if where is not None else F.lit(True)
+    netted = F.lit(True) if where is None else F.coalesce(where, F.lit(False))
     amount_kind = amount_type or df.schema[amount].dataType
-    total = join_back(df, keys, {"__quantity": F.sum(quantity), "__amount": F.sum(amount)}, where)
-    kept = total.filter(~F.coalesce(netted, F.lit(False)) | (F.col(quantity) >= 0))
+    # Text is read as a number first; what is no number is no sale.
+    typed = df.withColumns({
+        name: F.col(name).try_cast(kind)
+        for name, kind in ((quantity, quantity_type), (amount, amount_kind))
+        if isinstance(df.schema[name].dataType, T.StringType)
+    })
+    total = join_back(typed, keys, {"__quantity": F.sum(quantity), "__amount": F.sum(amount)}, where)
+    kept = total.filter(~netted | (F.col(quantity) >= 0))
     return kept.withColumns({
         quantity: F.when(netted, F.col("__quantity")).otherwise(F.col(quantity)).cast(quantity_type),
         amount: F.when(netted, F.col("__amount")).otherwise(F.col(amount)).cast(amount_kind),
