@@ -6,7 +6,7 @@ import importlib
 
 from cases.base import CASES
 
-for _module in ("lookups",):
+for _module in ("lookups", "keyed", "merges"):
     importlib.import_module(f"cases.{_module}")
 
 __all__ = ["CASES"]
