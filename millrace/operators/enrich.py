@@ -54,7 +54,7 @@ def first_after(starts: DataFrame, events: DataFrame, key: str, start: str, mome
     """
     salted = events.withColumn("__salt", F.pmod(F.xxhash64(*[col_of(c) for c in order], *take), F.lit(spread)))
     begin = starts.select(F.col(key).alias("__key"), F.col(start).alias("__start")).filter(F.col("__start").isNotNull())
-    begin = begin.withColumn("__copy", F.explode(F.sequence(F.lit(0), F.lit(spread - 1))).cast("bigint"))
+    begin = begin.withColumn("__copy", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(spread - 1).cast("bigint"))))
     later = salted.join(
         begin,
         (F.col(key) == F.col("__key")) & (F.col("__salt") == F.col("__copy")) & (F.col(moment) > F.col("__start")),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -50,18 +51,19 @@ def parse_drops(raw: DataFrame) -> DataFrame:
     )
 
 
-def load_drops(raw: DataFrame, stations: DataFrame, fact: DataFrame) -> DataFrame:
+def load_drops(raw: DataFrame, stations: DataFrame, fact: DataFrame, within_file: Sequence[str] = ()) -> DataFrame:
     """Fact after replacing the incoming files' rows; new rows continue its numbering.
 
-    A row number needs a total order: file name, then the row's own values.
+    Rows are numbered by file name, then ``within_file``, then all their values,
+    so that the order is total.
     """
     side = stations.select(F.col("CustomerCode").try_cast("int").alias("cust"), F.col("POSCode").try_cast("int").alias("pos"),
                            "StationKey", "SOR")
     drops = enrich(parse_drops(raw), side, {"CustomerCode": "cust", "StationCode": "pos"},
                    {"StationKey": "StationKey", "SOR": "SOR"})
     kept = slices.without_keys(fact, drops, ["FileName"])
-    order = ["FileName", *[n for n in drops.columns if n != "FileName"]]
-    numbered = number_rows(drops, order, "RowNumber", highest(kept, "RowNumber"))
+    order = dict.fromkeys(["FileName", *within_file, *drops.columns])
+    numbered = number_rows(drops, list(order), "RowNumber", highest(kept, "RowNumber"))
     return kept.unionByName(conform_table(numbered, fact.schema, allow_missing=True))
 
 
