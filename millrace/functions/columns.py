@@ -138,8 +138,3 @@ def thai_text(latin: ColumnOrName) -> Column:
     """Thai text from a column that was read byte by byte as ISO-8859-1."""
     return F.translate(col_of(latin), _THAI_FROM, _THAI_TO)
 
-
-def differs(left: Column, right: Column, null_is_change: bool = False) -> Column:
-    """Null-safe inequality; optionally two NULLs count as a change."""
-    changed = ~left.eqNullSafe(right)
-    return changed | (left.isNull() & right.isNull()) if null_is_change else changed

@@ -102,12 +102,16 @@ def number_rows(df: DataFrame, order: Sequence[ColumnOrName], into: str,
 
 
 def allocate_keys(df: DataFrame, key: str, order: Sequence[ColumnOrName], existing: DataFrame | None = None,
-                  tasks: int | None = None) -> DataFrame:
+                  tasks: int | None = None, stage: bool = False) -> DataFrame:
     """Give rows without a key the next numbers in business-key order.
 
     Numbers continue after the greatest key of ``existing`` (default: of ``df``).
+    Rows with and without a key are two reads of ``df``; ``stage`` writes a
+    computed ``df`` once so that its joins do not run for each of them.
     """
     kind = df.schema[key].dataType
+    if stage:
+        df = materialise(df, "keyed")
     known = df.filter(F.col(key).isNotNull())
     fresh = number_rows(df.filter(F.col(key).isNull()), order, key, highest(existing if existing is not None else df, key), tasks)
     # A plain cast: a number beyond the key's type must fail, not become NULL.

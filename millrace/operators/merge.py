@@ -16,12 +16,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.functions.columns import differs, stamp
+from millrace.functions.columns import stamp
 from millrace.functions.conform import fill_columns
 from millrace.operators.lookup import assert_unique
 
 ACTION = "action"
-_COPY = "__copy"
+_COPY, _APPLY, _HIT = "__copy", "__apply", "__hit"
 
 
 def t(name: str) -> Column:
@@ -39,9 +39,16 @@ def same_keys(on: Mapping[str, str]) -> Column:
 
 
 def any_differs(columns: Mapping[str, str] | Sequence[str], null_is_change: bool = False) -> Column:
-    """True if any tracked column differs between target and source."""
-    pairs = columns.items() if isinstance(columns, Mapping) else [(c, c) for c in columns]
-    return reduce(Column.__or__, [differs(t(a), s(b), null_is_change) for a, b in pairs])
+    """True if any tracked column differs between target and source, NULL-safe.
+
+    With ``null_is_change`` two NULLs count as a change.
+    """
+    tests = []
+    for mine, theirs in on_map(columns).items():
+        tests.append(f"NOT (t.`{mine}` <=> s.`{theirs}`)")
+        if null_is_change:
+            tests.append(f"(t.`{mine}` IS NULL AND s.`{theirs}` IS NULL)")
+    return F.expr(" OR ".join(tests))
 
 
 def on_map(on: Mapping[str, str] | Sequence[str]) -> dict[str, str]:
@@ -71,6 +78,18 @@ def _cell(frame: DataFrame, name: str, value: Column | None) -> Column:
     return column.cast(_kind(frame, name)).alias(name)
 
 
+def _marked(target: DataFrame, source: DataFrame, condition: Column, on: Mapping[str, str], when: Column | None) -> DataFrame:
+    """Target left join source, with whether a row was hit and whether to change it.
+
+    Both are columns of their own, so a long comparison is evaluated once per row
+    and not once per output column.
+    """
+    hit = s(next(iter(on.values()))).isNotNull()
+    apply = hit if when is None else hit & F.coalesce(when, F.lit(False))
+    joined = target.alias("t").join(source.alias("s"), condition, "left")
+    return joined.withColumns({_HIT: hit, _APPLY: apply})
+
+
 def merge(target: DataFrame, source: DataFrame, on: Mapping[str, str] | Sequence[str],
           update: Mapping[str, Column], insert: Mapping[str, Column] | None,
           when: Column | None = None, labels: Sequence[str] = ("NOT MATCHED", "SAME", "UPDATED", "INSERT"),
@@ -86,9 +105,8 @@ def merge(target: DataFrame, source: DataFrame, on: Mapping[str, str] | Sequence
     if unique:
         assert_unique(source, list(on.values()), "merge source")
     not_matched, same, updated, inserted = labels
-    joined = target.alias("t").join(source.alias("s"), same_keys(on), "left")
-    hit = s(next(iter(on.values()))).isNotNull()
-    apply = hit if when is None else hit & F.coalesce(when, F.lit(False))
+    joined = _marked(target, source, same_keys(on), on, when)
+    hit, apply = F.col(_HIT), F.col(_APPLY)
     what = F.when(apply, updated).when(hit, same).otherwise(not_matched)
     kept = joined.select(
         *[
@@ -179,9 +197,9 @@ def scd2_status(target: DataFrame, source: DataFrame, on: Mapping[str, str] | Se
         assert_unique(source, list(on.values()), "status source")
     day, clock = stamp(as_of, hours)
     opened = t(start[0]).isNotNull() & t(end[0]).isNull()
-    joined = target.alias("t").join(source.alias("s"), same_keys(on) & opened, "left")
-    hit = s(next(iter(on.values()))).isNotNull()
-    changed = hit & ~F.coalesce(t(status) == s(status), F.lit(False))
+    differing = ~F.coalesce(t(status) == s(status), F.lit(False))
+    joined = _marked(target, source, same_keys(on) & opened, on, differing)
+    hit, changed = F.col(_HIT), F.col(_APPLY)
     copies = joined.withColumn(_COPY, F.explode(F.when(changed, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
     new = F.col(_COPY) == 1
     closing = changed & ~new
@@ -229,9 +247,8 @@ def scd1_current(target: DataFrame, source: DataFrame, on: Mapping[str, str] | S
         source = fill_columns(source, defaults)
     day, clock = stamp(as_of, hours)
     opened = t(start[0]).isNotNull() & t(end[0]).isNull()
-    joined = target.alias("t").join(source.alias("s"), same_keys(on) & opened, "left")
-    hit = s(next(iter(on.values()))).isNotNull()
-    apply = hit & any_differs(tracked, null_is_change)
+    joined = _marked(target, source, same_keys(on) & opened, on, any_differs(tracked, null_is_change))
+    apply = F.col(_APPLY)
     key_of = {mine: theirs for mine, theirs in on.items()}
 
     def text(name: str, value: Column) -> Column:

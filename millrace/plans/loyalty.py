@@ -53,7 +53,7 @@ def update_merchants(dimension: DataFrame, staged: DataFrame, as_of, hours: int
     tracked = [name for name in source.columns if name != "RowId"]
     merged = upsert_changed(target, conform_types(source, dimension.schema), ["RowId"], tracked,
                             {"LoadDateKey": day, "LoadTimeKey": clock}, action=None)
-    return allocate_keys(merged, key, ["RowId"], existing=dimension)
+    return allocate_keys(merged, key, ["RowId"], existing=dimension, stage=True)
 
 
 def update_products(dimension: DataFrame, staged: DataFrame, key: str = "ProductKey") -> DataFrame:
@@ -68,7 +68,7 @@ def update_products(dimension: DataFrame, staged: DataFrame, key: str = "Product
     target = fill_by_type(dimension.filter(F.col(key).isNotNull()), strict=False).withColumn("rowid", F.trim("rowid"))
     schema = T.StructType([field for field in dimension.schema if field.name != key])
     refreshed = refresh_keep_keys(target, conform_table(renamed, schema), ["rowid"], key)
-    return allocate_keys(refreshed.select(*dimension.columns), key, ["rowid"], existing=dimension)
+    return allocate_keys(refreshed.select(*dimension.columns), key, ["rowid"], existing=dimension, stage=True)
 
 
 # ---- cards -----------------------------------------------------------------------
@@ -130,7 +130,7 @@ def update_cards(dimension: DataFrame, staged: DataFrame, as_of, hours: int = LO
         null_is_change=null_is_change, action=None,
     )
     order = ["CardNum", "StartDateKey", "StartTimeKey"]
-    numbered = allocate_keys(current, "CardProfileKey", order, existing=dimension)
+    numbered = allocate_keys(current, "CardProfileKey", order, existing=dimension, stage=True)
     flagged = flag_latest(numbered, "MemberID", ["StartDateKey", "CardIssuedDateKey"], "CardProfileKey",
                           "LastStatusMember", F.col("EndDateKey").isNull(), rank_open_only)
     return conform_table(flagged, dimension.schema)

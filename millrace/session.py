@@ -20,6 +20,8 @@ RECOMMENDED = {
     "spark.sql.files.maxPartitionBytes": "256MB",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.compression.codec": "zstd",
+    # Do not look up the Python call site of every column expression.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     # A lost executor must not leave reliable checkpoints behind for ever.
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
