@@ -64,14 +64,19 @@ def key_text(key_date: ColumnOrName, key_time: ColumnOrName) -> Column:
     return F.concat(col_of(key_date).cast("string"), F.lpad(col_of(key_time).cast("string"), 6, "0"))
 
 
+def without(text: ColumnOrName, part: str) -> Column:
+    """Remove every occurrence of a literal; cheaper than a regular expression."""
+    return F.replace(col_of(text), F.lit(part), F.lit(""))
+
+
 def squeeze(name: ColumnOrName) -> Column:
     """Remove every blank."""
-    return F.regexp_replace(col_of(name), " ", "")
+    return without(name, " ")
 
 
 def clock_to_key(text: ColumnOrName) -> Column:
     """``HH:mm`` text to ``HHmm00`` text."""
-    return F.concat(F.regexp_replace(col_of(text), ":", ""), F.lit("00"))
+    return F.concat(without(text, ":"), F.lit("00"))
 
 
 def text_or(text: ColumnOrName, default: str, longer_than: int = 1) -> Column:

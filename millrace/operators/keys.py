@@ -81,14 +81,10 @@ def number_rows(df: DataFrame, order: Sequence[ColumnOrName], into: str,
     ``order`` must be a total order; its last columns break ties and also let
     the range partitioner cut through a value many rows share.
     """
-    spark = df.sparkSession
-    tasks = tasks or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = [col_of(c) for c in order]
-    placed = (
-        df.repartitionByRange(tasks, *order)
-        .sortWithinPartitions(*order)
-        .withColumn(_PLACE, F.monotonically_increasing_id())
-    )
+    # Without a fixed count adaptive execution merges neighbouring small ranges.
+    ranged = df.repartitionByRange(tasks, *order) if tasks else df.repartitionByRange(*order)
+    placed = ranged.sortWithinPartitions(*order).withColumn(_PLACE, F.monotonically_increasing_id())
     placed = materialise(placed, "numbering")
     # monotonically_increasing_id: task number in the upper bits, place in the lower 33.
     task = F.shiftright(F.col(_PLACE), 33)

@@ -40,7 +40,7 @@ def parse_drops(raw: DataFrame) -> DataFrame:
         F.col("_c2").try_cast("int").alias("StationCode"),
         drop_date.try_cast("int").alias("DropDate"),
         drop_time.try_cast("int").alias("DropTime"),
-        F.regexp_replace("_c5", " ", "").alias("DropDateTime"),
+        c.without("_c5", " ").alias("DropDateTime"),
         clock_text(F.trim(F.regexp_replace("_c5", r".* ", ""))).alias("DropTimeText"),
         transfer_date.try_cast("int").alias("TranferDate"),
         transfer_time.try_cast("int").alias("TranferTime"),
@@ -108,7 +108,7 @@ def statement_amount(text: Column, exact: bool = False) -> Column:
     """Whole units of an amount with thousands separators; text without decimals is no amount."""
     trimmed = F.trim(text)
     if exact:
-        return F.regexp_replace(trimmed, ",", "").try_cast("decimal(18,2)")
+        return c.without(trimmed, ",").try_cast("decimal(18,2)")
     whole = F.regexp_replace(F.regexp_extract(trimmed, r"^([^.]+)\..*", 1), r"[.,]", "")
     return whole.try_cast("decimal(18,2)")
 

@@ -20,6 +20,7 @@ from millrace.operators import slices
 from millrace.operators.ledger import SYSTEM_A, SYSTEM_B
 from millrace.operators.lookup import Lookup, Split, lookup_any, mapping_table
 from millrace.operators.totals import net_refunds
+from millrace.scratch import materialise
 
 IS_B = "IsFlowCo"
 NO_STATION, NO_PRODUCT = "Mismatch StationKey", "Mismatch ProductKey"
@@ -77,7 +78,7 @@ def _payment() -> dict[str, Column]:
     in_a = ~F.col(IS_B)
     paid = c.text_or("PAY_Time", "999999")
     ended = F.when(F.length("End_Time") > 1, c.clock_to_key("End_Time")).otherwise("999999")
-    paid_key = F.regexp_replace(paid, ":", "")
+    paid_key = c.without(paid, ":")
     return _timed() | {
         "PAY_Date": F.when(in_a, c.text_or("PAY_Date", "00000000")),
         "PAY_Time": F.when(in_a, paid),
@@ -110,7 +111,7 @@ def _points() -> dict[str, Column]:
 
 
 def _free() -> dict[str, Column]:
-    return _named() | {"TransTimeKey": F.rpad(F.regexp_replace("TransTime", ":", ""), 6, "0")}
+    return _named() | {"TransTimeKey": F.rpad(c.without("TransTime", ":"), 6, "0")}
 
 
 _AS_PRODUCT = {PRODUCT: "ProductKey"}
@@ -181,10 +182,12 @@ def noise(grade: str = "GradeNumber") -> Column:
 
 
 def load_feed(staged: DataFrame, feed: str, stations: DataFrame, mapping: DataFrame | None = None,
-              drop_noise: Column | None = None, unique: bool = False) -> Split:
+              drop_noise: Column | None = None, unique: bool = False, stage: bool = False) -> Split:
     """Prepared, looked-up rows of one feed; ``Error`` tells why a row is rejected.
 
     ``drop_noise`` replaces the feed's own predicate for rejects not worth keeping.
+    ``stage`` writes the looked-up rows once, so that netting and both halves of
+    the result read them instead of repeating the lookups.
     """
     rule = RULES[feed]
     rows = prepare(staged, feed).withColumn("__system", _system())
@@ -197,6 +200,8 @@ def load_feed(staged: DataFrame, feed: str, stations: DataFrame, mapping: DataFr
             Lookup(titled, {rule.product.code: "SourceKey", rule.product.title: "SourceTitle", "__system": "SourceName"}, [PRODUCT]),
             Lookup(placed, {rule.product.code: "SourceKey", "StationKey": "StationKey", "__system": "SourceName"}, [PRODUCT]),
         ], NO_PRODUCT, unique)
+    if stage:
+        split = split.map(lambda frame: materialise(frame, feed.lower()))
     return _finish(split, feed, rule, drop_noise)
 
 
@@ -255,7 +260,7 @@ def run_feed(staged: DataFrame, feed: str, stations: DataFrame, mapping: DataFra
     old = slices.keys_of_names([fact, rejects], ledger, names).join(current, "FileKey", "left_anti")
     if replay:
         replayed = slices.without_keys(replayed, old, ["FileKey"])
-    split = load_feed(replayed, feed, stations, mapping)
+    split = load_feed(replayed, feed, stations, mapping, stage=True)
     new_fact, new_rejects = to_tables(split, fact.schema, rejects.schema, feed)
     outcome = ledgers.FeedOutcome(superseded=old, loaded=current)
     return Batch(

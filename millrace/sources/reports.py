@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.functions.columns import decode_file_name
+from millrace.functions.columns import decode_file_name, without
 from millrace.functions.conform import conform_table
 
 
@@ -21,7 +21,7 @@ def read_texts(spark: SparkSession, paths: str | Sequence[str], charset: str = "
 
 def clean_header(cell: Column) -> Column:
     """Header name without dots and outer blanks; ``G/L`` becomes ``G_L``."""
-    return F.trim(F.regexp_replace(F.regexp_replace(cell, r"\.", ""), "G/L", "G_L"))
+    return F.trim(F.replace(without(cell, "."), F.lit("G/L"), F.lit("G_L")))
 
 
 def report_lines(texts: DataFrame, text: str = "text", skip: int = 5, after_header: int = 0,
