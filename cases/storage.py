@@ -121,12 +121,10 @@ def raw_feed_scan(spark, sf):
         F.col("FileName").endswith(".csv").alias("has_name"))
 
 
-@case(f"with {_NAMES} select count(distinct file_name) as files, cast(0 as bigint) as empty_files from named")
+@case(f"with {_NAMES} select count(distinct file_name) as files from named")
 def raw_file_list(spark, sf):
-    """Non-empty and empty files, found without reading them."""
-    folder = _write_raw(spark, sf)
-    files = feeds.list_files(spark, f"{folder}/*")
-    return files.agg(F.count(F.when(F.col("length") > 0, 1)).alias("files"), F.count(F.when(F.col("length") == 0, 1)).alias("empty_files"))
+    """Files found without reading them."""
+    return feeds.list_files(spark, f"{_write_raw(spark, sf)}/*").agg(F.count(F.lit(1)).alias("files"))
 
 
 @case("""select o_orderkey, o_custkey, cast(o_totalprice as double) as total_price, cast(null as varchar) as note from orders""")

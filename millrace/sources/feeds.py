@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -119,16 +119,30 @@ def clean_staging(staged: DataFrame, schema: T.StructType | None = None) -> Data
 
 
 def list_files(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """Path, decoded name and size of files; their content is not read."""
+    """Path, decoded name and size of the non-empty files; their content is not read."""
     files = spark.read.format("binaryFile").load(paths).select("path", "length")
     return files.withColumn("FileName", decode_file_name("path"))
 
 
+def _plain_path(path: str) -> Column:
+    """A path without URL encoding and with one slash after the scheme, as the two listings differ in both."""
+    decoded = F.url_decode(F.replace(F.col(path), F.lit("+"), F.lit("%2B")))
+    return F.regexp_replace(decoded, r"^(\w+):/+", "$1:/")
+
+
 def empty_files(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    return list_files(spark, paths).filter(F.col("length") == 0)
+    """Path and decoded name of the zero-byte files.
+
+    A scan never visits a file without bytes, so they are the listed files the
+    scan does not return.  The listing is the one Spark plans the scan from.
+    """
+    found = spark.read.format("binaryFile").load(paths)
+    listed = spark.createDataFrame([(path,) for path in found.inputFiles()], "path string")
+    listed = listed.withColumn("__plain", _plain_path("path"))
+    scanned = found.select(F.regexp_replace("path", r"^(\w+):/+", "$1:/").alias("__plain"))
+    return listed.join(scanned, "__plain", "left_anti").select("path", decode_file_name("path").alias("FileName"))
 
 
 def incoming_files(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """Names, systems and feeds of the non-empty files, ready for the ledger."""
-    names = list_files(spark, paths).filter(F.col("length") > 0).select("FileName").distinct()
-    return ledgers.parse_file_name(names)
+    return ledgers.parse_file_name(list_files(spark, paths).select("FileName").distinct())
