@@ -33,6 +33,18 @@ def partition_overwrite(spark, sf):
     return store.by_path(spark, path).filter("l_returnflag <> 'A'")
 
 
+@case("""select o_orderkey, case when o_orderpriority = '5-LOW' then -o_totalprice else o_totalprice end as o_totalprice, o_orderstatus,
+  case when o_orderpriority = '5-LOW' then '4-NOT SPECIFIED' else o_orderpriority end as o_orderpriority from orders""")
+def partition_upsert(spark, sf):
+    """Rows move to another partition: theirs is emptied, the other one grows, the rest stays unread."""
+    orders, path = tables(spark, sf, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus", "o_orderpriority"), scratch_path(spark, "upsert")
+    parts = ["o_orderstatus", "o_orderpriority"]
+    store.write(orders, path, "overwrite", parts)
+    moved = orders.filter("o_orderpriority = '5-LOW'").withColumns({"o_orderpriority": F.lit("4-NOT SPECIFIED"), "o_totalprice": -F.col("o_totalprice")})
+    store.upsert_partitions(spark, path, moved, ["o_orderkey"], parts, orders.schema)
+    return store.by_path(spark, path, orders.schema)
+
+
 @case("select l_orderkey, l_linenumber, l_partkey, l_quantity from lineitem where l_orderkey not in (select o_orderkey from orders where o_orderstatus = 'F')")
 def versioned_overwrite(spark, sf):
     """A table replaced by a result computed from itself."""

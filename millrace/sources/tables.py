@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.functions.conform import try_cast_columns
+from millrace.functions.conform import distinct_keys, try_cast_columns
 from millrace.operators.lookup import Split
+from millrace.operators.merge import on_map, upsert_full
+from millrace.scratch import materialise
 
 # ---- scans -------------------------------------------------------------------
 
@@ -89,6 +92,67 @@ def truncate(spark: SparkSession, path: str, schema: T.StructType) -> None:
     write(spark.createDataFrame([], schema), path, "overwrite")
 
 
+# ---- rewriting only what a merge touches -------------------------------------------
+
+
+def touched_partitions(target: DataFrame, source: DataFrame, on: Mapping[str, str] | Sequence[str],
+                       partition_by: Sequence[str]) -> DataFrame:
+    """Partitions that hold a row the source replaces, or that receive a source row."""
+    on = on_map(on)
+    keys = source.select(*[F.col(theirs).alias(mine) for mine, theirs in on.items()])
+    replaced = target.select(*dict.fromkeys([*on, *partition_by])).join(keys, list(on), "left_semi")
+    return distinct_keys([replaced, source], list(partition_by))
+
+
+def in_partitions(df: DataFrame, partitions: DataFrame) -> DataFrame:
+    """Rows of the listed partitions.
+
+    The values of each partition column become a literal filter, which prunes
+    folders when the scan is planned; a semi join, NULL-safe, then keeps exactly
+    the listed combinations.  There is one listed row per partition, no more.
+    """
+    listed = partitions.collect()
+    for i, name in enumerate(partitions.columns):
+        values = {row[i] for row in listed}
+        known = F.col(name).isin([v for v in values if v is not None])
+        df = df.filter(known | F.col(name).isNull() if None in values else known)
+    side = partitions.toDF(*[f"__{name}" for name in partitions.columns])
+    same = reduce(Column.__and__, [F.col(name).eqNullSafe(F.col(f"__{name}")) for name in partitions.columns])
+    return df.join(side, same, "left_semi")
+
+
+def rewrite_partitions(spark: SparkSession, path: str, touched: DataFrame, partition_by: Sequence[str],
+                       change: Callable[[DataFrame], DataFrame], schema: T.StructType | None = None) -> None:
+    """Replace the content of some partitions by a function of it; the others are not read or written.
+
+    The new content is stored before the old one goes.  A partition left without
+    rows is removed.
+    """
+    touched = materialise(touched.select(*partition_by).distinct(), "touched")
+    table = by_path(spark, path, schema)
+    fresh = materialise(change(in_partitions(table, touched)), "rewritten")
+    folder = F.regexp_replace("_metadata.file_path", "/[^/]+$", "")
+    folders = in_partitions(table.select(*partition_by, folder.alias("__folder")), touched).distinct()
+    filled = fresh.select(*[F.col(name).alias(f"__{name}") for name in partition_by]).distinct()
+    same = reduce(Column.__and__, [F.col(name).eqNullSafe(F.col(f"__{name}")) for name in partition_by])
+    emptied = folders.join(filled, same, "left_anti")
+    # One row per emptied partition.
+    gone = [row[0] for row in emptied.select(F.url_decode(F.replace("__folder", F.lit("+"), F.lit("%2B")))).collect()]
+    overwrite_partitions(fresh, path, partition_by)
+    _, fs = _file_system(spark, path)
+    for name in gone:
+        fs.delete(spark._jvm.org.apache.hadoop.fs.Path(name), True)
+
+
+def upsert_partitions(spark: SparkSession, path: str, source: DataFrame, on: Mapping[str, str] | Sequence[str],
+                      partition_by: Sequence[str], schema: T.StructType | None = None) -> None:
+    """Full-row upsert into a partitioned table that rewrites only the partitions it touches."""
+    target = by_path(spark, path, schema)
+    touched = touched_partitions(target, source, on, partition_by)
+    rewrite_partitions(spark, path, touched, partition_by,
+                       lambda part: upsert_full(part.select(*target.columns), source, on, action=None), schema)
+
+
 # ---- versions: overwrite a table that is being read ----------------------------
 
 _VERSION = re.compile(r"version=(\d+)$")

@@ -1,10 +1,13 @@
 """Run cases next to their SQL in DuckDB and compare schema and every value.
 
     python -m tests.check_cases [folder] [case ...]
+
+PLAIN_SESSION=1 uses a session without the recommended settings.
 """
 
 from __future__ import annotations
 
+import os
 import sys
 import time
 from collections import Counter
@@ -30,8 +33,8 @@ def kind(text: str) -> str:
     return text.lower() if text.startswith("DECIMAL") else SAME_TYPE.get(text, f"?{text}")
 
 
-def compare(spark, db, folder: str, run, sql: str | None) -> list[str]:
-    frame = run(spark, folder)
+def compare(db, frame, sql: str | None) -> list[str]:
+    """What differs between a frame and the result of the SQL; empty if nothing does."""
     columns = sorted(frame.columns)
     rows = [tuple(row) for row in frame.select(*columns).collect()]
     if sql is None:
@@ -59,14 +62,19 @@ def compare(spark, db, folder: str, run, sql: str | None) -> list[str]:
 def main() -> int:
     from cases import CASES
     from millrace.session import local_session
+    from pyspark.sql import SparkSession
 
     folder = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     wanted = sys.argv[2:] or list(CASES)
-    spark, db, bad = local_session(8), connect(folder), 0
+    if os.environ.get("PLAIN_SESSION") == "1":
+        spark = SparkSession.builder.master("local[8]").getOrCreate()
+    else:
+        spark = local_session(8)
+    db, bad = connect(folder), 0
     for name in wanted:
         start = time.time()
         try:
-            problems = compare(spark, db, folder, CASES[name].run, CASES[name].sql)
+            problems = compare(db, CASES[name].run(spark, folder), CASES[name].sql)
         except Exception as error:  # report and go on with the next case
             problems = [f"{type(error).__name__}: {str(error)[:600]}"]
         bad += bool(problems)

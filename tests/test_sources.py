@@ -112,6 +112,28 @@ def test_write_and_overwrite(spark, frame, tmp_path):
     assert rows_of(tables.by_path(spark, path)) == [(1, "a"), (2, "b")]
 
 
+def test_partition_upsert_touches_only_what_it_must(spark, frame, tmp_path):
+    path, schema = str(tmp_path / "p"), "k int, v string, p string"
+    tables.write(frame(schema, (1, "a", "x y"), (2, "b", "01"), (3, "c", "z+%"), (4, "d", "01"), (9, "n", None)), path, "overwrite", ["p"])
+    untouched = {f for f in spark.read.parquet(path).inputFiles() if "p=01" in f}
+    source = frame(schema, (1, "A", "new"), (3, "C", "new"), (5, "E", "x y"), (6, "F", None))
+    target = tables.by_path(spark, path, source.schema)
+    assert rows_of(tables.touched_partitions(target, source, ["k"], ["p"])) == [(None,), ("new",), ("x y",), ("z+%",)]
+    tables.upsert_partitions(spark, path, source, ["k"], ["p"], source.schema)
+    got = tables.by_path(spark, path, source.schema)
+    assert rows_of(got) == [(1, "A", "new"), (2, "b", "01"), (3, "C", "new"), (4, "d", "01"), (5, "E", "x y"), (6, "F", None), (9, "n", None)]
+    assert untouched <= set(got.inputFiles())
+
+
+def test_touched_partitions_prune_the_scan(spark, frame, tmp_path):
+    path = str(tmp_path / "p")
+    tables.write(spark.range(1000).selectExpr("id as k", "id % 50 as p"), path, "overwrite", ["p"])
+    part = tables.in_partitions(tables.by_path(spark, path), frame("p int", 3, 4))
+    plan = part._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "p#" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert part.count() == 40
+
+
 def test_versions(spark, frame, tmp_path):
     path = str(tmp_path / "v")
     with pytest.raises(FileNotFoundError):
