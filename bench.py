@@ -22,12 +22,12 @@ from millrace.session import local_session  # noqa: E402
 
 # One query per family of operators.
 HEADLINE = [
-    "lookup_match", "lookup_reject", "lookup_cascade", "lookup_chain_rejects", "refund_netting", "latest_per_customer",
+    "lookup_split", "lookup_match", "lookup_reject", "lookup_cascade", "lookup_chain_rejects", "refund_netting", "latest_per_customer",
     "latest_flag", "surrogate_keys", "upsert_whole_rows", "upsert_changed_rows", "scd2_segment", "scd1_attributes",
     "dim_snapshot_merge", "slice_replace", "reload_removal", "mtd_supersede", "first_event_after",
     "resolve_member_attribute", "flag_propagation", "transfer_diff", "business_day", "daily_sales_fact",
     "feed_fuel_fact", "transaction_load", "card_registration", "metrics_scalar", "metrics_grouped", "metrics_reconcile",
-    "file_keys", "versioned_overwrite",
+    "file_keys", "card_profile", "versioned_overwrite", "partition_upsert",
 ]
 
 

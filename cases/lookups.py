@@ -190,3 +190,10 @@ def quarantine_replay(spark, sf):
     old = _parts(spark, sf)[1].rejected.select("l_orderkey", "l_linenumber", "l_partkey")
     wider = mapping_table(part, F.col("p_size") <= 40, ["p_partkey", "p_brand"])
     return lookup(old, wider, {"l_partkey": "p_partkey"}, ["p_brand"], NO_PART).frame.withColumnRenamed("Error", "error")
+
+
+@case(f"""
+select l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, p_brand, case when p_partkey is null then '{NO_PART}' end as error
+from lineitem left join (select * from part where {PARTS}) on l_partkey = p_partkey""")
+def lookup_split(spark, sf):
+    return _parts(spark, sf)[1].frame.withColumnRenamed("Error", "error")

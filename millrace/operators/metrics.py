@@ -57,12 +57,24 @@ def _scalar(df: DataFrame, check: Check) -> Column:
         "sum": lambda: F.sum(_passing(check, _exact(column, df.schema[check.column].dataType))),
         "min": lambda: F.min(_passing(check, column)),
         "max": lambda: F.max(_passing(check, column)),
-        "firstdate": lambda: F.min(_passing(check, F.date_format(column, "yyyyMMdd"))),
-        "lastdate": lambda: F.max(_passing(check, F.date_format(column, "yyyyMMdd"))),
+        "firstdate": lambda: _extreme_day(df, check, F.min),
+        "lastdate": lambda: _extreme_day(df, check, F.max),
     }
     return value[check.kind]()
 
 
+def _extreme_day(df: DataFrame, check: Check, extreme) -> Column:
+    """First or last day of a column as ``yyyyMMdd``.
+
+    A day or moment is formatted once per result, as formatting keeps its order;
+    text has to be read as a date row by row.
+    """
+    column = F.col(check.column)
+    if isinstance(df.schema[check.column].dataType, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        return F.date_format(extreme(_passing(check, column)), "yyyyMMdd")
+    return extreme(_passing(check, F.date_format(column, "yyyyMMdd")))
+
+
 def _labels(check: Check, group_key: str, group_value: Column) -> list[Column]:
     return [
         F.lit(check.index).cast("int").alias("index"),
