@@ -37,11 +37,6 @@ def day(name: str) -> Column:
     return F.date_format(name, "yyyyMMdd").cast("int")
 
 
-def money(name: str) -> Column:
-    """Exact cents of a floating-point amount."""
-    return F.col(name).cast("decimal(18,2)")
-
-
 def number(column: Column | str) -> Column:
     column = F.col(column) if isinstance(column, str) else column
     return column.cast("double")

@@ -2,8 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from cases.base import case, money, number, tables
-from millrace.functions.conform import distinct_keys, union_by_name, union_onto
+from cases.base import case, number, tables
+from millrace.functions.conform import distinct_keys, union_onto
 from millrace.operators.lookup import Lookup, enrich, flag_present, lookup, lookup_any, mapping_table
 from millrace.operators.totals import net_refunds
 

@@ -41,11 +41,8 @@ class ProductRule:
 
 @dataclass(frozen=True)
 class FeedRule:
-    """Table names, preparation and lookups of one feed."""
+    """Preparation and lookups of one feed."""
 
-    staging: str
-    fact: str
-    rejects: str
     prepare: Callable[[], dict[str, Column]]
     product: ProductRule | None = None
     renames: Mapping[str, str] = field(default_factory=dict)
@@ -116,25 +113,24 @@ def _free() -> dict[str, Column]:
 
 _AS_PRODUCT = {PRODUCT: "ProductKey"}
 RULES: dict[str, FeedRule] = {
-    "TRN": FeedRule("stagingPosTrn", "factposfuelsales", "mismatchpostrn", _fuel,
+    "TRN": FeedRule(_fuel,
                     ProductRule("Grade", "ReGradeTitle", "TRANSACTION", "TRANSACTION"), _AS_PRODUCT),
-    "PMT": FeedRule("stagingPosPayment", "factpospayment", "mismatchpospayment", _payment),
-    "LUB": FeedRule("stagingPosLube", "factposlube", "mismatchposlube", _timed),
+    "PMT": FeedRule(_payment),
+    "LUB": FeedRule(_timed),
     "AR_TRANSACTIONS": FeedRule(
-        "stagingPosAR", "factposar", "mismatchposar", _receivable,
-        ProductRule("GradeNumber", "ReGradeTitle", "AR", "TRANSACTION"),
+        _receivable, ProductRule("GradeNumber", "ReGradeTitle", "AR", "TRANSACTION"),
         {PRODUCT: "GradeKey", "LBAmount": "LubeAmount", "AttendantNumber": "AttendeeNumber"}),
-    "DSC": FeedRule("stagingPosDiscount", "factposdiscount", "mismatchposdiscount", _timed),
+    "DSC": FeedRule(_timed),
     "EOD_METERS": FeedRule(
-        "stagingPosMeter", "factposmeter", "mismatchposmeter", _graded("GradeNumber"),
+        _graded("GradeNumber"),
         ProductRule("GradeNumber", "GradeTitle", "METERS", "METERS", untitled_systems=(SYSTEM_A,)), _AS_PRODUCT),
-    "POINTS": FeedRule("stagingPosPoints", "factpospoints", "mismatchpospoints", _points),
-    "REFUND": FeedRule("stagingPosRefund", "factposrefund", "mismatchposrefund", _timed),
+    "POINTS": FeedRule(_points),
+    "REFUND": FeedRule(_timed),
     "EOD_TANKS": FeedRule(
-        "stagingPosTank", "factpostank", "mismatchpostank", _graded("GradeNumber"),
+        _graded("GradeNumber"),
         ProductRule("GradeNumber", "GradeTitle", "TANKS", "TANKS", fallback_systems=(SYSTEM_A,)), _AS_PRODUCT,
         station_by_code_only=(SYSTEM_B,)),
-    "FREE": FeedRule("stagingPosFree", "factposfree", "mismatchposfree", _free),
+    "FREE": FeedRule(_free),
 }
 
 

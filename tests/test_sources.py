@@ -180,7 +180,7 @@ def test_type_names(name, precision, scale, want):
 
 
 def test_tables_from_metadata(spark, tmp_path):
-    (tmp_path / "meta.csv").write_text("TableName,LakehouseName,ColumnName,DataType,Precision,Scale,forPartition\nt,l,k,int,,,0\nt,l,m,decimal,10,2,0\nt,l,p,str,,,1\nu,l,d,DateType,,,0\n")
+    (tmp_path / "meta.csv").write_text("TableName,Place,ColumnName,DataType,Precision,Scale,forPartition\nt,l,k,int,,,0\nt,l,m,decimal,10,2,0\nt,l,p,str,,,1\nu,l,d,DateType,,,0\n")
     meta = tables.metadata(spark, str(tmp_path / "meta.csv"))
     created = tables.create_tables(spark, meta, str(tmp_path / "db"))
     assert {n: s.simpleString() for n, s in created.items()} == {"t": "struct<k:int,m:decimal(10,2),p:string>", "u": "struct<d:date>"}
