@@ -180,17 +180,21 @@ placed as (select *, station_key is not null as ok from staged left join sites o
 """
 
 
-def _sales(spark, sf):
+def _sales_tables(spark, sf):
     line, supplier, part = tables(spark, sf, "lineitem", "supplier", "part")
     staged = line.select(
         "l_orderkey", "l_linenumber", F.col("l_shipdate").alias("CalendarDay"), F.col("l_suppkey").cast("int").alias("SoldtoPartyKey"),
         F.when(F.col("l_linenumber") <= 6, F.col("l_linenumber").cast("string")).alias("DivisionKey"),
         F.concat(F.lit("M"), F.expr("l_partkey % 400").cast("string")).alias("MaterialKey"), F.col("l_quantity").alias("Quantity"))
-    stations = supplier.filter("s_suppkey % 6 <> 0").select(F.col("s_suppkey").cast("string").alias("CustomerCode"),
-                                                            (F.col("s_suppkey") + 10).cast("int").alias("StationKey"))
+    stations = supplier.select(F.col("s_suppkey").cast("string").alias("CustomerCode"), (F.col("s_suppkey") + 10).cast("int").alias("StationKey"))
     mapping = part.filter("p_partkey < 300").select(
         F.lit("SALES").alias("SourceName"), F.lit("DailySales").alias("SourceFile"),
         F.concat(F.lit("M"), F.col("p_partkey").cast("string")).alias("SourceKey"), (F.col("p_partkey") + 1).cast("int").alias("MappingKey"))
+    return staged, stations, stations.filter("cast(CustomerCode as int) % 6 <> 0"), mapping
+
+
+def _sales(spark, sf):
+    staged, _, stations, mapping = _sales_tables(spark, sf)
     return sales.load_sales(staged, stations, mapping, "SALES", file_key=77)
 
 
@@ -216,6 +220,70 @@ def daily_sales_rejects(spark, sf):
     return _sales(spark, sf).rejected.select("l_orderkey", "l_linenumber", F.col("MaterialKey").alias("material"), F.col("Error").alias("error"))
 
 
+_SALES_FACT = T.StructType([T.StructField(n, k) for n, k in (
+    ("l_orderkey", T.LongType()), ("l_linenumber", T.IntegerType()), ("StationKey", T.IntegerType()), ("ProductKey", T.IntegerType()),
+    ("DateKey", T.IntegerType()), ("FileKey", T.IntegerType()))])
+_SALES_REJECTS = T.StructType([T.StructField(n, k) for n, k in (
+    ("l_orderkey", T.LongType()), ("l_linenumber", T.IntegerType()), ("CalendarDay", T.TimestampNTZType()), ("SoldtoPartyKey", T.IntegerType()),
+    ("DivisionKey", T.StringType()), ("MaterialKey", T.StringType()), ("FileKey", T.IntegerType()), ("Error", T.StringType()))])
+
+
+def _sales_load(spark, sf):
+    """Lines of even orders were loaded as files 1..4 by year; lines of odd orders of 1998 come as a month-to-date file."""
+    staged, _, stations, mapping = _sales_tables(spark, sf)
+    odd = F.expr("l_orderkey % 2 = 1")
+    year = F.year("CalendarDay")
+    old = sales.load_sales(staged.filter(~odd).withColumn("FileKey", year), stations, mapping, "SALES")
+    fact, rejects = sales.to_tables(old, _SALES_FACT, _SALES_REJECTS)
+    from millrace.operators import ledger as ledgers
+    keys = staged.select(year.alias("FileKey")).distinct().select("FileKey", F.concat(F.lit("MTD"), "FileKey").alias("FileName"))
+    ledger = ledgers.new_rows(keys, "SALES", "DailySales", ledgers.LOADED, AS_OF)
+    return sales.load_file(staged.filter(odd & (year == 1998)), stations, mapping, "SALES", fact, rejects, ledger, 9000, "MTD", AS_OF, month_to_date=True)
+
+
+_OLD_AND_NEW = f"""
+with {_SALES},
+dated as (select *, cast(strftime(l_shipdate, '%Y') as integer) as y, cast(strftime(l_shipdate, '%Y%m%d') as integer) as d,
+  case when not ok then 'Mismatch StationKey' when division in ('02', '04') and material not in (select material from products) then 'Mismatch ProductKey' end as error
+  from placed where not ok or division is not null),
+now_ as (select *, case when l_orderkey % 2 = 0 then y else 9000 end as file_key from dated where l_orderkey % 2 = 0 or y = 1998),
+older as (select distinct file_key from now_ where error is null and file_key <> 9000 and d in (select d from now_ where file_key = 9000 and error is null))
+"""
+
+
+@case(_OLD_AND_NEW + """
+select l_orderkey, l_linenumber, file_key, d as date_key, cast(null as varchar) as error from now_ where error is null and file_key not in (select file_key from older)
+union all select l_orderkey, l_linenumber, file_key, null, error from now_ where error is not null and file_key not in (select file_key from older)""")
+def daily_sales_month(spark, sf):
+    done = _sales_load(spark, sf)
+    loaded = done.fact.select("l_orderkey", "l_linenumber", "FileKey", "DateKey", F.lit(None).cast("string").alias("error"))
+    waiting = done.rejects.select("l_orderkey", "l_linenumber", "FileKey", F.lit(None).cast("int").alias("DateKey"), F.col("Error").alias("error"))
+    return loaded.unionByName(waiting).toDF("l_orderkey", "l_linenumber", "file_key", "date_key", "error")
+
+
+@case(_OLD_AND_NEW + """
+select file_key, cast(case when file_key in (select file_key from older) then 6 else 1 end as smallint) as status from (select distinct y as file_key from (select cast(strftime(l_shipdate, '%Y') as integer) as y from lineitem))
+union all select 9000, cast(1 as smallint)""")
+def daily_sales_ledger(spark, sf):
+    return _sales_load(spark, sf).ledger.select(F.col("FileKey").alias("file_key"), F.col("LoadStatus").alias("status"))
+
+
+@case(f"""
+with {_SALES},
+waiting as (select * from placed where not ok or (division in ('02', '04') and material not in (select material from products)))
+select l_orderkey, l_linenumber, case when division in ('02', '04') and material not in (select material from products) then 'Mismatch ProductKey' end as error
+from waiting where division is not null""")
+def daily_sales_replay(spark, sf):
+    """All stations are known by now, so only products are still missing."""
+    staged, every, known, mapping = _sales_tables(spark, sf)
+    rejects = sales.to_tables(sales.load_sales(staged, known, mapping, "SALES", file_key=77), _SALES_FACT, _SALES_REJECTS)[1]
+    from millrace.operators.ledger import LEDGER
+    empty = spark.createDataFrame([], LEDGER)
+    done = sales.replay_rejects(every, mapping, "SALES", spark.createDataFrame([], _SALES_FACT), rejects, empty)
+    loaded = done.fact.select("l_orderkey", "l_linenumber", F.lit(None).cast("string").alias("error"))
+    return loaded.unionByName(done.rejects.select("l_orderkey", "l_linenumber", F.col("Error").alias("error")))
+
+
 @case("""
 with t as (select distinct lpad(p_size, 2, '0') as k, p_brand as b from part where p_size < 20),
 src as (select distinct lpad(cast(p_size as varchar), 2, '0') as k, p_brand as b from part)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -10,9 +11,12 @@ from pyspark.sql import types as T
 
 from millrace.functions import columns as c
 from millrace.functions.conform import conform_table, constant_row
+from millrace.operators import ledger as ledgers
+from millrace.operators import slices
 from millrace.operators.keys import latest_per_key
 from millrace.operators.lookup import ERROR, Lookup, Split, lookup, lookup_any, mapping_table
 from millrace.operators.merge import insert_only, merge, s, unseen
+from millrace.scratch import materialise
 from millrace.sources.reports import match_columns
 
 NO_STATION, NO_PRODUCT = "Mismatch StationKey", "Mismatch ProductKey"
@@ -74,6 +78,42 @@ def to_tables(split: Split, fact: T.StructType, rejects: T.StructType) -> tuple[
     return conform_table(loaded, fact, allow_missing=True), conform_table(split.rejected, rejects, allow_missing=True)
 
 
+@dataclass(frozen=True)
+class Loaded:
+    """Table contents after a load."""
+
+    fact: DataFrame
+    rejects: DataFrame
+    ledger: DataFrame
+
+
+def load_file(staged: DataFrame, stations: DataFrame, mapping: DataFrame, source_name: str, fact: DataFrame,
+              rejects: DataFrame, ledger: DataFrame, file_key: int, file_name: str, as_of, hours: int = 0,
+              category: str = "SALES", subcategory: str = "DailySales", month_to_date: bool = False) -> Loaded:
+    """Append one file's sales and rejects and note it as loaded.
+
+    A month-to-date file supersedes the feed's files that share a day with it.
+    """
+    split = load_sales(staged, stations, mapping, source_name, file_key=file_key)
+    split = split.map(lambda frame: materialise(frame, "sales"))
+    new_fact, new_rejects = to_tables(split, fact.schema, rejects.schema)
+    fact, rejects = fact.unionByName(new_fact), rejects.unionByName(new_rejects)
+    row = staged.sparkSession.createDataFrame([(file_key, file_name)], "FileKey int, FileName string")
+    if month_to_date:
+        ledger, fact, rejects = slices.supersede_month_to_date(fact, rejects, ledger, file_key, category, subcategory)
+    noted = ledgers.new_rows(row, category, subcategory, ledgers.LOADED, as_of, hours)
+    return Loaded(fact, rejects, ledgers.append(ledger, noted))
+
+
+def replay_rejects(stations: DataFrame, mapping: DataFrame, source_name: str, fact: DataFrame, rejects: DataFrame,
+                   ledger: DataFrame) -> Loaded:
+    """Try quarantined sales again; files with loaded rows and no reject left count as loaded."""
+    split = load_sales(rejects.drop(ERROR), stations, mapping, source_name)
+    split = split.map(lambda frame: materialise(frame, "replay"))
+    new_fact, new_rejects = to_tables(split, fact.schema, rejects.schema)
+    return Loaded(fact.unionByName(new_fact), new_rejects, ledgers.mark_replayed(ledger, new_fact, new_rejects))
+
+
 def station_columns(prefix: str) -> dict[str, str]:
     """Sales columns of the station dimension (prefixed) and the workbook columns they mirror."""
     # How the dimension abbreviates the workbook's names.

@@ -63,7 +63,7 @@ def test_classification_by_code_or_prefix(frame):
 
 
 def test_file_name_is_decoded(frame):
-    assert one(frame, "p string", ("file:/a/b/20250312%2399TRN.CSV",), c.decode_file_name("p")) == ("20250312#99TRN.CSV",)
+    assert one(frame, "p string", ("file:/a/b/20240203%2399TRN.CSV",), c.decode_file_name("p")) == ("20240203#99TRN.CSV",)
 
 
 def test_thai_bytes(frame):

@@ -68,7 +68,7 @@ def test_purge(frame):
 
 
 def test_file_names(frame):
-    files = frame("FileName string", "20250312#991300000FREEFLOWCO.CSV", "20250312#99AR_TRANSACTIONS.CSV", "20250312#99CPU.CSV", "20250312#99PMTFLOWCO.CSV")
+    files = frame("FileName string", "20240203#990000001FREEFLOWCO.CSV", "20240203#99AR_TRANSACTIONS.CSV", "20240203#99CPU.CSV", "20240203#99PMTFLOWCO.CSV")
     assert rows_of(ledgers.parse_file_name(files), "CategoryName", "SubCategoryName") == [
         ("FIRSTPRO", "AR TRANSACTIONS"), ("FLOWCO", "FREE"), ("FLOWCO", "PAYMENT")]
 
