@@ -1,4 +1,8 @@
-"""Every operator on the generated tables, each with the same result stated in SQL."""
+"""Every operator on the generated tables, each with the same result stated in SQL.
+
+Conditions on keys give the rows of a table their roles - target or source, known
+or unknown, loaded before or arriving now.  Between the roles every row is used.
+"""
 
 from __future__ import annotations
 

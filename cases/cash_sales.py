@@ -58,7 +58,7 @@ def _cash_fact(spark, sf):
 
 @case(f"""
 with {_DROPS},
-old as (select * from drops where event_id % 2 = 0), new as (select * from drops where event_id % 2 = 1 and file_name < 'f5'),
+old as (select * from drops where event_id % 2 = 0 or file_name >= 'f5'), new as (select * from drops where event_id % 2 = 1 and file_name < 'f5'),
 kept as (select * from old where file_name not in (select file_name from new))
 select cast(event_id as integer) as packet, station_key, cast(station as integer) as station, drop_date, drop_time, move_date, move_time, cast(amount as double) as amount,
   file_name, event_id as row_number from kept
@@ -67,7 +67,7 @@ select cast(event_id as integer), station_key, cast(station as integer), drop_da
   (select max(event_id) from kept) + row_number() over (order by file_name, event_id) from new""")
 def cash_drops(spark, sf):
     raw, stations = _raw_drops(spark, sf)
-    old = _cash_fact(spark, sf).filter("PacketNumber % 2 = 0").withColumn("RowNumber", F.col("PacketNumber").cast("bigint"))
+    old = _cash_fact(spark, sf).filter("PacketNumber % 2 = 0 or FileName >= 'f5'").withColumn("RowNumber", F.col("PacketNumber").cast("bigint"))
     incoming = raw.filter("cast(_c0 as bigint) % 2 = 1 and FileName < 'f5'")
     loaded = cash.load_drops(incoming, stations, old, ["PacketNumber"])
     return loaded.select(
@@ -229,11 +229,11 @@ _SALES_REJECTS = T.StructType([T.StructField(n, k) for n, k in (
 
 
 def _sales_load(spark, sf):
-    """Lines of even orders were loaded as files 1..4 by year; lines of odd orders of 1998 come as a month-to-date file."""
+    """A file per year was loaded; the odd orders' lines of 1998 come as a month-to-date file."""
     staged, _, stations, mapping = _sales_tables(spark, sf)
     odd = F.expr("l_orderkey % 2 = 1")
     year = F.year("CalendarDay")
-    old = sales.load_sales(staged.filter(~odd).withColumn("FileKey", year), stations, mapping, "SALES")
+    old = sales.load_sales(staged.filter(~(odd & (year == 1998))).withColumn("FileKey", year), stations, mapping, "SALES")
     fact, rejects = sales.to_tables(old, _SALES_FACT, _SALES_REJECTS)
     from millrace.operators import ledger as ledgers
     keys = staged.select(year.alias("FileKey")).distinct().select("FileKey", F.concat(F.lit("MTD"), "FileKey").alias("FileName"))
@@ -246,7 +246,7 @@ with {_SALES},
 dated as (select *, cast(strftime(l_shipdate, '%Y') as integer) as y, cast(strftime(l_shipdate, '%Y%m%d') as integer) as d,
   case when not ok then 'Mismatch StationKey' when division in ('02', '04') and material not in (select material from products) then 'Mismatch ProductKey' end as error
   from placed where not ok or division is not null),
-now_ as (select *, case when l_orderkey % 2 = 0 then y else 9000 end as file_key from dated where l_orderkey % 2 = 0 or y = 1998),
+now_ as (select *, case when l_orderkey % 2 = 1 and y = 1998 then 9000 else y end as file_key from dated),
 older as (select distinct file_key from now_ where error is null and file_key <> 9000 and d in (select d from now_ where file_key = 9000 and error is null))
 """
 

@@ -211,10 +211,10 @@ def _batch(spark, sf):
     # Two sendings of ten names each for system A and B share a key here; 10..19 sends the names of 0..9 again.
     stations = _stations(spark, sf)
     staged = rows.filter("FileKey between 10 and 19")
-    known = pos.load_feed(rows.filter("FileKey between 0 and 4"), "LUB", stations)
+    known = pos.load_feed(rows.filter("FileKey between 0 and 9"), "LUB", stations)
     fact_schema = T.StructType([T.StructField(n, k) for n, k in _BATCH_TYPES])
     reject_names = ["TransNumber", "ReceiptNumber", "Part", "FileKey", "StationKey", "CustomerCode", "POSCode", "StationName", "TransTime", "Error"]
-    fact = known.matched.select(*fact_schema.names).unionByName(rows.filter("FileKey between 20 and 29").select(
+    fact = known.matched.select(*fact_schema.names).unionByName(rows.filter("FileKey between 20 and 29 or FileKey >= 40").select(
         *fact_schema.names[:4], F.lit(1).alias("StationKey")))
     # Rejected rows of 30..39 wait with a station name that has since been corrected.
     waiting = rows.filter("FileKey between 30 and 39").select(
@@ -229,8 +229,8 @@ def _batch(spark, sf):
 
 
 @case(_STATION_ONLY + f"""
-select {_ID}, case when file_key between 20 and 29 then 1 else sk end as station_key from st
-where (file_key between 20 and 29) or (file_key between 10 and 19 and sk is not null) or (file_key between 30 and 39 and sk is not null)""")
+select {_ID}, case when file_key between 20 and 29 or file_key >= 40 then 1 else sk end as station_key from st
+where (file_key between 20 and 29) or file_key >= 40 or (file_key between 10 and 19 and sk is not null) or (file_key between 30 and 39 and sk is not null)""")
 def feed_batch_fact(spark, sf):
     return _out(_batch(spark, sf).fact, {"StationKey": "station_key"})
 
@@ -241,6 +241,6 @@ def feed_batch_rejects(spark, sf):
 
 
 @case(f"""
-with {_BASE} select distinct file_key, cast(case when file_key between 0 and 4 then 4 else 1 end as smallint) as status from base""")
+with {_BASE} select distinct file_key, cast(case when file_key between 0 and 9 then 4 else 1 end as smallint) as status from base""")
 def feed_batch_ledger(spark, sf):
     return _batch(spark, sf).ledger.select(F.col("FileKey").alias("file_key"), F.col("LoadStatus").alias("status"))

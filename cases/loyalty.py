@@ -339,12 +339,12 @@ def _terminals(spark, sf):
 
     target = rows("c_custkey % 2 = 0", F.concat(F.lit("m"), "c_nationkey"), F.nullif("c_mktsegment", F.lit("BUILDING")))
     moved = F.when(F.expr("c_custkey % 9 = 0"), "moved").otherwise(F.concat(F.lit("M"), "c_nationkey"))
-    return target, rows("c_custkey % 3 = 0", moved, F.nullif("c_mktsegment", F.lit("FURNITURE")))
+    return target, rows("c_custkey % 3 = 0 or c_custkey % 2 = 1", moved, F.nullif("c_mktsegment", F.lit("FURNITURE")))
 
 
 @case("""
 with d as (select c_custkey as k, 'M' || c_nationkey as mid, nullif(c_mktsegment, 'BUILDING') as st from customer where c_custkey % 2 = 0),
-s as (select c_custkey as k, case when c_custkey % 9 = 0 then 'MOVED' else 'M' || c_nationkey end as mid, nullif(c_mktsegment, 'FURNITURE') as st from customer where c_custkey % 3 = 0),
+s as (select c_custkey as k, case when c_custkey % 9 = 0 then 'MOVED' else 'M' || c_nationkey end as mid, nullif(c_mktsegment, 'FURNITURE') as st from customer where c_custkey % 3 = 0 or c_custkey % 2 = 1),
 j as (select coalesce(d.k, s.k) as k, d.k as dk, s.k as sk, d.mid as dm, s.mid as sm, d.st as ds, s.st as ss,
   d.k is null or (s.k is not null and (d.mid <> s.mid or d.st is distinct from s.st)) as chg from d full join s on d.k = s.k)
 select 'T' || k as tid, case when chg then sm else dm end as mid, case when chg then ss else ds end as status,
@@ -358,7 +358,7 @@ def terminal_dimension(spark, sf):
 
 @case("""
 with src as (select cast(c_custkey as varchar) as id, nullif(c_mktsegment, 'BUILDING') as loc, c_name as mid from customer where c_custkey % 7 <> 0),
-t as (select cast(c_custkey as varchar) as id, c_mktsegment as loc, case when c_custkey % 4 = 0 then 'x' else c_name end as mid, cast(c_custkey as integer) as k from customer where c_custkey % 2 = 0),
+t as (select cast(c_custkey as varchar) as id, c_mktsegment as loc, case when c_custkey % 4 = 0 then 'x' else c_name end as mid, cast(c_custkey as integer) as k from customer where c_custkey % 2 = 0 or c_custkey % 7 = 0),
 m as (select coalesce(t.id, src.id) as id, case when src.id is not null then src.loc else t.loc end as loc, case when src.id is not null then src.mid else t.mid end as mid, k,
   case when t.id is null or (src.id is not null and (t.loc is distinct from src.loc or t.mid <> src.mid)) then 20240615 else 20240101 end as loaded from t full join src on t.id = src.id)
 select id, loc, mid, loaded, k as merchandise_key from m where k is not null
@@ -372,7 +372,7 @@ def merchant_dimension(spark, sf):
         F.concat(F.lit(" "), "c_custkey").alias("ROW_ID"), *[v.alias(n) for n, v in {**raw, **same}.items()], moment.alias("LAST_UPD"), moment.alias("MID_CreateDate"))
     own = {**{mine: F.lit("a") for mine in loyalty._MERCHANT_NAMES}, "Loc": F.col("c_mktsegment"), "Mid": F.when(F.expr("c_custkey % 4 = 0"), "x").otherwise(F.col("c_name"))}
     keys = {"LastUpdDateKey": 20240101, "LastUpdTimeKey": 0, "MID_CreateDate": 20240101, "MID_CreateTime": 0, "LoadDateKey": 20240101, "LoadTimeKey": 0}
-    dimension = customer.filter("c_custkey % 2 = 0").select(
+    dimension = customer.filter("c_custkey % 2 = 0 or c_custkey % 7 = 0").select(
         F.col("c_custkey").cast("string").alias("RowId"), F.col("c_custkey").cast("int").alias("MerchandiseKey"),
         *[v.alias(n) for n, v in {**own, **same}.items()], *[F.lit(v).alias(n) for n, v in keys.items()])
     done = loyalty.update_merchants(dimension, staged, AS_OF)
@@ -380,7 +380,7 @@ def merchant_dimension(spark, sf):
 
 
 @case("""
-with t as (select cast(p_partkey as varchar) as id, cast(p_partkey + 5 as integer) as k from part where p_partkey % 3 = 0),
+with t as (select cast(p_partkey as varchar) as id, cast(p_partkey + 5 as integer) as k from part where p_partkey % 3 = 0 or p_partkey % 5 = 0),
 j as (select p.p_partkey, t.k, p_name from (select * from part where p_partkey % 5 <> 0) p left join t on cast(p.p_partkey as varchar) = t.id)
 select k as product_key, cast(p_partkey as varchar) as id, p_name as name, 20240101 as created from j where k is not null
 union all select cast((select max(k) from t) + row_number() over (order by cast(p_partkey as varchar)) as integer), cast(p_partkey as varchar), p_name, 20240101 from j where k is null""")
@@ -389,7 +389,7 @@ def product_dimension(spark, sf):
     moment = F.lit("2024-01-01 10:00:00").cast("timestamp_ntz")
     staged = part.filter("p_partkey % 5 <> 0").select(F.concat("p_partkey", F.lit(" ")).alias("ROW_ID"), F.col("p_name").alias("NAME"), F.lit("u").alias("CREATED_BY"),
                                                      moment.alias("CREATED"), moment.alias("LAST_UPD"), moment.alias("LoadDateTime"))
-    dimension = part.filter("p_partkey % 3 = 0").select(
+    dimension = part.filter("p_partkey % 3 = 0 or p_partkey % 5 = 0").select(
         (F.col("p_partkey") + 5).cast("int").alias("ProductKey"), F.col("p_partkey").cast("string").alias("rowid"), F.lit("old").alias("Name"), F.lit("u").alias("CreatedBy"),
         *[F.lit(0).alias(n) for n in ("CreatedDateKey", "CreatedTimeKey", "LastUpdDateKey", "LastUpdTimeKey", "LoadDateKey", "LoadTimeKey")])
     done = loyalty.update_products(dimension, staged)
@@ -436,25 +436,24 @@ def member_flags(spark, sf):
 
 
 @case("""
-with t as (select o_orderkey as k, o_orderpriority as p from orders where o_orderkey % 2 = 0), s as (select o_orderkey as k, case when o_orderkey % 6 = 0 then '' else o_orderstatus end as p from orders where o_orderkey % 3 = 0)
+with t as (select o_orderkey as k, o_orderpriority as p from orders where o_orderkey % 2 = 0), s as (select o_orderkey as k, case when o_orderkey % 6 = 0 then '' else o_orderstatus end as p from orders where o_orderkey % 3 = 0 or o_orderkey % 2 = 1)
 select cast(coalesce(s.k, t.k) as varchar) as id, case when s.k is not null then s.p else t.p end as kind, case when s.k is not null then 20240101 else 1 end as expires,
   case when t.k is null then 'INSERT' when s.k is null then 'SAME' else 'UPDATE' end as action from t full join s on t.k = s.k""")
 def accrual_items(spark, sf):
     orders = tables(spark, sf, "orders")
     fact = orders.filter("o_orderkey % 2 = 0").select(F.concat(F.lit(" "), "o_orderkey").alias("PointItem_RowID"), F.col("o_orderpriority").alias("kind"), F.lit(1).alias("Expiration_Date"))
-    staged = orders.filter("o_orderkey % 3 = 0").select(F.concat("o_orderkey", F.lit(" ")).alias("PointItem_RowID"), F.when(F.expr("o_orderkey % 6 <> 0"), F.col("o_orderstatus")).alias("kind"),
+    staged = orders.filter("o_orderkey % 3 = 0 or o_orderkey % 2 = 1").select(F.concat("o_orderkey", F.lit(" ")).alias("PointItem_RowID"), F.when(F.expr("o_orderkey % 6 <> 0"), F.col("o_orderstatus")).alias("kind"),
                                                        F.lit(20240101).alias("EXPIRATION_DT"))
     return loyalty.merge_accrual_items(fact.unionByName(fact), staged, action="action").toDF("id", "kind", "expires", "action")
 
 
 @case("""
-select cast(o_orderkey as varchar) as id, cast(case when o_orderkey % 3 = 0 then strftime(o_orderdate, '%Y') else '0000' end as varchar) as year_key from orders
-where o_orderkey % 2 = 0 or o_orderkey % 3 = 0""")
+select cast(o_orderkey as varchar) as id, cast(case when o_orderkey % 3 = 0 or o_orderkey % 2 = 1 then strftime(o_orderdate, '%Y') else '0000' end as varchar) as year_key from orders""")
 def redemption_items(spark, sf):
     orders = tables(spark, sf, "orders")
     moment = F.lit("1990-01-01").cast("timestamp_ntz")
     fact = orders.filter("o_orderkey % 2 = 0").select(F.col("o_orderkey").cast("string").alias("REDEEM_ROW_ID"), moment.alias("TRANSACTION_DATE"), F.lit("0000").alias("YearKey"))
-    staged = orders.filter("o_orderkey % 3 = 0").select(F.col("o_orderkey").cast("string").alias("REDEEM_ROW_ID"), F.col("o_orderdate").alias("TXN_DT"))
+    staged = orders.filter("o_orderkey % 3 = 0 or o_orderkey % 2 = 1").select(F.col("o_orderkey").cast("string").alias("REDEEM_ROW_ID"), F.col("o_orderdate").alias("TXN_DT"))
     return loyalty.merge_redemption_items(fact, staged).select(F.col("REDEEM_ROW_ID").alias("id"), F.col("YearKey").alias("year_key"))
 
 

@@ -11,7 +11,7 @@ from millrace.plans.sales import merge_members
 
 _ORDERS = """
 with t as (select o_orderkey, o_custkey, o_totalprice from orders where o_orderkey % 2 = 0),
-s as (select o_orderkey, o_custkey, o_totalprice + 1 as o_totalprice from orders where o_orderkey % 3 = 0),
+s as (select o_orderkey, o_custkey, o_totalprice + 1 as o_totalprice from orders where o_orderkey % 3 = 0 or o_orderkey % 2 = 1),
 merged as (
   select coalesce(s.o_orderkey, t.o_orderkey) as o_orderkey,
          case when s.o_orderkey is not null then s.o_custkey else t.o_custkey end as o_custkey,
@@ -23,7 +23,7 @@ merged as (
 
 def merged_orders(spark, sf):
     orders = tables(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
-    source = orders.filter("o_orderkey % 3 = 0").withColumn("o_totalprice", F.col("o_totalprice") + 1)
+    source = orders.filter("o_orderkey % 3 = 0 or o_orderkey % 2 = 1").withColumn("o_totalprice", F.col("o_totalprice") + 1)
     return upsert_full(orders.filter("o_orderkey % 2 = 0"), source, ["o_orderkey"])
 
 
@@ -38,11 +38,11 @@ def upsert_actions(spark, sf):
 
 
 _SOURCE = """select c_custkey, c_name, nullif(c_mktsegment, case when c_custkey % 5 = 0 then c_mktsegment end) as c_mktsegment,
-  case when c_custkey % 9 = 0 then c_acctbal + 100 else c_acctbal end as c_acctbal from customer where c_custkey % 3 = 0"""
+  case when c_custkey % 9 = 0 then c_acctbal + 100 else c_acctbal end as c_acctbal from customer where c_custkey % 3 = 0 or c_custkey % 2 = 1"""
 
 
 def _source(customer):
-    return customer.filter("c_custkey % 3 = 0").select(
+    return customer.filter("c_custkey % 3 = 0 or c_custkey % 2 = 1").select(
         "c_custkey", "c_name", F.when(F.expr("c_custkey % 5 <> 0"), F.col("c_mktsegment")).alias("c_mktsegment"),
         F.when(F.expr("c_custkey % 9 = 0"), F.col("c_acctbal") + 100).otherwise(F.col("c_acctbal")).alias("c_acctbal"))
 
@@ -85,14 +85,14 @@ def upsert_with_load_key(spark, sf):
 
 
 @case("""
-with t as (select c_name, c_custkey + 1000 as sk from customer where c_custkey % 3 = 0),
+with t as (select c_name, c_custkey + 1000 as sk from customer where c_custkey % 3 = 0 or c_custkey % 7 = 0),
 j as (select c.c_name, c.c_acctbal, t.sk from (select * from customer where c_custkey % 7 <> 0) c left join t on c.c_name = t.c_name)
 select c_name, c_acctbal, sk from j where sk is not null
 union all
 select c_name, c_acctbal, (select max(sk) from t) + row_number() over (order by c_name) from j where sk is null""")
 def refresh_with_kept_keys(spark, sf):
     customer = tables(spark, sf, "customer")
-    target = customer.filter("c_custkey % 3 = 0").select("c_name", (F.col("c_custkey") + 1000).alias("sk"))
+    target = customer.filter("c_custkey % 3 = 0 or c_custkey % 7 = 0").select("c_name", (F.col("c_custkey") + 1000).alias("sk"))
     source = customer.filter("c_custkey % 7 <> 0").select("c_name", "c_acctbal")
     return allocate_keys(refresh_keep_keys(target, source, ["c_name"], "sk"), "sk", ["c_name"], existing=target)
 
@@ -202,14 +202,14 @@ _LINES = "select l_orderkey, l_linenumber, l_partkey, cast(strftime(l_shipdate,
 
 
 @case(f"""
-with l as ({_LINES}), t as (select * from l where l_linenumber <= 5),
+with l as ({_LINES}), t as (select * from l where not (l_linenumber > 5 and ship % 100 <= 10)),
 s as (select l_orderkey, l_linenumber, l_partkey, ship, q + 1 as q from l where l_linenumber > 5 and ship % 100 <= 10)
 select * from t where ship not in (select ship from s) union all select * from s""")
 def slice_replace(spark, sf):
     line = tables(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", day("l_shipdate").alias("ship"),
                                                 F.col("l_quantity").alias("q"))
     source = line.filter("l_linenumber > 5 and ship % 100 <= 10").withColumn("q", F.col("q") + 1)
-    return replace_slice(line.filter("l_linenumber <= 5"), source, ["ship"])
+    return replace_slice(line.filter("not (l_linenumber > 5 and ship % 100 <= 10)"), source, ["ship"])
 
 
 _FILES = """

@@ -36,7 +36,7 @@ def netting_by_window(spark, sf):
 def upsert_by_three_joins(spark, sf):
     orders = tables(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
     target = orders.filter("o_orderkey % 2 = 0")
-    source = orders.filter("o_orderkey % 3 = 0").withColumn("o_totalprice", F.col("o_totalprice") + 1)
+    source = orders.filter("o_orderkey % 3 = 0 or o_orderkey % 2 = 1").withColumn("o_totalprice", F.col("o_totalprice") + 1)
     keys = target.select("o_orderkey")
     parts = [target.join(source, "o_orderkey", "left_anti").withColumn("action", F.lit("NOT MATCHED")),
              source.join(keys, "o_orderkey", "inner").withColumn("action", F.lit("UPDATED")),
