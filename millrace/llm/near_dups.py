@@ -7,13 +7,14 @@ slot is settled in the first round that reaches it, and a document stops as soon
 all its slots are settled: after few rounds where it has many shingles.
 
 Links.  Documents of equal shingle sets are one class from the start.  Classes that
-agree in all values of a band share a bucket.  A bucket is compared around hubs: one
-member against all others first, then, only in buckets whose members still lie in
-different groups, ever more hubs against the members of other groups; as soon as
-the pairs left are fewer than a few per class, all of them are compared.  So no two
-members of a bucket stay uncompared unless they are in one group already, and a
-bucket of many copies costs its size, not its square.  Each comparison counts the
-common shingles of the full sets.
+agree in all values of a band share a bucket.  First all members of a bucket are
+compared with its hub, the member that shares most places with others.  Then, in
+buckets whose members still lie in different groups, those outside the largest group
+visit all members: buckets with the same largest group are one arena, its members are
+dealt into chunks, and a visitor is compared with a whole chunk by an inverted index,
+so that only links leave the task, never pairs.  No two members of a bucket stay
+uncompared unless they are in one group already, and a bucket of many copies costs
+its size, not its square.  Each comparison counts the common shingles of full sets.
 
 Groups.  Smallest label of the neighbours, then label of the label, until nothing
 changes; always as joins over tables in the shared folder.
@@ -33,10 +34,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.runtime import Workspace, flat_bytes, ship, slices
-from millrace.llm.shingles import mix, shingle_hashes
+from millrace.llm.shingles import mix, ranges, shingle_hashes
 
 #: Bands and rows of a band: a pair at 0.8 shares no bucket with probability 3e-6.
 BANDS, ROWS = 24, 4
+#: Members of an arena that a visitor is compared with at once.
+CHUNK = 256
 _PART = 1 << 20
 _EMPTY = np.uint64((1 << 64) - 1)
 _GOLD = 0x9E3779B97F4A7C15
@@ -127,6 +130,47 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").filter(100 * common >= percent * both).select("a", "b").distinct()
 
 
+def _visited(visitors: DataFrame, members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) of a visitor and a member of the same place whose full sets are alike enough; both have (place, rep)."""
+    kind = sets.schema["rep"].dataType.simpleString()
+
+    def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place, own, held, index = None, [], [], None
+        for part in parts:
+            left, right = [], []
+            rows = zip(*[part.column(i).to_pylist() for i in range(3)], part.column(3), strict=True)
+            for at, visits, rep, shingles in rows:
+                found = shingles.values.to_numpy(zero_copy_only=False)
+                if at != place:
+                    place, own, held, index = at, [], [], None
+                if not visits:
+                    own.append(rep)
+                    held.append(found)
+                    continue
+                if not own:
+                    continue
+                if index is None:
+                    sizes = np.array([len(x) for x in held])
+                    flat = np.concatenate(held)
+                    order = np.argsort(flat, kind="stable")
+                    keys, first, times = np.unique(flat[order], return_index=True, return_counts=True)
+                    index = sizes, np.repeat(np.arange(len(own)), sizes)[order], keys, first, times
+                sizes, owner, keys, first, times = index
+                spot = np.minimum(np.searchsorted(keys, found), len(keys) - 1)
+                spot = spot[keys[spot] == found]
+                common = np.bincount(owner[ranges(first[spot], times[spot])], minlength=len(own))
+                for i in np.flatnonzero(100 * common >= percent * (sizes + len(found) - common)).tolist():
+                    if own[i] != rep:
+                        left.append(min(own[i], rep))
+                        right.append(max(own[i], rep))
+            kinds = part.schema.field(2).type
+            yield pa.RecordBatch.from_arrays([pa.array(left, kinds), pa.array(right, kinds)], names=["a", "b"])
+
+    both = members.select("place", F.lit(False).alias("visits"), "rep").union(visitors.select("place", F.lit(True).alias("visits"), "rep"))
+    rows = both.join(sets, "rep").select("place", "visits", "rep", "shingles")
+    return rows.repartition("place").sortWithinPartitions("place", "visits").mapInArrow(batches, f"a {kind}, b {kind}").distinct()
+
+
 def connected(edges: DataFrame, work: Workspace) -> DataFrame:
     """``node`` and ``label``, the smallest node of its connected component, for each end of an edge (a, b)."""
     both = work.put(edges.union(edges.select("b", "a")).distinct().toDF("node", "next"), "graph")
@@ -158,53 +202,36 @@ def components(docs: DataFrame, width: int = 5, percent: int = 80, key: str = "d
         rows.filter(F.col("n_shingles") > 0).filter(F.col(key).isNotNull()).groupBy(*own)
         .agg(F.min(key).alias("rep"), F.first("bands").alias("bands")), "classes")
     members = classes.select("rep", F.explode("bands").alias("bucket"))
-    met = members.groupBy("bucket").agg(F.min("rep").alias("_least"), F.max("rep").alias("_most")).filter("_least < _most").select("bucket")
-    shared = work.put(members.join(met, "bucket").distinct(), "shared")
-    wanted = shared.select("rep").distinct()
+    met = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
+    shared = work.put(members.join(met, "bucket"), "shared")
+    degree = shared.groupBy("rep").agg(F.sum("size").alias("degree"))
+    wanted = work.put(degree, "wanted")
     sets = work.put(_sets(docs.select(key, text).join(wanted, F.col(key) == F.col("rep"), "left_semi"), key, text, width), "sets")
-    n = classes.count()
-    labels, step = None, 0
-    while True:
-        here = shared.withColumn("label", F.col("rep")) if labels is None else (
-            shared.join(labels, F.col("rep") == F.col("node"), "left").select("bucket", "rep", F.coalesce("label", "rep").alias("label")))
-        apart = here.groupBy("bucket").agg(F.min("label").alias("_l"), F.max("label").alias("_m"), F.count(F.lit(1)).alias("size")).filter("_l < _m")
-        open_ = work.put(here.join(apart.select("bucket", "size"), "bucket"), f"open{step % 2}")
-        per = open_.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("m"))
-        left = per.groupBy("bucket").agg((F.sum("m") * F.sum("m") - F.sum(F.col("m") * F.col("m"))).alias("p")).agg(F.sum("p")).first()[0]
-        if not left:
-            break
-        all_left = left // 2 <= 4 * n + 10_000 and step > 0
-        if all_left:
-            hubs = open_
-        elif step == 0:
-            hubs = open_.groupBy("bucket").agg(F.min_by("rep", F.xxhash64("rep")).alias("rep"), F.min_by("label", F.xxhash64("rep")).alias("label"))
-        else:
-            hubs = open_.filter(F.pmod(F.xxhash64("rep", F.lit(step)), F.col("size")) < 4 ** step)
-        ends = hubs.select("bucket", F.col("rep").alias("_hub"), F.col("label").alias("_of"))
-        met_pairs = open_.join(ends, "bucket").filter(F.col("label") < F.col("_of") if all_left else F.col("label") != F.col("_of"))
-        pairs = met_pairs.select(F.least("rep", "_hub").alias("a"), F.greatest("rep", "_hub").alias("b")).distinct()
-        edges = work.put(_linked(pairs, sets, percent), "edges")
-        if not all_left:  # a hub has now met all others of its bucket
-            shared = work.put(open_.join(hubs.select("bucket", "rep"), ["bucket", "rep"], "left_anti").select("bucket", "rep"), f"rest{step % 2}")
-        if not edges.isEmpty():
-            if labels is None:
-                labels = work.put(connected(edges, work), f"groups{step % 2}")
-            else:
-                at = labels.toDF("_n", "_l")
-                lifted = (edges.join(at.toDF("a", "_a"), "a", "left").join(at.toDF("b", "_b"), "b", "left")
-                          .select(F.coalesce("_a", "a").alias("a"), F.coalesce("_b", "b").alias("b")).filter("a <> b").distinct())
-                merged = connected(work.put(lifted, "lifted"), work).toDF("label", "top")
-                fresh = merged.join(labels.select(F.col("node").alias("label")), "label", "left_anti").toDF("node", "label")
-                labels = work.put(labels.join(merged, "label", "left").select("node", F.coalesce("top", "label").alias("label")).union(fresh), f"groups{step % 2}")
-        if all_left:
-            break
-        step += 1
-    work.drop("open0", "open1", "rest0", "rest1", "edges", "lifted", "graph", "labels0", "labels1", "labels2", "shared", "sets")
-    top = classes.select(*own, "rep")
-    if labels is not None:
-        top = top.join(labels, F.col("rep") == F.col("node"), "left").select(*own, F.coalesce("label", "rep").alias("rep"))
+    hubs = shared.join(wanted, "rep").groupBy("bucket").agg(F.max_by("rep", F.struct("degree", F.xxhash64("rep"), "rep")).alias("hub"))
+    pairs = shared.join(hubs, "bucket").filter("rep <> hub").select(F.col("rep").alias("a"), F.col("hub").alias("b")).distinct()
+    edges = work.put(_linked(pairs, sets, percent), "edges")
+    labels = work.put(connected(edges, work), "groups0")
+    here = work.put(shared.join(labels, F.col("rep") == F.col("node"), "left").select("bucket", "rep", F.coalesce("label", "rep").alias("label")), "here")
+    # buckets in several groups, each with its largest group
+    per = here.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("m"))
+    arenas = per.groupBy("bucket").agg(F.max_by("label", F.struct("m", "label")).alias("arena"), F.count(F.lit(1)).alias("groups")).filter("groups > 1")
+    inside = work.put(here.join(arenas.select("bucket", "arena"), "bucket").select("arena", "rep", "label").distinct(), "inside")
+    chunks = inside.groupBy("arena").agg(F.ceil(F.count(F.lit(1)) / CHUNK).alias("chunks"))
+    dealt = inside.join(chunks, "arena")
+    name = lambda i: F.concat_ws("-", "arena", i)
+    strays = dealt.filter("label <> arena").select("arena", "rep", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("chunks") - 1)).alias("i"))
+    more = work.put(_visited(strays.select(name("i").alias("place"), "rep"),
+                             dealt.select(name(F.pmod(F.xxhash64("rep"), F.col("chunks"))).alias("place"), "rep"), sets, percent), "more")
+    if not more.isEmpty():
+        at = labels.toDF("_n", "_l")
+        lifted = (more.join(at.toDF("a", "_a"), "a", "left").join(at.toDF("b", "_b"), "b", "left")
+                  .select(F.coalesce("_a", "a").alias("a"), F.coalesce("_b", "b").alias("b")).filter("a <> b").distinct())
+        merged = work.put(connected(work.put(lifted, "lifted"), work).toDF("label", "top"), "merged")
+        fresh = merged.join(labels.select("label"), "label", "left_anti").toDF("node", "label")
+        labels = work.put(labels.join(merged, "label", "left").select("node", F.coalesce("top", "label").alias("label")).union(fresh), "groups1")
+    top = classes.select(*own, "rep").join(labels, F.col("rep") == F.col("node"), "left").select(*own, F.coalesce("label", "rep").alias("rep"))
     top = work.put(top, "groups")
-    work.drop("classes", "groups0", "groups1")
+    work.drop(*[name for name in work.paths if name not in ("described", "groups")])
     component = F.when(F.col("n_shingles") > 0, F.col("rep")).otherwise(F.col(key))
     return (rows.select(key, *own).join(top, own, "left")
             .select(key, "n_shingles", F.when(F.col(key).isNotNull(), component).alias("component_id"))

@@ -86,8 +86,8 @@ def shingle_hashes(data: np.ndarray, offsets: np.ndarray, width: int) -> tuple[n
             rolled = rolled * _STEP + words[j:j + len(rolled)]
         long = np.flatnonzero(counts >= width)
         # positions of words that start a whole shingle
-        take = np.repeat(at[long] - bounds[long], made[long]) + _ranges(bounds[long], made[long])
-        out[_ranges(bounds[long], made[long])] = mix(rolled[take])
+        take = np.repeat(at[long] - bounds[long], made[long]) + ranges(bounds[long], made[long])
+        out[ranges(bounds[long], made[long])] = mix(rolled[take])
     for n in range(1, width):
         short = np.flatnonzero(counts == n)
         if len(short):
@@ -98,7 +98,7 @@ def shingle_hashes(data: np.ndarray, offsets: np.ndarray, width: int) -> tuple[n
     return out, bounds
 
 
-def _ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """start, start + 1, ... for each start, one after another."""
     total = int(lengths.sum())
     if not total:
