@@ -1,0 +1,343 @@
+"""The ten operators and the pipeline against brute force, libraries, held-out rows, SQL, and edge cases."""
+
+import hashlib
+import math
+import random
+import re
+
+import duckdb
+import numpy as np
+import public_tokenizers
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from millrace.llm import bpe_codec, fingerprints, language, mixing, near_dups, queries, secret_scan, token_counts, topk, toxicity, wrappers
+from millrace.llm.runtime import flat_bytes, is_held_out
+from millrace.llm.shingles import shingle_hashes
+from tests.llm import brute
+
+SMALL = "/root/testdata/sf0.001"
+DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint, bucket string, label int"
+EDGE = [None, "", " \n\t", "a", "A b  C", "word " * 3000, "x" * 5000, "é ✓ 😀 ü", "<|endoftext|>", "token=abcdefgh1"]
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.read.parquet(f"{SMALL}/documents.parquet")
+
+
+@pytest.fixture(scope="module")
+def edge(spark):
+    """Edge texts, repeated rows, nulls in every column, extra columns with clashing names."""
+    rows = [(i, t, "en", "s", len(t or ""), "b", 1) for i, t in enumerate(EDGE)]
+    return spark.createDataFrame([*rows, rows[4], rows[4], (None, "loose text here", None, None, None, None, None)], DOCS)
+
+
+@pytest.fixture(scope="module")
+def empty(spark):
+    return spark.createDataFrame([], DOCS)
+
+
+def pairs(df):
+    return [(r.doc_id, r.text) for r in df.select("doc_id", "text").collect()]
+
+
+def test_shingles_match_words():
+    rng = random.Random(1)
+    texts = ["A b c d e", "a  B\tc d e\n", None, "", " ", "one two", *(" ".join(rng.choice("abcde") * rng.randint(1, 3) for _ in range(rng.randint(0, 40))) for _ in range(300))]
+    hashes, at = shingle_hashes(*flat_bytes(pa.array(texts)), 4)
+    there, back = {}, {}
+    for i, t in enumerate(texts):
+        want = brute.shingles(t, 4)
+        got = hashes[at[i]:at[i + 1]].tolist()
+        assert len(want) == len(got)
+        for w, g in zip(want, got, strict=True):
+            assert there.setdefault(w, g) == g and back.setdefault(g, w) == w
+
+
+def test_fingerprints(docs):
+    got = {r.doc_id: r for r in queries.op1_fingerprints(docs.sparkSession, SMALL).collect()}
+    rows = pairs(docs)
+    want = brute.edited(rows)
+    assert len(got) == len(rows)
+    for k, t in rows:
+        assert got[k].n_chars == len(t) and got[k].edited_sha256 == hashlib.sha256(want[k].encode()).hexdigest()
+        a, b = fingerprints.sketches(pa.array([t, want[k]]))
+        assert got[k].fingerprint == fingerprints.to_text(a) and got[k].near_edited == pytest.approx(fingerprints.likeness(a, b))
+        assert (fingerprints.from_text(got[k].fingerprint) == a).all()
+    long = [r for r in got.values() if r.n_chars > 4000]
+    assert np.mean([r.near_edited for r in long]) > 0.5 > 0.1 > np.mean([r.near_next for r in long])
+
+
+def test_fingerprints_merge_and_containment():
+    rng = random.Random(5)
+    words = [f"w{rng.random()}" for _ in range(4000)]
+    small, large, other = (" ".join(words[a:b]) for a, b in ((0, 500), (0, 3000), (3000, 4000)))
+    a, b, c, both = fingerprints.sketches(pa.array([small, large, other, large + " " + other]))
+    assert fingerprints.containment(a, b) > 0.95 > 0.05 > fingerprints.containment(a, c)
+    assert len(np.setxor1d(fingerprints.merged(b, c), both)) <= 5  # but the shingles over the seam
+    assert len(b) == pytest.approx(3000 / fingerprints.SCALE, rel=0.2)
+
+
+def test_fingerprints_edges(edge, empty):
+    got = fingerprints.edited_fingerprints(edge).collect()
+    assert len(got) == edge.count() and fingerprints.edited_fingerprints(empty).collect() == []
+    assert all(0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1 for r in got)
+    assert {r.fingerprint for r in got if r.doc_id in (0, 1, 2)} == {""}
+    assert fingerprints.fingerprint(edge, into="label").count() == edge.count()
+
+
+def test_toxicity(spark):
+    folder = "/root/testdata/sf0.01"
+    scored = queries.op2_toxicity(spark, folder).join(spark.read.parquet(f"{folder}/labels.parquet"), "doc_id").collect()
+    assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.5) for r in scored)
+    held = [r for r in scored if r.held_out]
+    assert sum(r.predicted == r.toxic for r in held) / len(held) > 0.95
+
+
+def test_toxicity_edges(edge, empty, spark):
+    labels = spark.createDataFrame([(i, 0, i % 2) for i in range(6)] + [(None, 1, None)], "doc_id bigint, quality int, toxic int")
+    model = toxicity.train(edge, labels)
+    assert toxicity.score(edge, model).count() == edge.count() and toxicity.score(empty, model).collect() == []
+    nothing = toxicity.train(empty, labels.limit(0))
+    assert {r.score for r in toxicity.score(edge, nothing).collect()} == {0.0}
+    assert toxicity.without_toxic(edge, nothing).columns == edge.columns and toxicity.without_toxic(edge, nothing).count() == edge.count()
+
+
+def test_isotonic_is_monotone():
+    rng = np.random.default_rng(0)
+    x = rng.normal(size=500)
+    y = (rng.random(500) < 1 / (1 + np.exp(-x))).astype(float)
+    xs, ys = toxicity.isotonic(x, y)
+    assert (np.diff(ys) >= 0).all() and (np.diff(xs) > 0).all() and np.interp(x, xs, ys).mean() == pytest.approx(y.mean(), abs=0.01)
+
+
+def test_main_text(spark):
+    pages = spark.read.parquet(f"{SMALL}/pages.parquet")
+    got = {r.page_id: r for r in queries.op3_main_text(spark, SMALL).collect()}
+    want = {r.page_id: brute.article(r.html) for r in pages.collect()}
+    assert {k: r.text for k, r in got.items()} == want and all(r.n_chars == len(r.text) for r in got.values())
+
+
+def test_main_text_without_articles_and_edges(spark):
+    page = ("<html><body><div id=top class='site-header'><a href=/>Home</a></div><div class='wrap'><div class='text'><h2>Title {0}</h2><p>Some &lt;long&gt; text "
+            "that varies {0} and  goes\non {1}.<p>Second &amp; para<ul><li>one<li>two</ul></div></div><div class=comments><p>I disagree {0}</p></div>"
+            "<div class=cookie-banner>We use cookies</div><form><p>Sign up</p></form><script>var a = '<p>no</p>';</script></body></html>")
+    rows = [(i, f"http://a.b/{i}", page.format(i, "x" * i), "z") for i in range(8)]
+    df = spark.createDataFrame([*rows, (100, None, None, "q"), (101, "x", "", None), (None, "http://h.c", "plain &amp; <b>bold", "r")], "page_id bigint, url string, html string, host string")
+    got = {r.page_id: r for r in wrappers.main_text(df).collect()}
+    assert got[3].text == "Title 3\nSome <long> text that varies 3 and goes on xxx.\nSecond & para\none\ntwo" and got[3].host == "z"
+    assert got[100].text == got[101].text == "" and got[None].text == "plain & bold"
+    assert wrappers.main_text(df.limit(0)).collect() == []
+
+
+def test_wrapper_has_optional_and_repeated_items():
+    one, two = (wrappers.described(wrappers.parse(h)) for h in ("<div><h1>A</h1><p>x</p><p>y</p></div>", "<div><h1>B</h1><p>x</p><table></table></div>"))
+    assert wrappers.expression(wrappers.folded(one, two)) == "<div> <h1> #text </h1> (<p> #text </p>)+ (<table>  </table>)? </div>"
+    dl = wrappers.described(wrappers.parse("<dl><dt>a</dt><dd>b</dd><dt>c</dt><dd>d</dd></dl>"))
+    assert wrappers.expression(dl) == "<dl> (<dt> #text </dt> <dd> #text </dd>)+ </dl>"
+
+
+def best(rows, k=5):
+    good = [(i, [math.floor(256 * float(x)) for x in v]) for i, v in rows if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
+    out = set()
+    for q, v in good:
+        if q % 50 == 0:
+            ranked = sorted((-sum(a * b for a, b in zip(v, w, strict=False)), i) for i, w in good if i != q)[:k]
+            out |= {(q, n + 1, i, -s) for n, (s, i) in enumerate(ranked)}
+    return out
+
+
+def test_top_products(spark):
+    rng = np.random.default_rng(0)
+    rows = [(i, [0.5, 0.25]) for i in range(400)] + [(400 + i, [float(x) for x in rng.normal(size=2).astype("float32") * 3]) for i in range(500)]
+    rows += [(None, [1.0, 2.0]), (1500, None), (1501, [1.0, None]), (1502, [float("nan"), 0.0]), (1550, [1.0]), (1600, [])]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>").withColumn("place", F.lit("clash"))
+    rows = [(r.vec_id, r.embedding) for r in df.collect()]
+    assert {tuple(r) for r in topk.top_k(df).collect()} == best(rows)
+    assert {tuple(r) for r in topk.top_k(df.limit(3)).collect()} == best(rows[:3]) and topk.top_k(df.limit(0)).collect() == []
+
+
+def test_codec(docs, edge, empty):
+    path, pattern = public_tokenizers.path(queries.CODEC), public_tokenizers.PATTERN
+    codec = bpe_codec.Codec(path, pattern)
+    rows = bpe_codec.encode_all(docs.unionByName(edge, True), path, pattern).select("doc_id", "n_tokens", "ids", "decoded_sha256").collect()
+    texts = sorted(hashlib.sha256((t or "").encode()).hexdigest() for _, t in pairs(docs.unionByName(edge, True)))
+    assert sorted(r.decoded_sha256 for r in rows) == texts and all(r.n_tokens == len(r.ids) for r in rows)
+    for _, t in pairs(edge) + [(0, "a  b\n c's 'S" * 50), (1, "  lead and trail  ")]:
+        want = codec.encoding.encode_ordinary(t or "")
+        assert codec.encode(t).tolist() == want
+        for limit in (3, 20):
+            assert [i for p in bpe_codec.safe_parts(t or "", limit) for i in codec.encoding.encode_ordinary(p)] == want
+    back = bpe_codec.decode_texts(bpe_codec.encode_texts(edge, path, pattern), path, pattern).collect()
+    assert all(bytes(r.decoded).decode() == (r.text or "") for r in back)
+    assert bpe_codec.encode_digests(empty, path, pattern).collect() == []
+
+
+def test_mix_meets_its_limit(docs):
+    used = mixing.mix(docs, limit=1.5).select("doc_id", "source", "copy", "n_tokens", "weight").toPandas()
+    base = docs.select("source", mixing.token_count(F.col("text")).alias("n")).toPandas().groupby("source").n.agg(["sum", "max"])
+    tokens, once = used.groupby("source").n_tokens.sum(), used[used["copy"] == 0].groupby("source").n_tokens.sum()
+    ratio, weight = tokens / base["sum"], used.groupby("source").weight.first()
+    assert (once == base["sum"]).all() and ratio.max() <= 1.5 + 1e-6 and weight.sum() == pytest.approx(1)
+    # each quota is met but for less than one document
+    quota = weight / weight[ratio.idxmin()] * base["sum"][ratio.idxmin()]
+    assert ((quota - tokens > -1e-3) & (quota - tokens <= base["max"])).all()
+    assert not used.duplicated(["doc_id", "copy"]).any()
+
+
+def test_mix_finds_entropy_and_edges(docs, edge, empty):
+    weights = mixing.mix(docs, entropy=2.5).groupBy("source").agg(F.first("weight").alias("w")).toPandas().w
+    assert -(weights * np.log(weights)).sum() == pytest.approx(2.5, abs=1e-3)
+    assert mixing.mix(empty).collect() == []
+    used = mixing.mix(edge.withColumn("weight", F.lit("clash"))).collect()
+    assert {(r.doc_id, r.text) for r in used} == set(pairs(edge))
+    silent = mixing.mix(edge.filter("coalesce(text, '') = ''")).collect()
+    assert [(r.copy, r.weight) for r in silent] == [(0, 0.0)] * len(silent)
+    with pytest.raises(ValueError):
+        mixing.mix(docs, limit=1.0, budget_ratio=2.0)
+
+
+def test_token_counts(docs, edge, empty):
+    from tokenizers import Tokenizer
+    path = public_tokenizers.path(queries.COUNTED)
+    library = Tokenizer.from_file(path)
+    rng = random.Random(1)
+    texts = [t or "" for _, t in pairs(docs) + pairs(edge)] + ["<|endoftext|>x <|endoftext|> y", "x" * 3000, " lead", "\x1c a\x85 q　s"]
+    texts += ["".join(rng.choice("ab c\n\t'st.1é ✓ ") for _ in range(rng.randint(0, 40))) for _ in range(500)]
+    counter = token_counts.Merges(path)
+    assert [counter.count(t) for t in texts] == [len(e.ids) for e in library.encode_batch(texts, add_special_tokens=False)]
+    got = token_counts.count_tokens(edge, path).collect()
+    assert sorted(r.n_bytes for r in got) == sorted(len((t or "").encode()) for _, t in pairs(edge)) and token_counts.count_tokens(empty, path).collect() == []
+
+
+def test_signature_estimates_likeness():
+    rng = np.random.default_rng(1)
+    for n, common in ((5, 3), (40, 30), (600, 500)):
+        errors = []
+        for _ in range(60):
+            x = rng.integers(0, 2 ** 63, 2 * n - common).astype(np.uint64)
+            s = near_dups.signatures(np.concatenate([x[:n], x[n - common:]]), np.array([0, n, 2 * n]))
+            errors.append((s[0] == s[1]).mean() - common / (2 * n - common))
+        assert abs(np.mean(errors)) < 0.03 and (s != near_dups._EMPTY).all()
+
+
+def test_near_dups_with_a_crowded_group(spark, edge, empty):
+    rng = random.Random(3)
+    rows = []
+    for i in range(700):
+        words = [f"w{j}" for j in range(100)]
+        for _ in range(rng.randint(0, 7)):
+            words[rng.randrange(100)] = f"z{rng.random()}"
+        rows.append((i, "  ".join(words)))
+    rows += [(1000 + i, "Same text in many copies of it") for i in range(200)] + [(2000, None), (2001, ""), (2002, "a"), (2003, "A ")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("bands", F.lit(1))
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_dups.components(df, 4).collect()}
+    assert got == brute.groups(rows, 4)
+    again = near_dups.components(edge, 4).collect()
+    assert len(again) == edge.count() and all(r.component_id is None and not r.kept for r in again if r.doc_id is None)
+    assert near_dups.components(empty).collect() == []
+    kept = near_dups.first_of_each_group(edge)
+    assert kept.columns == edge.columns and kept.filter("doc_id is null").count() == 1
+
+
+def entropy(w):
+    return math.log2(len(w)) - sum(w.count(c) * math.log2(w.count(c)) for c in set(w)) / len(w)
+
+
+def secrets_of(t):
+    t = t or ""
+    base = [(m.start(), 0, m.end(), "assign") for m in re.finditer(
+        r"""((?ai:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", t) if len(m[2]) >= 8]
+    base += [(m.start(), 1, m.end(), "access") for m in re.finditer("AKIA[A-Z0-9]+", t) if len(m[0]) >= 16]
+    base += [(m.start(), 2, m.end(), "hex") for m in re.finditer("[0-9a-f]+", t) if len(m[0]) >= 32]
+    more = []
+    allowed = secret_scan.ALLOWED.replace("(?i)abcdefghij|example|placeholder|changeme|xxxxxx|dummy", "(?i:abcdefghij|example|placeholder|changeme|xxxxxx|dummy)")
+    for m in re.finditer(secret_scan.CANDIDATE, t):
+        h, one_case = m[0], re.fullmatch("[0-9a-f]+|[0-9A-F]+", m[0])
+        if re.search(allowed, h) or any(b[0] <= m.start() and m.end() <= b[2] for b in base):
+            continue
+        kind = ("hexkey" if re.search("[0-9]", h) else None) if one_case else "b64key" if all(re.search(p, h) for p in ("[0-9]", "[a-z]", "[A-Z]")) else None
+        hot = [i for i in range(len(h) - secret_scan.WINDOW + 1) if kind and entropy(h[i:i + secret_scan.WINDOW]) >= secret_scan.THRESHOLDS[kind] - 1e-10]
+        if hot:
+            more.append((m.start() + hot[0], secret_scan.KINDS.index(kind), m.start() + hot[-1] + secret_scan.WINDOW, kind))
+    return sorted(base), sorted(base + more)
+
+
+def test_secrets(spark, edge, empty):
+    rng = random.Random(2)
+    parts = ["token", "=", ":", " ", '"', "secret", "abcdefgh", "é", "0a1b2c3d4e5f", "AKIA", "QWERTYUIOP12", "Zx9", "api_key", "APIKEY", ".", "😀"]
+    texts = ["password=12345678 token : 'abcdefghij'", "token:secret: abcdefgh", "AKIAAKIAAKIA", "0123456789abcdef" * 3, "123e4567-e89b-12d3-a456-426614174000"]
+    texts += ["".join(rng.choice(alphabet) for _ in range(60)) for alphabet in ("0123456789abcdef", "0123456789ABCDEF", "".join(map(chr, [*range(48, 58), *range(65, 91), *range(97, 123)]))) for _ in range(20)]
+    texts += ["".join(rng.choice(parts) for _ in range(rng.randint(1, 25))) for _ in range(500)] + EDGE
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").withColumn("spans", F.lit("clash"))
+    for r in secret_scan.find_spans(df).collect():
+        assert ([tuple(x) for x in r.base_spans], [tuple(x) for x in r.spans]) == secrets_of(r.text), r.text
+    plan = secret_scan.find_spans(df)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+    assert secret_scan.find_spans(empty).collect() == []
+    masked = {r.doc_id: r.text for r in secret_scan.redact(edge).collect()}
+    assert masked[9] == "[SECRET]" and masked[0] is None and masked[5] == EDGE[5] and secret_scan.redact(edge).columns == edge.columns
+
+
+def test_language(spark, docs, edge, empty):
+    folder = "/root/testdata/sf0.01"
+    got = queries.op10_language(spark, folder).join(spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "lang"), "doc_id").collect()
+    held = [r for r in got if r.held_out]
+    assert sum(r.lang == r.lang_pred for r in held) / len(held) > 0.97 and all(0 <= r.score <= 1 for r in got)
+    network = language.train(docs)
+    rows = {r.doc_id: r for r in language.identify(edge, network).collect()}
+    assert {rows[i].lang_pred for i in (0, 1, 2)} == {"und"} and rows[5].lang_pred in network.languages
+    assert language.train(empty) is None and {r.lang_pred for r in language.identify(edge, None).collect()} == {"und"}
+    assert language.identify(empty, network).collect() == []
+
+
+def test_windows_hold_every_byte():
+    texts = ["", "a" * language.WINDOW, "b" * (language.WINDOW + 1), "c"]
+    x, owner, held = language.windows(*flat_bytes(pa.array(texts)))
+    assert owner.tolist() == [1, 2, 2, 3] and held.tolist() == [128, 128, 1, 1] and [int((r > 0).sum()) for r in x] == held.tolist()
+
+
+@pytest.mark.parametrize("name", sorted(queries.SQL))
+def test_queries_match_sql(spark, name):
+    con = duckdb.connect()
+    for t in ("documents", "embeddings"):
+        con.sql(f"create view {t} as select * from '{SMALL}/{t}.parquet'")
+    want, got = con.sql(queries.SQL[name]).df(), queries.QUERIES[name](spark, SMALL).toPandas()
+    names = sorted(want.columns)
+    assert names == sorted(got.columns)
+    assert sorted(map(tuple, got[names].astype(str).to_numpy().tolist())) == sorted(map(tuple, want[names].astype(str).to_numpy().tolist()))
+
+
+def test_pipeline(spark, docs):
+    texts = dict(pairs(docs))
+    model = toxicity.train(docs, spark.read.parquet(f"{SMALL}/labels.parquet"))
+    clean = {r.doc_id for r in toxicity.score(docs, model).filter("score < 0.5").collect()}
+    kept = {k for k, (_, c) in brute.groups([(k, texts[k]) for k in clean], 5).items() if k == c}
+    codec = bpe_codec.Codec(public_tokenizers.path(queries.CODEC), public_tokenizers.PATTERN)
+    got = corpus_pipeline.run(spark, SMALL).collect()
+    assert {r.doc_id for r in got} == kept
+    for r in got:
+        masked, at = [], 0
+        for start, _, end, _ in secrets_of(texts[r.doc_id])[1]:
+            if start >= at:
+                masked += [texts[r.doc_id][at:start], "[SECRET]"]
+            at = max(at, end)
+        want = "".join([*masked, texts[r.doc_id][at:]])
+        assert r.ids == codec.encode(want).tolist() and r.decoded_sha256 == hashlib.sha256(want.encode()).hexdigest()
+
+
+def test_pipeline_stages_take_edges(spark, edge, empty):
+    for given in (edge, empty):
+        for name, stage in corpus_pipeline.STAGES:
+            made = stage(spark, given, SMALL)
+            assert name == "encode" or made.columns == given.columns
+            made.collect()
+
+
+def test_held_out_follows_crc32(spark):
+    import zlib
+    got = spark.range(200).select("id", is_held_out(F.col("id")).alias("h")).collect()
+    assert all(r.h == (zlib.crc32(str(r.id).encode()) % 5 == 0) for r in got)
