@@ -25,7 +25,7 @@ from millrace.llm.runtime import ship, slices
 #: Characters of a text that are given to the library at once, up to the next safe boundary.
 PART = 1 << 16
 #: Bytes of text in one output batch.
-BATCH = 4 << 20
+BATCH = 1 << 20
 _SAFE = re.compile(r"(?<=\S)(?= \S)")
 
 
@@ -36,16 +36,13 @@ class Codec:
         self.encoding = tiktoken.Encoding(path, pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
         self.bytes_of = {i: b for b, i in ranks.items()}
 
-    def encode(self, text: str | None) -> list[int]:
-        if not text:
-            return []
-        ids: list[int] = []
-        for part in safe_parts(text):
-            ids += self.encoding.encode_ordinary(part)
-        return ids
+    def encode(self, text: str | None) -> np.ndarray:
+        """The ids as 32-bit numbers."""
+        parts = [np.array(self.encoding.encode_ordinary(part), np.int32) for part in safe_parts(text)] if text else []
+        return np.concatenate(parts) if parts else np.zeros(0, np.int32)
 
     def decode_bytes(self, ids: Sequence[int]) -> bytes:
-        return b"".join(map(self.bytes_of.__getitem__, ids))
+        return b"".join(map(self.bytes_of.__getitem__, np.asarray(ids, np.int64).tolist()))
 
     def decode(self, ids: Sequence[int]) -> str:
         return self.decode_bytes(ids).decode("utf-8", "replace")
@@ -91,7 +88,7 @@ def encode_all(docs: DataFrame, path: str, pattern: str, text: str = "text") ->
                    lambda codec, ids: _digests(codec, ids) | {"ids": ids}, keep_text=False)
 
 
-def _digests(codec: Codec, ids: list[int]) -> dict:
+def _digests(codec: Codec, ids: np.ndarray) -> dict:
     return {"n_tokens": len(ids), "ids_sha256": hashlib.sha256(np.asarray(ids, dtype="<u4").tobytes()).hexdigest(),
             "decoded_sha256": hashlib.sha256(codec.decode_bytes(ids)).hexdigest()}
 

@@ -44,8 +44,8 @@ tú ti usted ustedes vosotros tus vuestro vuestra""".split())
 _LEET = str.maketrans("01345789@$!|", "oieastbgasil")
 _INNER = re.compile(r"[^\W_]+")
 _REPEAT = re.compile(r"(\w)\1{2,}")
-_KEPT = 200_000
-_FLUSH = 400_000
+_KEPT = 80_000
+_FLUSH = 120_000
 _STRONG = 2.0
 
 FEATURES = [
