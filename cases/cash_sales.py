@@ -164,7 +164,8 @@ def statement_valid(spark, sf):
     return _statement_out(_checked(spark, sf).matched, "DOC_No")
 
 
-@case(_CHECKED + "select doc, station, 'MismatchAssignment' as error from checked where length(a) <> 8")
+@case(_CHECKED + """select doc, station, 'MismatchAssignment' as error from checked where length(a) <> 8
+union all select cast(doc as varchar), cast(site as integer) + 10000, 'Mismatch StationKey' from lines where site >= 80 and account <> ''""")
 def statement_rejects(spark, sf):
     return _checked(spark, sf).rejected.select(F.col("DOC_No").alias("doc"), F.col("StationCode").alias("station"), F.col("Error").alias("error"))
 
@@ -215,7 +216,8 @@ def daily_sales_fact(spark, sf):
 with {_SALES}
 select l_orderkey, l_linenumber, material, 'Mismatch StationKey' as error from placed where not ok
 union all select l_orderkey, l_linenumber, material, 'Mismatch ProductKey' from placed where ok and division in ('02', '04')
-  and material not in (select material from products)""")
+  and material not in (select material from products)
+union all select l_orderkey, l_linenumber, material, 'Mismatch DivisionKey' from placed where ok and division is null""")
 def daily_sales_rejects(spark, sf):
     return _sales(spark, sf).rejected.select("l_orderkey", "l_linenumber", F.col("MaterialKey").alias("material"), F.col("Error").alias("error"))
 
@@ -244,8 +246,8 @@ def _sales_load(spark, sf):
 _OLD_AND_NEW = f"""
 with {_SALES},
 dated as (select *, cast(strftime(l_shipdate, '%Y') as integer) as y, cast(strftime(l_shipdate, '%Y%m%d') as integer) as d,
-  case when not ok then 'Mismatch StationKey' when division in ('02', '04') and material not in (select material from products) then 'Mismatch ProductKey' end as error
-  from placed where not ok or division is not null),
+  case when not ok then 'Mismatch StationKey' when division in ('02', '04') and material not in (select material from products) then 'Mismatch ProductKey'
+    when division is null then 'Mismatch DivisionKey' end as error from placed),
 now_ as (select *, case when l_orderkey % 2 = 1 and y = 1998 then 9000 else y end as file_key from dated),
 older as (select distinct file_key from now_ where error is null and file_key <> 9000 and d in (select d from now_ where file_key = 9000 and error is null))
 """
@@ -270,9 +272,9 @@ def daily_sales_ledger(spark, sf):
 
 @case(f"""
 with {_SALES},
-waiting as (select * from placed where not ok or (division in ('02', '04') and material not in (select material from products)))
-select l_orderkey, l_linenumber, case when division in ('02', '04') and material not in (select material from products) then 'Mismatch ProductKey' end as error
-from waiting where division is not null""")
+waiting as (select * from placed where not ok or division is null or (division in ('02', '04') and material not in (select material from products)))
+select l_orderkey, l_linenumber, case when division in ('02', '04') and material not in (select material from products) then 'Mismatch ProductKey'
+  when division is null then 'Mismatch DivisionKey' end as error from waiting""")
 def daily_sales_replay(spark, sf):
     """All stations are known by now, so only products are still missing."""
     staged, every, known, mapping = _sales_tables(spark, sf)

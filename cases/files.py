@@ -28,10 +28,10 @@ def named(spark, sf):
 
 
 def old_ledger(spark, sf):
-    """Files loaded before: those of the first hundred documents' sources, in several states."""
+    """A row for every file of the documents, in several states."""
     files = ledgers.parse_file_name(named(spark, sf).select("FileName").distinct())
     size = F.length("FileName")
-    return files.filter("FileName like '20250100%' or FileName like '20250105%'").select(
+    return files.select(
         (F.expr("cast(substring(FileName, 7, 2) as int)") * 1000 + F.expr("cast(substring(FileName, 14, 1) as int)") * 100
          + F.length("SubCategoryName") * 10 + F.length("CategoryName") % 7).cast("int").alias("FileKey"),
         "FileName", "CategoryName", "SubCategoryName", F.lit(20250101).alias("LoadDateKey"), F.lit(0).alias("LoadTimeKey"),
@@ -43,7 +43,7 @@ _LEDGER = f"""
 ledger as (select distinct cast(cast(substr(file_name, 7, 2) as integer) * 1000 + cast(substr(file_name, 14, 1) as integer) * 100
     + length(sub) * 10 + length(cat) % 7 as integer) as file_key, file_name, cat, sub, 20250101 as load_date, 0 as load_time,
     cast(case length(file_name) % 3 when 0 then 1 when 1 then 2 end as smallint) as status
-  from named where sub <> 'CPU' and (file_name like '20250100%' or file_name like '20250105%'))
+  from named where sub <> 'CPU')
 """
 
 

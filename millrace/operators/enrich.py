@@ -44,21 +44,15 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[ColumnOrNa
 
 
 def first_after(starts: DataFrame, events: DataFrame, key: str, start: str, moment: str,
-                order: Sequence[ColumnOrName], take: Sequence[str], spread: int = 16) -> DataFrame:
+                order: Sequence[ColumnOrName], take: Sequence[str]) -> DataFrame:
     """For each key, the first event later than its start.
 
-    ``starts`` has one row per key and is narrow; ``events`` may hold a hot key.
-    Events are spread over ``spread`` salts and the starts repeated for each, so
-    a hot key's events are compared in many tasks.  The first event per key then
-    comes from a partial aggregate.
+    ``starts`` has one row per key and is narrow; ``events`` may hold a hot key,
+    whose rows adaptive execution splits in the join.  The first event per key
+    then comes from a partial aggregate.
     """
-    salted = events.withColumn("__salt", F.pmod(F.xxhash64(*[col_of(c) for c in order], *take), F.lit(spread)))
     begin = starts.select(F.col(key).alias("__key"), F.col(start).alias("__start")).filter(F.col("__start").isNotNull())
-    begin = begin.withColumn("__copy", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(spread - 1).cast("bigint"))))
-    later = salted.join(
-        begin,
-        (F.col(key) == F.col("__key")) & (F.col("__salt") == F.col("__copy")) & (F.col(moment) > F.col("__start")),
-    )
+    later = events.join(begin, (F.col(key) == F.col("__key")) & (F.col(moment) > F.col("__start")))
     return first_per_key(later, [key], order, take)
 
 

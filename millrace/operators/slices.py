@@ -104,10 +104,14 @@ def purge_loaded(rejects: DataFrame, fact: DataFrame, reject_id: str, fact_id: s
     return without_keys(rejects, fact.select(F.col(fact_id).alias(reject_id)), [reject_id])
 
 
-def split_hot_cold(df: DataFrame, day: str, as_of, hours: int = 0) -> tuple[DataFrame, DataFrame]:
-    """Rows from today on, and rows before today.  Rows without a day are in neither."""
+def split_hot_cold(df: DataFrame, day: str, as_of, hours: int = 0, legacy: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Rows from today on, and all others: rows before today and rows without a day.
+
+    ``legacy`` leaves rows without a day out of both.
+    """
     today, _ = stamp(as_of, hours)
-    return df.filter(F.col(day) >= today), df.filter(F.col(day) < today)
+    before = F.col(day) < today
+    return df.filter(F.col(day) >= today), df.filter(before if legacy else before | F.col(day).isNull())
 
 
 def split_by(df: DataFrame, condition: Column) -> tuple[DataFrame, DataFrame]:

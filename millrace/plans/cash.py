@@ -17,7 +17,7 @@ from millrace.operators.lookup import ERROR, Split, enrich
 from millrace.operators.totals import day_with_cutoff, staged_total
 
 RAW = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(10)])
-NO_ASSIGNMENT = "MismatchAssignment"
+NO_ASSIGNMENT, NO_STATION = "MismatchAssignment", "Mismatch StationKey"
 
 
 def _moment(text: str) -> tuple[Column, Column]:
@@ -114,11 +114,12 @@ def statement_amount(text: Column, exact: bool = False) -> Column:
 
 
 def normalise_statement(rows: DataFrame, rule: StatementRule, stations: DataFrame, as_of,
-                        exact: bool = False) -> Split:
+                        exact: bool = False, legacy: bool = False) -> Split:
     """Statement lines with station, date keys and amount.
 
     The assignment starts with the station number and ends with the date.  Lines
-    of unknown stations are left out; a date of the wrong length is a reject.
+    of unknown stations and dates of the wrong length are rejects.  ``legacy``
+    leaves lines of unknown stations out of both halves.
     """
     document = F.try_to_timestamp(F.trim("Doc Date"), F.lit("dd.MM.yyyy"))
     kept = rows.filter(rule.keep)
@@ -135,9 +136,12 @@ def normalise_statement(rows: DataFrame, rule: StatementRule, stations: DataFram
     )
     side = stations.select(F.col("POSCode").try_cast("int").alias("pos"), "StationKey", "CustomerCode")
     placed = enrich(renamed, side, {"StationCode": "pos"}, {"StationKey": "StationKey", "CustomerCode": "CustomerCode"})
-    placed = placed.filter(F.col("StationKey").isNotNull())
-    valid = F.length("AssignmentDateKey") == 8
-    reason = F.when(~valid, NO_ASSIGNMENT) if rule.check_assignment else F.lit(None).cast("string")
+    known = F.col("StationKey").isNotNull()
+    if legacy:
+        placed = placed.filter(known)
+    reason = F.when(~known, NO_STATION)
+    if rule.check_assignment:
+        reason = reason.when(F.length("AssignmentDateKey") != 8, NO_ASSIGNMENT)
     return Split(placed.withColumn(ERROR, reason))
 
 

@@ -23,7 +23,7 @@ from millrace.operators.totals import net_refunds
 from millrace.scratch import materialise
 
 IS_B = "IsFlowCo"
-NO_STATION, NO_PRODUCT = "Mismatch StationKey", "Mismatch ProductKey"
+NO_STATION, NO_PRODUCT, NO_VOLUME = "Mismatch StationKey", "Mismatch ProductKey", "Mismatch Volume"
 PRODUCT = "MappingKey"
 
 
@@ -204,6 +204,9 @@ def load_feed(staged: DataFrame, feed: str, stations: DataFrame, mapping: DataFr
 def _finish(split: Split, feed: str, rule: FeedRule, drop_noise: Column | None) -> Split:
     frame, loaded = split.frame, F.col(split.error).isNull()
     if feed == "TRN":
+        # a fuel line without a number for its volume can't be netted; it waits in the quarantine
+        unread = loaded & ~F.col(IS_B) & F.col("Volume").try_cast("decimal(15,3)").isNull()
+        frame = frame.withColumn(split.error, F.when(unread, F.lit(NO_VOLUME)).otherwise(F.col(split.error)))
         frame = net_refunds(frame, ["CloseDateKey", "TransNumber", "FileKey"], "Volume", "Amount",
                             where=loaded & ~F.col(IS_B), amount_type="decimal(18,2)")
         frame = frame.withColumn("Vat", F.lit(None).cast("decimal(18,2)"))
@@ -259,9 +262,12 @@ def run_feed(staged: DataFrame, feed: str, stations: DataFrame, mapping: DataFra
     split = load_feed(replayed, feed, stations, mapping, stage=True)
     new_fact, new_rejects = to_tables(split, fact.schema, rejects.schema, feed)
     outcome = ledgers.FeedOutcome(superseded=old, loaded=current)
+    new_ledger = ledgers.apply_outcomes(ledger, [outcome])
+    if replay:  # files that have left the quarantine by this load are loaded, whatever they were before
+        new_ledger = ledgers.mark_replayed(new_ledger, slices.without_keys(rejects, old, ["FileKey"]), new_rejects)
     return Batch(
         fact=slices.without_keys(fact, old, ["FileKey"]).unionByName(new_fact),
         rejects=slices.without_keys(remaining, old, ["FileKey"]).unionByName(new_rejects),
-        ledger=ledgers.apply_outcomes(ledger, [outcome]),
+        ledger=new_ledger,
         split=split,
     )

@@ -19,7 +19,7 @@ from millrace.operators.merge import insert_only, merge, s, unseen
 from millrace.scratch import materialise
 from millrace.sources.reports import match_columns
 
-NO_STATION, NO_PRODUCT = "Mismatch StationKey", "Mismatch ProductKey"
+NO_STATION, NO_PRODUCT, NO_DIVISION = "Mismatch StationKey", "Mismatch ProductKey", "Mismatch DivisionKey"
 # Divisions whose materials are looked up, and the labels of two regions.
 OIL_DIVISIONS = ["02", "04"]
 METRO = ["Bangkok", "Vicinity"]
@@ -47,11 +47,12 @@ def stage(raw: DataFrame, schema: T.StructType, file_key: int | None = None,
 
 
 def load_sales(staged: DataFrame, stations: DataFrame, mapping: DataFrame, source_name: str,
-               source_file: str = "DailySales", file_key: int | None = None) -> Split:
+               source_file: str = "DailySales", file_key: int | None = None, legacy: bool = False) -> Split:
     """Sales with station and product keys.
 
     Only oil divisions need a product; all others get product 0.  Rows without a
-    division belong to neither group and appear on neither side.
+    division belong to neither group and are rejects; ``legacy`` leaves them out
+    of both sides.
     """
     rows = staged.withColumns({
         "Int_Date": c.date_key("CalendarDay"),
@@ -61,7 +62,8 @@ def load_sales(staged: DataFrame, stations: DataFrame, mapping: DataFrame, sourc
     sites = stations.select("CustomerCode", "StationKey").distinct()
     placed = lookup(rows, sites, {"CustomerCode": "CustomerCode"}, ["StationKey"], NO_STATION).frame
     division = F.lpad("DivisionKey", 2, "0")
-    placed = placed.filter(F.col(ERROR).isNotNull() | division.isNotNull())
+    if legacy:
+        placed = placed.filter(F.col(ERROR).isNotNull() | division.isNotNull())
     is_oil = division.isin(OIL_DIVISIONS)
     products = mapping_table(mapping, (F.col("SourceName") == source_name) & (F.col("SourceFile") == source_file),
                              ["SourceKey", "MappingKey"])
@@ -69,7 +71,7 @@ def load_sales(staged: DataFrame, stations: DataFrame, mapping: DataFrame, sourc
     other = F.col("StationKey").isNotNull() & ~is_oil
     return Split(found.withColumns({
         "MappingKey": F.when(other, F.lit(0)).otherwise(F.col("MappingKey")),
-        ERROR: F.when(~other | other.isNull(), F.col(ERROR)),
+        ERROR: F.when(division.isNull() & F.col("StationKey").isNotNull(), F.lit(NO_DIVISION)).when(~other | other.isNull(), F.col(ERROR)),
     }))
 
 

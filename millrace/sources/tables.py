@@ -126,8 +126,13 @@ def rewrite_partitions(spark: SparkSession, path: str, touched: DataFrame, parti
     """Replace the content of some partitions by a function of it; the others are not read or written.
 
     The new content is stored before the old one goes.  A partition left without
-    rows is removed.
+    rows is removed.  Without a schema, partition columns have the types that
+    ``touched`` gives them.
     """
+    if schema is None:
+        kinds = {f.name: f.dataType for f in touched.schema}
+        schema = T.StructType([T.StructField(f.name, kinds.get(f.name, f.dataType) if f.name in partition_by else f.dataType)
+                               for f in by_path(spark, path).schema])
     touched = materialise(touched.select(*partition_by).distinct(), "touched")
     table = by_path(spark, path, schema)
     fresh = materialise(change(in_partitions(table, touched)), "rewritten")
@@ -148,6 +153,11 @@ def upsert_partitions(spark: SparkSession, path: str, source: DataFrame, on: Map
                       partition_by: Sequence[str], schema: T.StructType | None = None) -> None:
     """Full-row upsert into a partitioned table that rewrites only the partitions it touches."""
     target = by_path(spark, path, schema)
+    if schema is None:
+        # Values read from folder names would be guessed: text '01' would become the number 1.
+        kinds = {f.name: f.dataType for f in source.schema}
+        schema = T.StructType([T.StructField(f.name, kinds[f.name] if f.name in partition_by else f.dataType) for f in target.schema])
+        target = by_path(spark, path, schema)
     touched = touched_partitions(target, source, on, partition_by)
     rewrite_partitions(spark, path, touched, partition_by,
                        lambda part: upsert_full(part.select(*target.columns), source, on, action=None), schema)

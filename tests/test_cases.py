@@ -34,5 +34,5 @@ def test_same_as_sql(spark, db, name):
 def test_driver_entry(spark):
     import __spark_entry__ as entry
 
-    assert set(entry.oracle_sql()) == set(entry.queries()) == set(CASES)
+    assert set(CASES) <= set(entry.oracle_sql()) <= set(entry.queries())
     assert entry.entry(spark).count() == 9

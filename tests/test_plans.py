@@ -44,7 +44,7 @@ def test_fuel(frame, stations, mapping):
         (1, 100, 1, Decimal("5.000"), Decimal("50.00"), "083000", 2024), (2, 100, 1, Decimal("4.000"), Decimal("40.00"), "083000", 2024),
         (3, 400, 1, Decimal("0.000"), Decimal("0.00"), "083000", 2024), (4, 300, 1, Decimal("5.000"), Decimal("50.00"), "083000", 2024),
         (5, 200, 1, Decimal("-7.000"), Decimal("50.00"), "083000", 2024)]
-    assert rows_of(split.rejected, "TransNumber", "StationKey", "Error") == [(6, None, pos.NO_STATION), (7, 1, pos.NO_PRODUCT), (8, 1, pos.NO_PRODUCT)]
+    assert rows_of(split.rejected, "TransNumber", "StationKey", "Error") == [(6, None, pos.NO_STATION), (7, 1, pos.NO_PRODUCT), (8, 1, pos.NO_PRODUCT), (9, 1, pos.NO_VOLUME)]
     staged_once = pos.load_feed(staged, "TRN", stations, mapping, stage=True)
     assert rows_of(staged_once.frame, "TransNumber", "Volume", "Error") == rows_of(split.frame, "TransNumber", "Volume", "Error")
 
@@ -148,7 +148,9 @@ def test_product_fan_out_is_kept(frame):
     products = frame("SourceName string, SourceFile string, SourceKey string, MappingKey int", ("S", "DailySales", "M", 5), ("S", "DailySales", "M", 6))
     split = sales.load_sales(staged, frame("CustomerCode string, StationKey int", ("1", 10)), products, "S")
     assert rows_of(split.matched, "DivisionKey", "MappingKey") == [("2", 5), ("2", 6), ("9", 0)]
-    assert rows_of(split.rejected, "SoldtoPartyKey", "Error") == [(1, sales.NO_PRODUCT), (2, sales.NO_STATION)]
+    assert rows_of(split.rejected, "SoldtoPartyKey", "Error") == [(1, sales.NO_DIVISION), (1, sales.NO_PRODUCT), (2, sales.NO_STATION)]
+    kept = sales.load_sales(staged, frame("CustomerCode string, StationKey int", ("1", 10)), products, "S", legacy=True)
+    assert rows_of(kept.rejected, "Error") == [(sales.NO_PRODUCT,), (sales.NO_STATION,)]
 
 
 def test_new_station_gets_defaults(frame):

@@ -65,11 +65,9 @@ def test_latest_row_sends_one_row_per_key_and_task(spark, small_joins):
     assert newest.filter("k = 0").first().id == 89_997
 
 
-def test_first_after_spreads_a_hot_key(spark, small_joins):
+def test_first_after_on_a_hot_key(spark, small_joins):
     events = hot(spark).select("k", F.col("id").alias("m"), "id")
     starts = spark.range(1).select(F.col("id").alias("k"), F.lit(1000).alias("b"))
     found = first_after(starts, events, "k", "b", "m", ["m", "id"], ["id"])
     assert [r[:] for r in found.collect()] == [(0, 1002)]
-    salt = F.pmod(F.xxhash64("m", "id", "id"), F.lit(16))
-    biggest = events.filter("k = 0").groupBy(salt).count().agg(F.max("count")).first()[0]
-    assert biggest < 30_000 / 12
+    assert "Generate" not in found._jdf.queryExecution().executedPlan().toString()  # no copies of the starts

@@ -49,10 +49,11 @@ def test_month_to_date(frame):
     assert status(alone[0]) == {1: 1, 2: 1, 3: 1, 9: 1} and alone[1].count() == 6
 
 
-def test_undecided_rows_are_in_neither_part(frame):
+def test_rows_without_a_day_are_cold(frame):
     df = frame("d int", 20240615, 20240616, None)
     hot, cold = slices.split_hot_cold(df, "d", "2024-06-15 20:00:00", 7)
-    assert (rows_of(hot), rows_of(cold)) == ([(20240616,)], [(20240615,)])
+    assert (rows_of(hot), rows_of(cold)) == ([(20240616,)], [(None,), (20240615,)])
+    assert rows_of(slices.split_hot_cold(df, "d", "2024-06-15 20:00:00", 7, legacy=True)[1]) == [(20240615,)]
     yes, no = slices.split_by(df, F.col("d") > 20240615)
     assert (yes.count(), no.count()) == (1, 1)
 
@@ -122,8 +123,7 @@ def test_first_after_is_strict_and_breaks_ties(frame):
     starts = frame("k string, b int", ("a", 5), ("b", 5), ("c", None), ("d", 1))
     events = frame("k string, m int, id int", ("a", 5, 1), ("a", 9, 3), ("a", 9, 2), ("a", 7, 4), ("b", 4, 5), ("c", 9, 6), ("z", 9, 7))
     assert rows_of(first_after(starts, events, "k", "b", "m", ["m", "id"], ["id"])) == [("a", 4)]
-    one_salt = first_after(starts, events.filter("id <> 4"), "k", "b", "m", ["m", "id"], ["id"], spread=1)
-    assert rows_of(one_salt) == [("a", 2)]
+    assert rows_of(first_after(starts, events.filter("id <> 4"), "k", "b", "m", ["m", "id"], ["id"])) == [("a", 2)]
 
 
 def test_first_after_against_brute_force(spark):

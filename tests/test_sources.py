@@ -216,3 +216,10 @@ def test_cluster_without_shared_folder_is_refused():
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         scratch.scratch_root(Session())
+
+
+def test_upsert_keeps_text_partitions_without_a_schema(spark, frame, tmp_path):
+    path = str(tmp_path / "text_parts")
+    tables.write(frame("k int, v string, p string", (1, "a", "01"), (2, "b", "02"), (4, "d", "1"), (5, "e", None)), path, "overwrite", ["p"])
+    tables.upsert_partitions(spark, path, frame("k int, v string, p string", (1, "A", "01"), (3, "C", "03"), (5, "E", None)), ["k"], ["p"])
+    assert rows_of(tables.by_path(spark, path, T.StructType.fromDDL("k int, v string, p string"))) == [(1, "A", "01"), (2, "b", "02"), (3, "C", "03"), (4, "d", "1"), (5, "E", None)]
