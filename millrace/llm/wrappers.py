@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.runtime import ship
+from millrace.llm.runtime import Workspace, ship
 
 #: Wrappers that a task holds before it hands them on.
 HELD = 512
@@ -360,7 +360,8 @@ def main_text(pages: DataFrame, url: str = "url", source: str = "html") -> DataF
             found = [json.dumps(region(json.loads(w))) for w in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.string())], names=["host", "where"])
 
-    known = infer(rows).mapInArrow(regions, "host string, where string")
+    # written first, so that its true size decides whether the pages are shuffled at all
+    known = Workspace(pages.sparkSession, "wrappers").put(infer(rows).mapInArrow(regions, "host string, where string"), "regions")
     placed = rows.join(known, "host", "left").select(*[f"_c{i}" for i in range(len(keep))], "where", "html")
 
     def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
