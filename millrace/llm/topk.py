@@ -117,13 +117,12 @@ def top_k(vectors: DataFrame, k: int = 5, every: int = 50, key: str = "vec_id",
     table = F.lit(None).cast("array<double>") if not bounds else F.element_at(F.create_map(*[x for c, b in bounds.items() for x in (F.lit(c), F.lit(b).cast("array<double>"))]), F.col("cell"))
     ring = F.size(F.filter(table, lambda b: b <= F.col("far")))
     ringed = index.withColumn("ring", ring)
-    crowd = ringed.groupBy("cell", "ring").agg(F.count(F.lit(1)).alias("m"))
-    salts = {(r["cell"], r["ring"]): -(-r["m"] // size) for r in crowd.filter(F.col("m") > size).collect()}
-    salt = F.lit(0)
-    for (c, r), m in salts.items():
-        salt = F.when((F.col("cell") == c) & (F.col("ring") == r), F.pmod(F.xxhash64("id"), F.lit(m)).cast("int")).otherwise(salt)
+    # annuli of more rows than that (equal distances) are cut by a hash; a small table, whose true size decides how it is joined
+    crowd = ringed.groupBy("cell", "ring").agg(F.ceil(F.count(F.lit(1)) / size).alias("cuts")).filter("cuts > 1")
+    crowd = work.put(crowd, "crowd")
+    salt = F.coalesce(F.pmod(F.xxhash64("id"), F.col("cuts")), F.lit(0)).cast("int")
     place = F.concat_ws("-", "cell", "ring", "salt").alias("place")
-    placed = ringed.withColumn("salt", salt).select(place, "cell", "id", "v", "far", "norm")
+    placed = ringed.join(crowd, ["cell", "ring"], "left").withColumn("salt", salt).select(place, "cell", "id", "v", "far", "norm")
     found = placed.groupBy("place").agg(F.first("cell").alias("cell"), F.min("far").alias("a"), F.max("far").alias("b"), F.max("norm").alias("norm")).collect()
     found.sort(key=lambda r: r["place"])
     names = [r["place"] for r in found]
