@@ -3,8 +3,10 @@
 Every merge walks the target once in a left join to the source.  With a small
 source Spark broadcasts it and the target is not shuffled at all; with a large
 one the join shuffles both and adaptive execution can split a hot target key,
-which a full outer join would not allow.  Source keys must be unique, as for any
-merge; ``unique=True`` checks it.
+which a full outer join would not allow.  A source that repeats a key is refused
+while the plan runs, by an aggregate of its keys; ``unique=False`` leaves that out
+for sources that are known to hold each key once.  Rows with a NULL key never match
+and may repeat.
 """
 
 from __future__ import annotations
@@ -18,7 +20,6 @@ from pyspark.sql import types as T
 
 from millrace.functions.columns import stamp
 from millrace.functions.conform import fill_columns
-from millrace.operators.lookup import assert_unique
 
 ACTION = "action"
 _COPY, _APPLY, _HIT = "__copy", "__apply", "__hit"
@@ -69,6 +70,17 @@ def unseen(source: DataFrame, target: DataFrame, on: Mapping[str, str]) -> DataF
     return source.join(touched, theirs, "left_anti")
 
 
+def refuse_repeated(source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``source``, failing at run time if two rows share a key without NULL.
+
+    The check is a scalar subquery, so the planner still sees the source's own size.
+    """
+    times = source.dropna(subset=list(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("__times"))
+    example = times.filter("__times > 1").agg(F.max(F.to_json(F.struct(*keys)))).scalar()
+    refused = F.raise_error(F.concat(F.lit("merge source has a repeated key: "), example)).cast("boolean")
+    return source.filter(F.when(example.isNotNull(), refused).otherwise(True))
+
+
 def _kind(frame: DataFrame, name: str) -> T.DataType:
     return frame.schema[name].dataType
 
@@ -93,7 +105,7 @@ def _marked(target: DataFrame, source: DataFrame, condition: Column, on: Mapping
 def merge(target: DataFrame, source: DataFrame, on: Mapping[str, str] | Sequence[str],
           update: Mapping[str, Column], insert: Mapping[str, Column] | None,
           when: Column | None = None, labels: Sequence[str] = ("NOT MATCHED", "SAME", "UPDATED", "INSERT"),
-          action: str | None = ACTION, unique: bool = False) -> DataFrame:
+          action: str | None = ACTION, unique: bool = True) -> DataFrame:
     """Target after the merge, each row labelled with what happened to it.
 
     ``update`` and ``insert`` map target columns to expressions over
@@ -103,7 +115,7 @@ def merge(target: DataFrame, source: DataFrame, on: Mapping[str, str] | Sequence
     """
     on = on_map(on)
     if unique:
-        assert_unique(source, list(on.values()), "merge source")
+        source = refuse_repeated(source, list(on.values()))
     not_matched, same, updated, inserted = labels
     joined = _marked(target, source, same_keys(on), on, when)
     hit, apply = F.col(_HIT), F.col(_APPLY)
@@ -126,7 +138,7 @@ def merge(target: DataFrame, source: DataFrame, on: Mapping[str, str] | Sequence
 
 def upsert_full(target: DataFrame, source: DataFrame, on: Mapping[str, str] | Sequence[str],
                 labels: Sequence[str] = ("NOT MATCHED", "SAME", "UPDATED", "INSERT"),
-                action: str | None = ACTION, unique: bool = False) -> DataFrame:
+                action: str | None = ACTION, unique: bool = True) -> DataFrame:
     """Replace a matched row by the whole source row; add unseen ones.
 
     Target columns the source lacks become NULL in replaced rows.
@@ -139,7 +151,7 @@ def upsert_full(target: DataFrame, source: DataFrame, on: Mapping[str, str] | Se
 
 def upsert_changed(target: DataFrame, source: DataFrame, on: Mapping[str, str] | Sequence[str],
                    tracked: Mapping[str, str] | Sequence[str], extra: Mapping[str, Column] | None = None,
-                   null_is_change: bool = False, action: str | None = ACTION, unique: bool = False) -> DataFrame:
+                   null_is_change: bool = False, action: str | None = ACTION, unique: bool = True) -> DataFrame:
     """Update a matched row only if a tracked column differs; add unseen rows.
 
     ``tracked`` (target column -> source column) is compared and copied, each
@@ -185,7 +197,7 @@ def insert_only(target: DataFrame, source: DataFrame, columns: Mapping[str, str]
 def scd2_status(target: DataFrame, source: DataFrame, on: Mapping[str, str] | Sequence[str], status: str,
                 as_of, hours: int = 0, start: tuple[str, str] = ("StartDateKey", "StartTimeKey"),
                 end: tuple[str, str] = ("EndDateKey", "EndTimeKey"), action: str | None = ACTION,
-                unique: bool = False) -> DataFrame:
+                unique: bool = True) -> DataFrame:
     """Close the open row of a key whose status changed and open a new one.
 
     A NULL on either side counts as changed.  The new row takes all it can from
@@ -194,7 +206,7 @@ def scd2_status(target: DataFrame, source: DataFrame, on: Mapping[str, str] | Se
     """
     on = on_map(on)
     if unique:
-        assert_unique(source, list(on.values()), "status source")
+        source = refuse_repeated(source, list(on.values()))
     day, clock = stamp(as_of, hours)
     opened = t(start[0]).isNotNull() & t(end[0]).isNull()
     differing = ~F.coalesce(t(status) == s(status), F.lit(False))
@@ -231,7 +243,7 @@ def scd1_current(target: DataFrame, source: DataFrame, on: Mapping[str, str] | S
                  start: tuple[str, str] = ("StartDateKey", "StartTimeKey"),
                  end: tuple[str, str] = ("EndDateKey", "EndTimeKey"),
                  load: tuple[str, str] | None = None, fill: str | None = "NA",
-                 null_is_change: bool = False, action: str | None = ACTION, unique: bool = False) -> DataFrame:
+                 null_is_change: bool = False, action: str | None = ACTION, unique: bool = True) -> DataFrame:
     """Overwrite the open row of a key if a tracked attribute differs.
 
     ``keep`` names the columns an overwritten row retains (validity, surrogate
@@ -242,7 +254,7 @@ def scd1_current(target: DataFrame, source: DataFrame, on: Mapping[str, str] | S
     """
     on = on_map(on)
     if unique:
-        assert_unique(source, list(on.values()), "attribute source")
+        source = refuse_repeated(source, list(on.values()))
     if defaults:
         source = fill_columns(source, defaults)
     day, clock = stamp(as_of, hours)

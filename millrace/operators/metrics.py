@@ -39,22 +39,31 @@ class Check:
             raise ValueError(f"unknown check {self.kind!r}")
 
 
-def _exact(column: Column, kind: T.DataType) -> Column:
-    """Sums of floating-point columns are made exact, so they do not depend on row order."""
-    return column.cast("decimal(28,10)") if isinstance(kind, (T.DoubleType, T.FloatType)) else column
-
-
 def _passing(check: Check, value: Column) -> Column:
     return F.when(F.expr(check.where), value) if check.where else value
 
 
+def _sum(df: DataFrame, check: Check) -> Column:
+    """Sum of a check's column; floating-point values are made exact, so it does not depend on row order.
+
+    A sum with a value that has no exact form (too large, not finite), or that grows
+    too large itself, is NULL and leaves the other checks alone.
+    """
+    column = F.col(check.column)
+    if not isinstance(df.schema[check.column].dataType, (T.DoubleType, T.FloatType)):
+        return F.try_sum(_passing(check, column))
+    exact = column.try_cast("decimal(28,10)")
+    inexact = F.bool_or(_passing(check, column.isNotNull() & exact.isNull()))
+    return F.when(inexact, F.lit(None)).otherwise(F.try_sum(_passing(check, exact)))
+
+
 def _scalar(df: DataFrame, check: Check) -> Column:
     if check.kind == "countrow":
         return F.count(_passing(check, F.lit(1)))
     column = F.col(check.column)
     value = {
         "countnonnull": lambda: F.count(_passing(check, column)),
-        "sum": lambda: F.sum(_passing(check, _exact(column, df.schema[check.column].dataType))),
+        "sum": lambda: _sum(df, check),
         "min": lambda: F.min(_passing(check, column)),
         "max": lambda: F.max(_passing(check, column)),
         "firstdate": lambda: _extreme_day(df, check, F.min),
@@ -119,8 +128,7 @@ def _groups(df: DataFrame, name: str, checks: Sequence[Check]) -> DataFrame:
     for i, check in enumerate(checks):
         measures.append(F.count(_passing(check, F.lit(1))).alias(f"__n{i}"))
         if check.kind == "sumby":
-            exact = _exact(F.col(check.column), df.schema[check.column].dataType)
-            measures.append(F.sum(_passing(check, exact)).alias(f"__v{i}"))
+            measures.append(_sum(df, check).alias(f"__v{i}"))
     grouped = df.groupBy(F.col(name).alias("__group")).agg(*measures)
     rows = F.array(*[
         F.struct(

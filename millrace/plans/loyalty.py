@@ -127,7 +127,7 @@ def update_cards(dimension: DataFrame, staged: DataFrame, as_of, hours: int = LO
     current = scd1_current(
         versioned, staged, ["CardNum"], [n for n in CARD_TRACKED if n in staged.columns], keep, as_of, hours,
         defaults=dict.fromkeys(text, "NA"), load=("LoadDateKey", "LoadTimeKey"),
-        null_is_change=null_is_change, action=None,
+        null_is_change=null_is_change, action=None, unique=False,  # the same source as above
     )
     order = ["CardNum", "StartDateKey", "StartTimeKey"]
     numbered = allocate_keys(current, "CardProfileKey", order, existing=dimension, stage=True)

@@ -1,6 +1,6 @@
 import pytest
 
-from millrace.operators.merge import insert_only, refresh_keep_keys, s, scd1_current, scd2_status, unseen, upsert_changed, upsert_full
+from millrace.operators.merge import insert_only, merge, refresh_keep_keys, s, scd1_current, scd2_status, unseen, upsert_changed, upsert_full
 from millrace.plans.sales import merge_members
 from tests.conftest import rows_of
 
@@ -40,8 +40,18 @@ def test_changed_upsert_can_count_two_nulls_as_change(target, source):
 
 
 def test_repeated_source_key_is_refused(target, source):
-    with pytest.raises(ValueError, match="repeated key"):
-        upsert_full(target, source.unionByName(source), ["k"], unique=True)
+    twice = source.unionByName(source)
+    for merged in (upsert_full(target, twice, ["k"]), upsert_changed(target, twice, ["k"], ["a"]),
+                   upsert_full(target.filter("k < 0"), twice, ["k"]), merge(target, twice, ["k"], {"b": s("b")}, None)):
+        with pytest.raises(Exception, match="repeated key"):
+            merged.collect()
+    assert upsert_full(target, twice, ["k"], unique=False).count() > upsert_full(target, source, ["k"]).count()
+
+
+def test_rows_without_a_key_may_repeat(target, source):
+    nulls = source.filter("k is null")
+    got = upsert_full(target, source.unionByName(nulls).unionByName(nulls), ["k"])
+    assert got.filter("k is null and action = 'INSERT'").count() == 3 * nulls.count()
 
 
 def test_unseen_with_an_empty_target(target, source):

@@ -1,4 +1,5 @@
 from datetime import datetime
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -46,6 +47,14 @@ def test_shared_filter_reaches_the_scan(sales, tmp_path):
     assert "EqualTo(g,a)" in plan and "ReadSchema: struct<g:string,v:double>" in plan
 
 
+def test_values_without_an_exact_sum_spoil_only_their_own_check(frame):
+    rows = frame("g string, x double, n bigint", ("a", 1e19, 2 ** 62), ("b", 0.5, 2 ** 62), ("b", 0.25, 1), ("c", float("nan"), 1), ("d", None, None))
+    checks = [Check(1, "t", "x", "sum"), Check(2, "t", "x", "sum", "", "x < 1"), Check(3, "t", "", "countrow"), Check(4, "t", "x", "sumby", "g"), Check(5, "t", "n", "sum")]
+    got = {(r["index"], r["groupbyValue"]): r["value"] for r in table_metrics(rows, checks, NOW).collect()}
+    assert got == {(1, ""): None, (2, ""): Decimal("0.75000"), (3, ""): Decimal("5.00000"), (4, "a"): None, (4, "b"): Decimal("0.75000"), (4, "c"): None,
+                   (4, "d"): None, (5, ""): None}
+
+
 def test_unknown_kind():
     with pytest.raises(ValueError, match="unknown check"):
         Check(1, "t", "v", "median")
