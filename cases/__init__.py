@@ -10,7 +10,7 @@ import importlib
 
 from cases.base import CASES
 
-for _module in ("lookups", "keyed", "merges", "files", "members", "cash_sales", "feeds", "loyalty", "quality", "storage"):
+for _module in ("lookups", "keyed", "merges", "files", "members", "cash_sales", "feeds", "loyalty", "quality", "storage", "jobs"):
     importlib.import_module(f"cases.{_module}")
 
 __all__ = ["CASES"]

@@ -231,12 +231,14 @@ def to_tables(split: Split, fact: T.StructType, rejects: T.StructType, feed: str
 
 @dataclass(frozen=True)
 class Batch:
-    """Table contents after a load."""
+    """Table contents after a load, the fact rows it adds, and the keys of the files it replaces."""
 
     fact: DataFrame
     rejects: DataFrame
     ledger: DataFrame
     split: Split
+    loaded: DataFrame
+    superseded: DataFrame
 
 
 def run_feed(staged: DataFrame, feed: str, stations: DataFrame, mapping: DataFrame | None, fact: DataFrame,
@@ -270,4 +272,6 @@ def run_feed(staged: DataFrame, feed: str, stations: DataFrame, mapping: DataFra
         rejects=slices.without_keys(remaining, old, ["FileKey"]).unionByName(new_rejects),
         ledger=new_ledger,
         split=split,
+        loaded=new_fact,
+        superseded=old,
     )

@@ -210,6 +210,24 @@ def write_next(df: DataFrame, path: str, partition_by: Sequence[str] = (), keep:
     return read_current(spark, path)
 
 
+def write_together(spark: SparkSession, path: str, number: int, frames: Mapping[str, tuple[DataFrame, Sequence[str]]], keep: int = 2) -> None:
+    """Write several tables (frame, partition columns) as one version, which counts once all of them are whole.
+
+    A version that broke off has no marker and is written over.
+    """
+    for name, (df, partition_by) in frames.items():
+        write(df, f"{path}/version={number}/{name}", "overwrite", partition_by)
+    root, fs = _file_system(spark, f"{path}/version={number}")
+    fs.create(spark._jvm.org.apache.hadoop.fs.Path(root, "_SUCCESS"), True).close()
+    for old in versions(spark, path)[:-keep]:
+        drop_folder(spark, f"{path}/version={old}")
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    root, fs = _file_system(spark, path)
+    fs.delete(root, True)
+
+
 # ---- declared tables -----------------------------------------------------------
 
 # Type names a metadata table may use.
