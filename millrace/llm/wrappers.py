@@ -10,10 +10,19 @@ repeated group), and texts that differ leave a slot.  Wrappers align with wrappe
 the same way, so each task folds its pages and the parts of a host are folded after.
 
 A wrapper also sums, for each slot, how many characters it held and how many of
-them were link text.  Its main region is the articles if pages have any, else the
-content container, else the smallest tag pair with most of the unlinked text of
-slots that vary; items named as menus, headers, footers, sidebars, notices, adverts,
-forms or comments are never in it.  Extraction walks a page beside its host's wrapper.
+them were link text, and counts the pages of each text that may be constant.  Extraction
+walks a page beside its host's wrapper: each item is aligned with a wrapper item of its
+label, and each text is decided by its slot.  Texts that stay the same over the host's
+pages go, slots of mostly link text go (but a heading that is not repeated stays).  All other slots are
+main text, wherever they stand.  Named menus, headers, footers, sidebars, notices,
+adverts, forms and comments are left out by fixed words of tags and classes, as a
+slot's varying text alone can't tell an advert from a paragraph.
+
+A text is constant if at least CONSTANT pages and half of the pages with its slot have
+it.  In a repeated slot it goes only if it stands in a part of the page (a marked
+container, article or section) with no other text of its own on that page, as prose may
+repeat a line.  A page with nothing but constant texts (a copy) keeps them, one with
+nothing but links keeps those.
 
 Defined results: null and empty pages have the empty text; a page without a host
 shares the wrapper of those without one; white space inside a block is one space.
@@ -21,10 +30,12 @@ shares the wrapper of those without one; white space inside a block is one space
 
 from __future__ import annotations
 
+import hashlib
 import html
 import json
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -36,6 +47,8 @@ from millrace.llm.runtime import Workspace, ship
 HELD = 512
 #: Parts of a host that are folded together at once.
 FOLD = 64
+#: Pages that make a text constant, and texts of a slot from which on the rare ones are let go.
+CONSTANT, TEXTS = 5, 128
 
 #: Tags by what they do.
 DROPPED = frozenset("head title script style noscript template iframe svg canvas object select button textarea form nav footer aside dialog menu".split())
@@ -53,7 +66,6 @@ BOILERPLATE = frozenset("""nav navigation navbar menu menubar breadcrumb breadcr
 advertisement sponsor sponsored promo promotion cookie cookies consent gdpr notice alert popup modal overlay newsletter subscribe subscription signup
 login share sharing social related recommended recommendations comment comments commentlist reply replies respond disqus search searchbox widget
 toolbar pagination pager contentinfo complementary skip""".split())
-CONTENT = frozenset("content article post entry story main articlebody articlecontent maincontent postcontent entrycontent storybody".split())
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style)\b[^>]*>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>|<[/!?a-zA-Z][^<>]*\Z",
                     re.S | re.I)
@@ -127,9 +139,9 @@ def parse(source: str) -> Node:
     return root
 
 
-# A wrapper item is a list: [label, optional, repeated, pages, characters, linked, text or None, items].
+# A wrapper item is a list: [label, optional, repeated, pages, characters, linked, text or None, items, pages of texts by their hashes].
 # The label "#" is a text slot (its text is kept while it is the same everywhere); a label of several names is a group.
-LABEL, OPTIONAL, REPEATED, PAGES, CHARS, LINKED, TEXT, ITEMS = range(8)
+LABEL, OPTIONAL, REPEATED, PAGES, CHARS, LINKED, TEXT, ITEMS, SEEN = range(9)
 
 
 def described(node: Node) -> list:
@@ -137,16 +149,20 @@ def described(node: Node) -> list:
     items = []
     for item in node.items:
         if isinstance(item, tuple):
-            items.append(["#", False, False, 1, item[0], item[1], hash_of(item[2]), []])
+            items.append(["#", False, False, 1, item[0], item[1], hash_of(item[2]), [], {digest(item[2]): 1}])
         else:
             items.append(described(item))
-    return [node.label, False, False, 1, 0, 0, None, squared(items)]
+    return [node.label, False, False, 1, 0, 0, None, squared(items), {}]
 
 
 def hash_of(text: str) -> str:
     return text if len(text) <= 24 else f"{text[:12]}…{len(text)}…{text[-12:]}"
 
 
+def digest(text: str) -> str:
+    return hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).hexdigest()
+
+
 def squared(items: list) -> list:
     """Neighbouring repeats of one, two or three items folded into repeated items and groups."""
     for width in (1, 2, 3):
@@ -165,7 +181,7 @@ def squared(items: list) -> list:
                     first[0][REPEATED] = True
                     out.append(first[0])
                 else:
-                    out.append([" ".join(block), False, True, 1, 0, 0, None, first])
+                    out.append([" ".join(block), False, True, 1, 0, 0, None, first, {}])
                 i = j
             else:
                 out.append(items[i])
@@ -179,7 +195,17 @@ def folded(a: list, b: list, same_page: bool = False) -> list:
     text = a[TEXT] if a[TEXT] == b[TEXT] else None
     pages = max(a[PAGES], b[PAGES]) if same_page else a[PAGES] + b[PAGES]
     return [a[LABEL], a[OPTIONAL] or b[OPTIONAL], a[REPEATED] or b[REPEATED], pages, a[CHARS] + b[CHARS], a[LINKED] + b[LINKED], text,
-            aligned(a[ITEMS], b[ITEMS], same_page)]
+            aligned(a[ITEMS], b[ITEMS], same_page), _seen(a[SEEN], b[SEEN], pages, same_page)]
+
+
+def _seen(a: dict[str, int], b: dict[str, int], pages: int, same_page: bool) -> dict[str, int]:
+    """Pages of each text of two slots; of very many texts, those on less than a quarter of the pages so far go."""
+    if not b:
+        return a
+    out = dict(a)
+    for k, n in b.items():
+        out[k] = max(out.get(k, 0), n) if same_page else out.get(k, 0) + n
+    return out if same_page or len(out) <= TEXTS else {k: n for k, n in out.items() if 4 * n >= pages}
 
 
 def aligned(a: list, b: list, same_page: bool = False) -> list:
@@ -216,6 +242,7 @@ def expression(item: list) -> str:
     return f"({body}){'+' if item[REPEATED] else ''}{'?' if item[OPTIONAL] else ''}" if item[REPEATED] or item[OPTIONAL] else body
 
 
+@lru_cache(4096)
 def is_boilerplate(label: str, in_article: bool = False) -> bool:
     tag, *marks = label.split(".")
     if tag in DROPPED or tag == "header" and not in_article:
@@ -227,80 +254,100 @@ def _words(mark: str) -> set[str]:
     return {w.lower() for w in _NAMES.findall(mark)}
 
 
-def region(wrapper: list) -> list[str] | None:
-    """Where the main text is: the path of labels of the container, ``["article"]``-like for all of a tag; None for the whole page."""
-    found: dict[str, float] = {}
-    best: list[tuple[float, list[str]]] = []
-
-    def mass(item: list, path: list[str]) -> float:
-        if item[LABEL] == "#":
-            constant = item[TEXT] is not None and item[PAGES] >= 5
-            return 0.0 if constant else max(0, item[CHARS] - 2 * item[LINKED])
-        if is_boilerplate(item[LABEL]):
-            return 0.0
-        here = path if " " in item[LABEL] or not item[LABEL] else [*path, item[LABEL]]
-        own = sum(mass(x, here) for x in item[ITEMS])
-        tag, *marks = item[LABEL].split(".")
-        if own > 0 and here:
-            if tag == "article" or tag == "main" or "main" in marks:
-                key = "article" if tag == "article" else "main"
-                found[key] = found.get(key, 0) + own
-            elif any(m.lower().replace("-", "").replace("_", "") in CONTENT for m in marks) and tag in ("div", "section", "td"):
-                found[item[LABEL]] = found.get(item[LABEL], 0) + own
-            best.append((own, here))
-        return own
-
-    total = mass(wrapper, [])
-    for key in ("article", "main"):
-        if found.get(key, 0) >= 0.2 * total > 0:
-            return [key]
-    named = [k for k in found if k not in ("article", "main") and found[k] >= 0.4 * total]
-    if named:
-        return [max(named, key=lambda k: (len(k.split(".")) > 0, found[k]))]
-    deep = [p for m, p in best if m >= 0.7 * total and p[-1].split(".")[0] not in ("p", "li", "h1", "h2", "pre", "blockquote")]
-    return max(deep, key=len) if deep else None
-
-
-def extract(page: Node, where: list[str] | None) -> str:
-    """The blocks of the main region in page order; the whole page without its named boilerplate where the region is missing."""
-    out: list[str] = []
-
-    def take(node: Node, in_article: bool) -> None:
-        for item in node.items:
-            if isinstance(item, tuple):
-                out.append(item[2])
-            elif not is_boilerplate(item.label, in_article):
-                if item.tag == "header":  # inside an article: its headings only
-                    headings(item)
-                else:
-                    take(item, in_article or item.tag in ("article", "main"))
+# A verdict is a list: [label, where the next item may align, whether it is main text, hashes of constant texts, repeated, verdicts of its items].
+NEXT, KEPT, SAME, AGAIN, INNER = 1, 2, 3, 4, 5
+#: Tags of prose, which are no part of a page of their own whatever their marks.
+PROSE = frozenset("p li dt dd td th tr pre".split()) | HEADINGS
 
-    def headings(node: Node) -> None:
-        for item in node.items:
-            if isinstance(item, Node):
-                if item.tag in HEADINGS:
-                    take(item, True)
-                else:
-                    headings(item)
 
-    def seek(node: Node, path: list[str]) -> bool:
-        hit = False
-        for item in node.items:
-            if isinstance(item, tuple) or is_boilerplate(item.label):
+def _constant(slot: list) -> list[str]:
+    return [k for k, n in slot[SEEN].items() if n >= CONSTANT and 2 * n >= slot[PAGES]]
+
+
+def verdicts(wrapper: list) -> list:
+    """What extraction needs of a wrapper: its items with groups dissolved, and whether each is main text."""
+    def linked(item: list) -> bool:
+        return item[LABEL] == "#" and 0 < item[CHARS] <= 2 * item[LINKED] or any(linked(x) for x in item[ITEMS])
+
+    def judged(items: list, out: list, repeated: bool, heading: bool, in_article: bool, start: int | None = None) -> list:
+        for item in items:
+            at, again = len(out), repeated or item[REPEATED]
+            if " " in item[LABEL]:
+                judged(item[ITEMS], out, True, heading, in_article, at if start is None else start)
                 continue
-            first = path[0]
-            same = item.tag == first if first in ("article", "main") else item.label == first
-            if first == "main" and not same:
-                same = "main" in item.label.split(".")[1:]
-            if same and len(path) == 1:
-                take(item, True)
-                hit = True
+            tag = item[LABEL].split(".")[0]
+            after = start if start is not None else at if item[REPEATED] else at + 1
+            if item[LABEL] == "#":
+                kept = not linked(item) or heading and not again
+                out.append([item[LABEL], after, kept, _constant(item), again, []])
             else:
-                hit = seek(item, path[1:] if same else path) or hit
-        return hit
+                # outside of articles, a site's name is told from a title by being constant, which takes enough pages
+                site = tag == "header" and not in_article and item[PAGES] < CONSTANT
+                inner = judged(item[ITEMS], [], again, heading or tag in HEADINGS, in_article or tag in ("article", "main"))
+                out.append([item[LABEL], after, not site, [], again, inner])
+        return out
+
+    return judged(wrapper[ITEMS], [], False, False, False)
+
+
+def extract(page: Node, host: list) -> str:
+    """The texts of a page whose slots are main text, in page order; ``host`` are the verdicts of its host's wrapper."""
+
+    def placed(items: list, known: list) -> Iterator[tuple]:
+        """Each item of a page with the verdict it aligns with, or None."""
+        at = 0
+        for item in items:
+            label = "#" if isinstance(item, tuple) else item.label
+            j = next((k for k in range(at, len(known)) if known[k][0] == label), None)
+            if j is not None:
+                at = known[j][NEXT]
+            else:
+                j = next((k for k in range(at) if known[k][0] == label), None) if at else None
+            yield item, known[j] if j is not None else None
 
-    if where is None or not seek(page, where):
-        take(page, False)
+    def take(node: Node, known: list, in_article: bool, only_headings: bool, part: list) -> None:
+        """``part`` has the places in ``out`` of the constant texts of this part of the page, and first whether others were met."""
+        for item, found in placed(node.items, known):
+            if isinstance(item, tuple):
+                kept = 2 * item[1] < item[0] if found is None else found[KEPT]
+                same = found is not None and found[SAME] and digest(item[2]) in found[SAME]
+                if only_headings or not (kept or links):
+                    continue
+                if same and not copies:
+                    if not found[AGAIN]:
+                        continue
+                    part.append(len(out))
+                else:
+                    part[0] = True
+                out.append(item[2])
+            elif is_boilerplate(item.label, True) or found is not None and not found[KEPT] and not links:
+                continue
+            else:
+                inside = in_article or item.tag in ("article", "main")
+                # of a header its headings only; a site's header holds no main text where constant texts count too
+                if item.tag == "header" and not in_article and (found is None or copies):
+                    continue
+                title = (only_headings or item.tag == "header") and item.tag not in HEADINGS
+                own = item.tag not in PROSE and ("." in item.label or item.tag in ("article", "main", "section"))
+                inner = [False] if own else part
+                take(item, found[INNER] if found is not None else [], inside, title, inner)
+                if own:
+                    settle(inner)
+
+    def settle(part: list) -> None:
+        if not part[0]:
+            for i in part[1:]:
+                out[i] = ""
+
+    # a page without main text by its slots is a copy of others, or all links
+    for copies, links in ((False, False), (True, False), (True, True)):
+        out: list[str] = []
+        whole = [False]
+        take(page, host, False, False, whole)
+        settle(whole)
+        out = [x for x in out if x]
+        if out:
+            break
     return "\n".join(out)
 
 
@@ -355,19 +402,20 @@ def main_text(pages: DataFrame, url: str = "url", source: str = "html") -> DataF
     keep = [c for c in pages.columns if c not in (source, "text")]
     rows = pages.select(*[F.col(f"`{c}`").alias(f"_c{i}") for i, c in enumerate(keep)], F.col(source).alias("html"), host.alias("host"))
 
-    def regions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [json.dumps(region(json.loads(w))) for w in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.string())], names=["host", "where"])
+            found = [json.dumps(verdicts(json.loads(w))) for w in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.string())], names=["host", "verdicts"])
 
     # written first, so that its true size decides whether the pages are shuffled at all
-    known = Workspace(pages.sparkSession, "wrappers").put(infer(rows).mapInArrow(regions, "host string, where string"), "regions")
-    placed = rows.join(known, "host", "left").select(*[f"_c{i}" for i in range(len(keep))], "where", "html")
+    known = Workspace(pages.sparkSession, "wrappers").put(infer(rows).mapInArrow(judged, "host string, verdicts string"), "verdicts")
+    placed = rows.join(known, "host", "left").select(*[f"_c{i}" for i in range(len(keep))], "verdicts", "html")
 
     def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n = len(keep)
+        read = lru_cache(64)(lambda w: json.loads(w) if w else [])
         for batch in batches:
-            made = [extract(parse(h.as_py()), json.loads(w) if w else None) if h.is_valid else "" for w, h in
+            made = [extract(parse(h.as_py()), read(w)) if h.is_valid else "" for w, h in
                     zip(batch.column(n).to_pylist(), batch.column(n + 1), strict=True)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:n], pa.array(made, pa.string())], names=[*batch.schema.names[:n], "text"])
 

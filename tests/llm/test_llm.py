@@ -133,6 +133,30 @@ def test_main_text_without_articles_and_edges(spark):
     assert wrappers.main_text(df.limit(0)).collect() == []
 
 
+def texts_of(spark, pages):
+    df = spark.createDataFrame([(i, f"http://a.b/{i}", p) for i, p in enumerate(pages)], "page_id bigint, url string, html string")
+    return [r.text for r in wrappers.main_text(df).orderBy("page_id").collect()]
+
+
+WORDS = "lorem ipsum dolor sit amet consetetur sadipscing elitr sed diam nonumy eirmod tempor invidunt ut labore".split()
+
+
+def words(seed, n):
+    rng = random.Random(seed)
+    return " ".join(rng.choice(WORDS) + str(rng.randrange(1000)) for _ in range(n))
+
+
+def test_main_text_goes_by_the_slots_of_the_wrapper(spark):
+    page = ("<body><div class=c1><h1><a href=/{0}>T {0}</a></h1><div class=c7>We tell everybody the same here.</div><p>{1}</p>{2}<p>{3}</p><div class=c6><p>All rights stay with us.</p></div>"
+            "<div class=c8><a href=/x>{4}</a> <a href=/y>more {0}</a></div><ul class=c9><li>Tell a friend<li>Print this</ul></div></body>")
+    optional = "<div class=c5><p>Only some pages have this {0}</p></div>"
+    pages = [page.format(i, words(i, 30), optional.format(i) if i % 3 else "", words(i + 100, 20), words(i + 200, 5)) for i in range(12)]
+    want = ["\n".join([f"T {i}", words(i, 30), *([f"Only some pages have this {i}"] if i % 3 else []), words(i + 100, 20)]) for i in range(12)]
+    assert texts_of(spark, pages) == want
+    copy = ["T 1", "We tell everybody the same here.", words(1, 30), "Only some pages have this 1", words(101, 20), "All rights stay with us.", "Tell a friend", "Print this"]
+    assert texts_of(spark, [pages[1]] * 6) == ["\n".join(copy)] * 6
+
+
 def test_wrapper_has_optional_and_repeated_items():
     one, two = (wrappers.described(wrappers.parse(h)) for h in ("<div><h1>A</h1><p>x</p><p>y</p></div>", "<div><h1>B</h1><p>x</p><table></table></div>"))
     assert wrappers.expression(wrappers.folded(one, two)) == "<div> <h1> #text </h1> (<p> #text </p>)+ (<table>  </table>)? </div>"
