@@ -13,7 +13,8 @@ A wrapper also sums, for each slot, how many characters it held and how many of
 them were link text, and counts the pages of each text that may be constant.  Extraction
 walks a page beside its host's wrapper: each item is aligned with a wrapper item of its
 label, and each text is decided by its slot.  Texts that stay the same over the host's
-pages go, slots of mostly link text go (but a heading that is not repeated stays).  All other slots are
+pages go, slots of mostly link text go (but a heading that is not repeated stays), and so
+do repeated articles that are linked cards beside a larger text.  All other slots are
 main text, wherever they stand.  Named menus, headers, footers, sidebars, notices,
 adverts, forms and comments are left out by fixed words of tags and classes, as a
 slot's varying text alone can't tell an advert from a paragraph.
@@ -266,9 +267,22 @@ def _constant(slot: list) -> list[str]:
 
 def verdicts(wrapper: list) -> list:
     """What extraction needs of a wrapper: its items with groups dissolved, and whether each is main text."""
+    masses: dict[int, float] = {}
+
+    def mass(item: list) -> float:
+        """Unlinked characters that vary."""
+        if item[LABEL] == "#":
+            own = 0.0 if _constant(item) and item[TEXT] is not None else float(max(0, item[CHARS] - 2 * item[LINKED]))
+        else:  # the members of a group are judged one by one
+            own = sum(mass(x) for x in item[ITEMS]) if " " in item[LABEL] or not is_boilerplate(item[LABEL], True) else 0.0
+        masses[id(item)] = own
+        return own
+
     def linked(item: list) -> bool:
         return item[LABEL] == "#" and 0 < item[CHARS] <= 2 * item[LINKED] or any(linked(x) for x in item[ITEMS])
 
+    total = mass(wrapper)
+
     def judged(items: list, out: list, repeated: bool, heading: bool, in_article: bool, start: int | None = None) -> list:
         for item in items:
             at, again = len(out), repeated or item[REPEATED]
@@ -281,10 +295,11 @@ def verdicts(wrapper: list) -> list:
                 kept = not linked(item) or heading and not again
                 out.append([item[LABEL], after, kept, _constant(item), again, []])
             else:
+                cards = tag == "article" and again and linked(item) and 2 * masses[id(item)] < total
                 # outside of articles, a site's name is told from a title by being constant, which takes enough pages
                 site = tag == "header" and not in_article and item[PAGES] < CONSTANT
                 inner = judged(item[ITEMS], [], again, heading or tag in HEADINGS, in_article or tag in ("article", "main"))
-                out.append([item[LABEL], after, not site, [], again, inner])
+                out.append([item[LABEL], after, not cards and not site, [], again, inner])
         return out
 
     return judged(wrapper[ITEMS], [], False, False, False)

@@ -157,6 +157,18 @@ def test_main_text_goes_by_the_slots_of_the_wrapper(spark):
     assert texts_of(spark, [pages[1]] * 6) == ["\n".join(copy)] * 6
 
 
+def test_main_text_keeps_what_stands_in_siblings(spark):
+    split = "<div class=wrap><h1>T {0}</h1><div class=lead>{1}</div><div class=text><p>{2}</p></div></div>"
+    named = "<div class=entry><p>{1}</p></div><div class=content><p>{2}</p></div>"
+    cards = "<div class=content><p>{2}</p><p>{1}</p></div>" + "<article><h3><a href=/t>{3}</a></h3><p>{3} and on</p></article>" * 3
+    grouped = "<div class=z>" + "<p>{1}</p><div class=ad><p>buy {0}</p></div><p>{2}</p><div class=ad><p>buy more {0}</p></div>" + "</div>"
+    of = lambda form: [form.format(i, words(i, 15), words(i + 100, 45), words(i + 200, 4)) for i in range(7)]
+    a, b = [words(i, 15) for i in range(7)], [words(i + 100, 45) for i in range(7)]
+    assert texts_of(spark, of(split)) == [f"T {i}\n{x}\n{y}" for i, (x, y) in enumerate(zip(a, b, strict=True))]
+    assert texts_of(spark, of(named)) == texts_of(spark, of(grouped)) == [f"{x}\n{y}" for x, y in zip(a, b, strict=True)]
+    assert texts_of(spark, of(cards)) == [f"{y}\n{x}" for x, y in zip(a, b, strict=True)]
+
+
 def test_wrapper_has_optional_and_repeated_items():
     one, two = (wrappers.described(wrappers.parse(h)) for h in ("<div><h1>A</h1><p>x</p><p>y</p></div>", "<div><h1>B</h1><p>x</p><table></table></div>"))
     assert wrappers.expression(wrappers.folded(one, two)) == "<div> <h1> #text </h1> (<p> #text </p>)+ (<table>  </table>)? </div>"
