@@ -23,7 +23,8 @@ A text is constant if at least CONSTANT pages and half of the pages with its slo
 it.  In a repeated slot it goes only if it stands in a part of the page (a marked
 container, article or section) with no other text of its own on that page, as prose may
 repeat a line.  A page with nothing but constant texts (a copy) keeps them, one with
-nothing but links keeps those.
+nothing but links keeps those.  Tags nested deeper than DEEPEST are read as if they
+were not there, but what is in a dropped one is dropped.
 
 Defined results: null and empty pages have the empty text; a page without a host
 shares the wrapper of those without one; white space inside a block is one space.
@@ -50,6 +51,8 @@ HELD = 512
 FOLD = 64
 #: Pages that make a text constant, and texts of a slot from which on the rare ones are let go.
 CONSTANT, TEXTS = 5, 128
+#: Open tags of a tree.
+DEEPEST = 200
 
 #: Tags by what they do.
 DROPPED = frozenset("head title script style noscript template iframe svg canvas object select button textarea form nav footer aside dialog menu".split())
@@ -87,6 +90,7 @@ def parse(source: str) -> Node:
     """The tree of block tags of a page; inline tags only tell what is linked, unclosed tags are closed as a browser would."""
     root = Node("", "")
     stack, linked, at = [root], 0, 0
+    beyond: list[Node] = []  # open tags below the deepest that is kept
     buffer: list[str] = []
     in_link = 0
 
@@ -94,7 +98,7 @@ def parse(source: str) -> Node:
         nonlocal buffer, linked
         if buffer:
             text = " ".join(html.unescape("".join(buffer)).split())
-            if text:
+            if text and not any(is_boilerplate(x.label, True) for x in beyond):
                 stack[-1].items.append((len(text), min(len(text), linked), text))
             buffer, linked = [], 0
 
@@ -117,12 +121,19 @@ def parse(source: str) -> Node:
             continue
         flush()
         if closing:
+            if any(x.tag == tag for x in beyond):
+                while beyond.pop().tag != tag:
+                    pass
+                continue
             for k in range(len(stack) - 1, 0, -1):
                 if stack[k].tag == tag:
                     del stack[k:]
+                    beyond.clear()
                     break
             continue
-        while len(stack) > 1 and tag in CLOSED_BY.get(stack[-1].tag, ()):
+        while beyond and tag in CLOSED_BY.get(beyond[-1].tag, ()):
+            beyond.pop()
+        while not beyond and len(stack) > 1 and tag in CLOSED_BY.get(stack[-1].tag, ()):
             stack.pop()
         if tag in ("html", "body"):
             continue
@@ -130,8 +141,12 @@ def parse(source: str) -> Node:
         # long numbers in marks differ from page to page
         label = ".".join([tag, *sorted({re.sub(r"\d{3,}", "", x) for x in marks})])
         node = Node(label, tag)
+        is_open = tag not in VOID and not m.group(4).endswith("/")
+        if is_open and len(stack) >= DEEPEST:
+            beyond.append(node)
+            continue
         stack[-1].items.append(node)
-        if tag not in VOID and not m.group(4).endswith("/") and len(stack) < 200:
+        if is_open:
             stack.append(node)
     if at < len(source):
         buffer.append(source[at:])

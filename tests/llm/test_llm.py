@@ -169,6 +169,12 @@ def test_main_text_keeps_what_stands_in_siblings(spark):
     assert texts_of(spark, of(cards)) == [f"{y}\n{x}" for x, y in zip(a, b, strict=True)]
 
 
+def test_main_text_of_deep_pages(spark):
+    deep = "<article><div><p>{1}</p>" + "<div>" * 300 + "<nav>go {0}</nav><section>{2}</section>" + "</div>" * 300 + "<p>end {0}</p></div></article><div class=ad>buy {0}</div>"
+    got = texts_of(spark, [deep.format(i, words(i, 9), words(i + 100, 9)) for i in range(2)])
+    assert got == [f"{words(i, 9)}\n{words(i + 100, 9)}\nend {i}" for i in range(2)]
+
+
 def test_wrapper_has_optional_and_repeated_items():
     one, two = (wrappers.described(wrappers.parse(h)) for h in ("<div><h1>A</h1><p>x</p><p>y</p></div>", "<div><h1>B</h1><p>x</p><table></table></div>"))
     assert wrappers.expression(wrappers.folded(one, two)) == "<div> <h1> #text </h1> (<p> #text </p>)+ (<table>  </table>)? </div>"
