@@ -3,8 +3,12 @@
 A fingerprint keeps every five-word shingle hash below a fixed fraction of the
 64-bit range, so the fingerprint of a union is the union of fingerprints, and the
 share of a small document inside a large one can be estimated whatever their sizes.
-A text none of whose hashes lies below keeps its smallest hash instead; a merge
-drops such a stand-in as soon as a kept hash is there.
+The fraction is large, as a text of few shingles has few hashes below it: the estimate's
+error falls with the root of their number (README has it by length).
+A text none of whose hashes lies below keeps its smallest hash instead, so that it
+differs from other such texts; with another's kept hashes it has nothing in common, so
+its likeness to those is 0 whatever they share.  A merge drops such a stand-in as soon as a
+kept hash is there.
 
 Defined results: null and empty texts, and texts of white space only, have the
 empty fingerprint; likeness is 1 for two empty fingerprints, 0 for one.
@@ -26,7 +30,7 @@ from millrace.llm.shingles import shingle_hashes
 
 WIDTH = 5
 #: One hash in so many is kept.
-SCALE = 8
+SCALE = 2
 #: Rows in a block of neighbouring documents, and the most blocks (their first ids are known to every task).
 BLOCK_ROWS, MAX_BLOCKS = 512, 65_536
 _PART = 2 << 20

@@ -81,6 +81,20 @@ def test_fingerprints_merge_and_containment():
     assert len(b) == pytest.approx(3000 / fingerprints.SCALE, rel=0.2)
 
 
+def test_fingerprints_of_short_texts():
+    rng = random.Random(6)
+    errors, jumps = [], 0
+    for _ in range(400):
+        words = [f"w{rng.random()}" for _ in range(rng.randint(16, 30))]
+        cut = len(words) * 3 // 4
+        a, b = " ".join(words), " ".join([*words[:cut], *(f"v{rng.random()}" for _ in words[cut:])])
+        x, y = (set(brute.shingles(t, fingerprints.WIDTH)) for t in (a, b))
+        got, true = fingerprints.likeness(*fingerprints.sketches(pa.array([a, b]))), len(x & y) / len(x | y)
+        errors.append(abs(got - true))
+        jumps += got in (0, 1)
+    assert np.mean(errors) < 0.13 and jumps < 0.1 * len(errors)
+
+
 def test_fingerprints_edges(edge, empty):
     got = fingerprints.edited_fingerprints(edge).collect()
     assert len(got) == edge.count() and fingerprints.edited_fingerprints(empty).collect() == []
