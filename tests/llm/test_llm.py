@@ -338,6 +338,20 @@ def test_secrets(spark, edge, empty):
     assert masked[9] == "[SECRET]" and masked[0] is None and masked[5] == EDGE[5] and secret_scan.redact(edge).columns == edge.columns
 
 
+def test_redact_masks_every_character_class(spark):
+    rng = random.Random(4)
+    lower, digits = "abcdefghijklmnopqrstuvwxyz", "0123456789"
+    classes = [lower + digits, lower.upper() + "234567", "0123456789abcdefABCDEF", lower, lower + lower.upper(), lower + lower.upper() + digits, "0123456789abcdef"]
+    rows = [(i, "key " + "".join(rng.choice(c) for _ in range(40)) + " end") for c in classes for i in range(40)]
+    rows += [(-1, "see /docs/example/" + "".join(rng.choice(classes[5]) for _ in range(40)) + " end")]
+    plain = ["see usr/local/lib/python3/site-packages/numpy-core", "Donaudampfschifffahrtsgesellschaft", "123456789012345678901234567890", "123e4567-e89b-12d3-a456-426614174000"]
+    df = spark.createDataFrame([*rows, *((-2 - i, t) for i, t in enumerate(plain))], "doc_id bigint, text string")
+    got = [r.text for r in secret_scan.redact(df).collect()]
+    assert got[-len(plain):] == plain and "[SECRET]" in got[len(rows) - 1]
+    masked = [sum("[SECRET]" in t for t in got[40 * k:40 * k + 40]) for k in range(len(classes))]
+    assert min(masked) >= 36
+
+
 def test_language(spark, docs, edge, empty):
     folder = "/root/testdata/sf0.01"
     got = queries.op10_language(spark, folder).join(spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "lang"), "doc_id").collect()
