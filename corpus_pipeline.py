@@ -40,8 +40,8 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The flattest mix that uses every document and repeats no source more than twice."""
-    return mixing.mix(docs, limit=2.0).select(*docs.columns)
+    """The flattest mix that uses every document and repeats no source more than twice, in the order of the permutation."""
+    return mixing.mix(docs, limit=2.0).repartitionByRange("place").sortWithinPartitions("place").select(*docs.columns)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -352,6 +352,11 @@ def test_redact_masks_every_character_class(spark):
     assert min(masked) >= 36
 
 
+def test_pipeline_mix_is_in_its_order(spark, docs):
+    got = [r.doc_id for r in corpus_pipeline.mix_sources(spark, docs, SMALL).collect()]
+    assert got == [r.doc_id for r in mixing.mix(docs, limit=2.0).orderBy("place").collect()]
+
+
 def test_language(spark, docs, edge, empty):
     folder = "/root/testdata/sf0.01"
     got = queries.op10_language(spark, folder).join(spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "lang"), "doc_id").collect()
