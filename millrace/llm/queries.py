@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe_codec, fingerprints, language, mixing, near_dups, secret_scan, token_counts, topk, toxicity, wrappers
+from millrace.llm import (bpe_codec, compression, divergence, fingerprints, language, masked_search, mixing, near_dups, secret_scan, token_counts, topk, toxicity,
+                          wrappers)
 from millrace.llm.runtime import is_held_out, table
 
 CODEC = "byte_bpe_multi_50k.tiktoken"
@@ -64,8 +65,22 @@ def op10_language(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", is_held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+def op11_compression_bands(spark: SparkSession, folder: str) -> DataFrame:
+    found = compression.quality(table(spark, folder, "documents").select("doc_id", "text"), keep_text=False)
+    return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "verdict", "ratio")
+
+
+def op12_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.audit(table(spark, folder, "documents"))
+
+
+def op13_masked_search(spark: SparkSession, folder: str) -> DataFrame:
+    return masked_search.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 QUERIES = {q.__name__: q for q in (op1_fingerprints, op2_toxicity, op3_main_text, op4_top_products, op5_bpe_round_trip, op6_temperature_mix,
-                                   op7_token_counts, op8_near_dups, op9_secrets, op10_language)}
+                                   op7_token_counts, op8_near_dups, op9_secrets, op10_language, op11_compression_bands, op12_source_divergence,
+                                   op13_masked_search)}
 
 _TOP = """
 WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
@@ -135,4 +150,41 @@ SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_acc
 FROM d LEFT JOIN shown USING (doc_id)
 """
 
-SQL = {"op4_top_products": _TOP, "op8_near_dups": _NEAR, "op9_secrets": _SECRETS}
+_DIVERGENCE = r"""
+WITH d AS (SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source, row_number() OVER () AS row,
+                  regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS t
+           FROM documents),
+     x AS (SELECT lang, source, row, unnest(t) AS term FROM d),
+     keep AS (SELECT lang, term, count(*) AS total FROM x GROUP BY ALL HAVING count(DISTINCT row) >= 10),
+     c AS (SELECT lang, source, term, count(*) AS n FROM x SEMI JOIN keep USING (lang, term) GROUP BY ALL),
+     size AS (SELECT lang, count(*) AS v, sum(total)::HUGEINT AS lang_n FROM keep GROUP BY lang),
+     g AS (SELECT lang, source, coalesce(sum(n), 0)::HUGEINT AS group_n FROM (SELECT DISTINCT lang, source FROM d) LEFT JOIN c USING (lang, source) GROUP BY ALL),
+     p AS (SELECT g.lang, g.source, keep.term, coalesce(n, 0) AS n, 1 + (1000000000 * (coalesce(n, 0) + 2)::HUGEINT) // (group_n + 2 * v) AS p,
+                  1 + (1000000000 * (total + 2)::HUGEINT) // (lang_n + 2 * v) AS q
+           FROM g JOIN keep USING (lang) JOIN size USING (lang) LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = keep.term),
+     more AS (SELECT lang, source, 'term' AS part, term AS item, ((p - q) * (p - q) // (p + q))::BIGINT AS value FROM p WHERE n > 0 AND p > q),
+     apart AS (SELECT a.lang, a.source, b.source AS other, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value FROM p a JOIN p b USING (lang, term)
+               WHERE a.source <> b.source GROUP BY ALL),
+     pair AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0)::BIGINT AS value FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+              LEFT JOIN apart ON apart.lang = a.lang AND apart.source = a.source AND apart.other = b.source),
+     r AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INT AS rank FROM (SELECT * FROM more UNION ALL SELECT * FROM pair))
+SELECT lang, source, part, item, value, rank FROM r WHERE part = 'pair' OR rank <= 10
+"""
+
+_RANKED = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t
+           FROM documents),
+     s AS (SELECT count(*) AS n_docs, sum(len(t))::BIGINT AS n_terms FROM d WHERE len(t) > 0),
+     x AS (SELECT doc_id, len(t) AS n, unnest(t) AS term FROM d),
+     tf AS (SELECT doc_id, n, term, count(*) AS tf FROM x GROUP BY ALL),
+     df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+     q AS (SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+           FROM benchmark),
+     h AS (SELECT item_id, doc_id, sum(floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT
+                                      * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * n_docs) // n_terms))))::BIGINT AS score
+           FROM q JOIN df USING (term) JOIN tf USING (term), s GROUP BY ALL),
+     r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank FROM h WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 20
+"""
+
+SQL = {"op4_top_products": _TOP, "op8_near_dups": _NEAR, "op9_secrets": _SECRETS, "op12_source_divergence": _DIVERGENCE, "op13_masked_search": _RANKED}

@@ -2,8 +2,11 @@
 
 import collections
 import html
+import math
 import re
 
+import zstandard
+
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
@@ -53,3 +56,82 @@ def article(page):
     inside = re.sub(r"<[^>]*\Z", "", page[start + 9:end if end >= 0 else len(page)])
     blocks = (" ".join(html.unescape(re.sub(r"<[^>]*>", " ", b)).split()) for b in re.split(r"</?(?:p|h1)>", inside))
     return "\n".join(b for b in blocks if b)
+
+
+def word_counts(text):
+    """(words, their characters, symbols, repeated lines, words in repeated windows of eight)."""
+    text = text or ""
+    words = WORD.findall(text)
+    windows = [tuple(words[i:i + 8]) for i in range(len(words) - 7)]
+    times = collections.Counter(windows)
+    covered = {i + j for i, w in enumerate(windows) if times[w] > 1 for j in range(8)}
+    seen, again = set(), 0
+    for line in text.split("\n"):
+        if WORD.search(line):
+            again += line in seen
+            seen.add(line)
+    return len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), again, len(covered)
+
+
+def band_verdict(data, bands, chunk, fifth):
+    """Whether a whole and all but a fifth of its chunks compress as their length lets expect."""
+    def outside(part):
+        ratio = len(zstandard.ZstdCompressor(level=3).compress(part)) / len(part)
+        low, high = [(b, c) for a, b, c in bands if len(part) >= a][-1]
+        return not low <= ratio <= high
+    if not data:
+        return True
+    parts = [data[i:i + chunk] for i in range(0, len(data), chunk)] if len(data) > chunk else []
+    parts = [p for p in parts if 2 * len(p) >= chunk]
+    return not outside(data) and fifth * sum(map(outside, parts)) <= len(parts)
+
+
+def terms(text, digits):
+    kept = "\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F" if digits else "\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F"
+    return [re.sub("[A-Z]", lambda m: m[0].lower(), t) for t in re.findall(f"[^{kept}]+", text or "")]
+
+
+def divergence(rows, least=10, top=10):
+    """The rows of the audit, by exact integers and every kept term of every pair."""
+    docs = [(lang or "", source or "", terms(text, False)) for _, text, lang, source in rows]
+    out = []
+    for lang in {d[0] for d in docs}:
+        held = collections.Counter(t for d in docs if d[0] == lang for t in set(d[2]))
+        kept = [t for t, n in held.items() if n >= least]
+        counts = {s: collections.Counter() for a, s, _ in docs if a == lang}
+        for a, s, found in docs:
+            if a == lang:
+                counts[s].update(t for t in found if held[t] >= least)
+        whole = sum(counts.values(), collections.Counter())
+
+        def share(own):
+            size = sum(own.values())
+            return {t: 1 + 10**9 * (own[t] + 2) // (size + 2 * len(kept)) for t in kept}
+
+        shares, q = {s: share(own) for s, own in counts.items()}, share(whole)
+        f = lambda a, b: (a - b) ** 2 // (a + b)
+        for s, p in shares.items():
+            pair = [(sum(f(p[t], other[t]) for t in kept), o) for o, other in shares.items() if o != s]
+            more = [(f(p[t], q[t]), t) for t in kept if counts[s][t] and p[t] > q[t]]
+            for part, found, limit in (("pair", pair, len(pair)), ("term", more, top)):
+                ordered = sorted(found, key=lambda x: (-x[0], x[1].encode()))[:limit]
+                out += [(lang, s, part, item, value, i + 1) for i, (value, item) in enumerate(ordered)]
+    return sorted(out)
+
+
+def search(docs, items, k=20):
+    """(item, rank, document, score) of every item's best documents."""
+    found = [(key, collections.Counter(terms(text, True))) for key, text in docs]
+    sizes = [n.total() for _, n in found]
+    n_docs, n_terms = sum(s > 0 for s in sizes), sum(sizes)
+    df = collections.Counter(t for _, n in found for t in n)
+    out = []
+    for item, text in items:
+        scores = []
+        for (key, own), n in zip(found, sizes, strict=True):
+            score = sum(int(1000 * math.log((2 * n_docs + 2) / (2 * df[t] + 1))) * ((10**9 * own[t]) // (1000 * own[t] + 12 * (75 + 25 * n * n_docs // n_terms)))
+                        for t in terms(text, True) if own[t])
+            if score > 0:
+                scores.append((-score, key is None, key or 0))
+        out += [(item, i + 1, None if null else key, -score) for i, (score, null, key) in enumerate(sorted(scores)[:k])]
+    return sorted(out, key=lambda r: tuple((x is None, x or 0) for x in r))
