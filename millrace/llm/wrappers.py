@@ -6,51 +6,63 @@ optional item and a repeated item or group.  Inference aligns one stream after t
 other with the wrapper so far: equal items are aligned in turn; where the two
 differ, an item or a run of items that only one of them has becomes optional, a run
 of equal neighbours becomes a repeated item (of two or three alternating ones, a
-repeated group), and texts that differ leave a slot.  Wrappers align with wrappers in
-the same way, so each task folds its pages and the parts of a host are folded after.
-
-A wrapper also sums, for each slot, how many characters it held and how many of
-them were link text, and counts the pages of each text that may be constant.  Extraction
-walks a page beside its host's wrapper: each item is aligned with a wrapper item of its
-label, and each text is decided by its slot.  Texts that stay the same over the host's
-pages go, slots of mostly link text go (but a heading that is not repeated stays), and so
-do repeated articles that are linked cards beside a larger text.  All other slots are
-main text, wherever they stand.  Named menus, headers, footers, sidebars, notices,
-adverts, forms and comments are left out by fixed words of tags and classes, as a
-slot's varying text alone can't tell an advert from a paragraph.
+repeated group), and texts leave slots.  Wrappers align with wrappers in the same way.
+
+Inference takes each different stream of a host once, in the order of a hash, and folds
+them in levels of FOLD, so a host's wrapper depends on its pages only, not on how they lay or
+were dealt.  Then every page is aligned with its host's wrapper, and the slots are counted over all
+pages: how many have the slot, its characters and how many of them are link text, and the
+pages of each text, all of them exact.  Extraction walks a page beside the wrapper again and
+decides each text by its slot.  Texts that stay the same over the host's pages go, slots of mostly
+link text go (but a heading that is not repeated stays), and so do repeated articles that are linked
+cards beside a larger text.  All other slots are main text, wherever they stand.  Named
+menus, headers, footers, sidebars, notices, adverts, forms and comments are left out by fixed words
+of tags and classes, as a slot's varying text alone can't tell an advert from a paragraph.
 
 A text is constant if at least CONSTANT pages and half of the pages with its slot have
-it.  In a repeated slot it goes only if it stands in a part of the page (a marked
-container, article or section) with no other text of its own on that page, as prose may
-repeat a line.  A page with nothing but constant texts (a copy) keeps them, one with
+it: fewer pages say nothing about what varies.  In a repeated slot it goes only if it stands in a part
+of the page (a marked container, article or section) with no other text of its own on that page, as
+prose may repeat a line.  A page with nothing but constant texts (a copy) keeps them, one with
 nothing but links keeps those.  Tags nested deeper than DEEPEST are read as if they
 were not there, but what is in a dropped one is dropped.
 
+Two sequences of items are aligned by their longest common subsequence; where it would take
+more than DENSE cells, by the labels that both have once, and between those by the nearest equal
+label, in time that grows as the length.
+
 Defined results: null and empty pages have the empty text; a page without a host
-shares the wrapper of those without one; white space inside a block is one space.
+shares the wrapper of those without one; white space inside a block is one space; pages that repeat
+count as pages of their own; a page of any length is read whole; an empty table gives an empty one; other columns stay
+(but the html), a column ``text`` is replaced.
 """
 
 from __future__ import annotations
 
-import hashlib
 import html
 import json
 import re
-from collections.abc import Iterator
+from bisect import bisect_left
+from collections import Counter
+from collections.abc import Iterator, Mapping
 from functools import lru_cache
+from itertools import count
+from typing import NamedTuple
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.runtime import Workspace, ship
 
-#: Wrappers that a task holds before it hands them on.
-HELD = 512
-#: Parts of a host that are folded together at once.
-FOLD = 64
-#: Pages that make a text constant, and texts of a slot from which on the rare ones are let go.
-CONSTANT, TEXTS = 5, 128
+#: Different streams, and counts of texts, that a task holds before it hands them on.
+HELD, COUNTS = 512, 200_000
+#: Parts of a host that are folded together at once, in each of LEVELS.
+FOLD, LEVELS = 64, 3
+#: Pages that make a text constant.
+CONSTANT = 5
+#: Cells of the table by which two sequences are aligned, and how far an equal label may be where there would be more.
+DENSE, NEAR = 250_000, 64
 #: Open tags of a tree.
 DEEPEST = 200
 
@@ -155,28 +167,20 @@ def parse(source: str) -> Node:
     return root
 
 
-# A wrapper item is a list: [label, optional, repeated, pages, characters, linked, text or None, items, pages of texts by their hashes].
-# The label "#" is a text slot (its text is kept while it is the same everywhere); a label of several names is a group.
-LABEL, OPTIONAL, REPEATED, PAGES, CHARS, LINKED, TEXT, ITEMS, SEEN = range(9)
+# A wrapper item is a list: [label, optional, repeated, items].
+# The label "#" is a text slot; a label of several names is a group.
+LABEL, OPTIONAL, REPEATED, ITEMS = range(4)
 
 
 def described(node: Node) -> list:
     """The wrapper of one page."""
-    items = []
-    for item in node.items:
-        if isinstance(item, tuple):
-            items.append(["#", False, False, 1, item[0], item[1], hash_of(item[2]), [], {digest(item[2]): 1}])
-        else:
-            items.append(described(item))
-    return [node.label, False, False, 1, 0, 0, None, squared(items), {}]
-
+    return [node.label, False, False, squared([["#", False, False, []] if isinstance(x, tuple) else described(x) for x in node.items])]
 
-def hash_of(text: str) -> str:
-    return text if len(text) <= 24 else f"{text[:12]}…{len(text)}…{text[-12:]}"
 
-
-def digest(text: str) -> str:
-    return hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).hexdigest()
+def digest(text: str) -> int:
+    """A signed 64-bit number of the whole text."""
+    n = xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass"))
+    return n - (1 << 64) if n >> 63 else n
 
 
 def squared(items: list) -> list:
@@ -192,12 +196,12 @@ def squared(items: list) -> list:
                 parts = [items[k:k + width] for k in range(i, j, width)]
                 first = parts[0]
                 for other in parts[1:]:
-                    first = [folded(a, b, True) for a, b in zip(first, other, strict=True)]
+                    first = [folded(a, b) for a, b in zip(first, other, strict=True)]
                 if width == 1:
                     first[0][REPEATED] = True
                     out.append(first[0])
                 else:
-                    out.append([" ".join(block), False, True, 1, 0, 0, None, first, {}])
+                    out.append([" ".join(block), False, True, first])
                 i = j
             else:
                 out.append(items[i])
@@ -206,45 +210,90 @@ def squared(items: list) -> list:
     return items
 
 
-def folded(a: list, b: list, same_page: bool = False) -> list:
+def folded(a: list, b: list) -> list:
     """One item that describes what both describe."""
-    text = a[TEXT] if a[TEXT] == b[TEXT] else None
-    pages = max(a[PAGES], b[PAGES]) if same_page else a[PAGES] + b[PAGES]
-    return [a[LABEL], a[OPTIONAL] or b[OPTIONAL], a[REPEATED] or b[REPEATED], pages, a[CHARS] + b[CHARS], a[LINKED] + b[LINKED], text,
-            aligned(a[ITEMS], b[ITEMS], same_page), _seen(a[SEEN], b[SEEN], pages, same_page)]
-
+    return [a[LABEL], a[OPTIONAL] or b[OPTIONAL], a[REPEATED] or b[REPEATED], aligned(a[ITEMS], b[ITEMS])]
 
-def _seen(a: dict[str, int], b: dict[str, int], pages: int, same_page: bool) -> dict[str, int]:
-    """Pages of each text of two slots; of very many texts, those on less than a quarter of the pages so far go."""
-    if not b:
-        return a
-    out = dict(a)
-    for k, n in b.items():
-        out[k] = max(out.get(k, 0), n) if same_page else out.get(k, 0) + n
-    return out if same_page or len(out) <= TEXTS else {k: n for k, n in out.items() if 4 * n >= pages}
 
-
-def aligned(a: list, b: list, same_page: bool = False) -> list:
-    """Two sequences of items in one: equal labels are folded in order, what one side lacks becomes optional."""
+def aligned(a: list, b: list) -> list:
+    """Two sequences of items in one: items of a common subsequence are folded, what one side lacks becomes optional."""
     names_a, names_b = [x[LABEL] for x in a], [x[LABEL] for x in b]
     if names_a == names_b:
-        return [folded(x, y, same_page) for x, y in zip(a, b, strict=True)]
-    rows = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
-    for i in range(len(a) - 1, -1, -1):
-        for j in range(len(b) - 1, -1, -1):
-            rows[i][j] = rows[i + 1][j + 1] + 1 if names_a[i] == names_b[j] else max(rows[i + 1][j], rows[i][j + 1])
+        return [folded(x, y) for x, y in zip(a, b, strict=True)]
     out, i, j = [], 0, 0
-    while i < len(a) or j < len(b):
-        if i < len(a) and j < len(b) and names_a[i] == names_b[j]:
-            out.append(folded(a[i], b[j], same_page))
+    for p, q in [*common(names_a, names_b), (len(a), len(b))]:
+        out += [_optional(x) for x in a[i:p]] + [_optional(x) for x in b[j:q]]
+        if p < len(a):
+            out.append(folded(a[p], b[q]))
+        i, j = p + 1, q + 1
+    return squared(out)
+
+
+def common(a: list[str], b: list[str]) -> list[tuple[int, int]]:
+    """Places of a common subsequence, ascending in both."""
+    found, todo = [], [(0, len(a), 0, len(b))]
+    while todo:
+        i, end_i, j, end_j = todo.pop()
+        while i < end_i and j < end_j and a[i] == b[j]:
+            found.append((i, j))
             i, j = i + 1, j + 1
-        elif j >= len(b) or i < len(a) and rows[i + 1][j] >= rows[i][j + 1]:
-            out.append(_optional(a[i]))
-            i += 1
+        while i < end_i and j < end_j and a[end_i - 1] == b[end_j - 1]:
+            end_i, end_j = end_i - 1, end_j - 1
+            found.append((end_i, end_j))
+        if i == end_i or j == end_j:
+            continue
+        if (end_i - i) * (end_j - j) <= DENSE:
+            found += _longest(a, b, i, end_i, j, end_j)
+        elif anchors := _anchors(a, b, i, end_i, j, end_j):
+            found += anchors
+            for p, q in [*anchors, (end_i, end_j)]:
+                todo.append((i, p, j, q))
+                i, j = p + 1, q + 1
         else:
-            out.append(_optional(b[j]))
-            j += 1
-    return squared(out)
+            for p in range(i, end_i):
+                q = next((k for k in range(j, min(j + NEAR, end_j)) if b[k] == a[p]), None)
+                if q is not None:
+                    found.append((p, q))
+                    j = q + 1
+    return sorted(found)
+
+
+def _longest(a: list[str], b: list[str], i: int, end_i: int, j: int, end_j: int) -> list[tuple[int, int]]:
+    rows = [[0] * (end_j - j + 1) for _ in range(end_i - i + 1)]
+    for p in range(end_i - i - 1, -1, -1):
+        row, below, name = rows[p], rows[p + 1], a[i + p]
+        for q in range(end_j - j - 1, -1, -1):
+            row[q] = below[q + 1] + 1 if name == b[j + q] else max(below[q], row[q + 1])
+    out, p, q = [], 0, 0
+    while p < end_i - i and q < end_j - j:
+        if a[i + p] == b[j + q]:
+            out.append((i + p, j + q))
+            p, q = p + 1, q + 1
+        elif rows[p + 1][q] >= rows[p][q + 1]:
+            p += 1
+        else:
+            q += 1
+    return out
+
+
+def _anchors(a: list[str], b: list[str], i: int, end_i: int, j: int, end_j: int) -> list[tuple[int, int]]:
+    """The longest ascending run of labels that stand once in either stretch."""
+    once_a, once_b = ({x for x, n in Counter(part).items() if n == 1} for part in (a[i:end_i], b[j:end_j]))
+    there = {b[q]: q for q in range(j, end_j) if b[q] in once_b}
+    pairs = [(p, there[a[p]]) for p in range(i, end_i) if a[p] in once_a and a[p] in there]
+    tops: list[int] = []  # smallest last place in b of an ascending run of each length
+    last: list[int] = []  # the pair it ends with
+    before: list[int] = []
+    for k, (_, q) in enumerate(pairs):
+        at = bisect_left(tops, q)
+        tops[at:at + 1] = [q]
+        last[at:at + 1] = [k]
+        before.append(last[at - 1] if at else -1)
+    out, k = [], last[-1] if last else -1
+    while k >= 0:
+        out.append(pairs[k])
+        k = before[k]
+    return out[::-1]
 
 
 def _optional(item: list) -> list:
@@ -254,7 +303,7 @@ def _optional(item: list) -> list:
 def expression(item: list) -> str:
     """A wrapper as a regular expression over tags and slots."""
     inner = " ".join(expression(x) for x in item[ITEMS])
-    body = item[TEXT] or "#text" if item[LABEL] == "#" else inner if not item[LABEL] or " " in item[LABEL] else f"<{item[LABEL]}> {inner} </{item[LABEL].split('.')[0]}>"
+    body = "#text" if item[LABEL] == "#" else inner if not item[LABEL] or " " in item[LABEL] else f"<{item[LABEL]}> {inner} </{item[LABEL].split('.')[0]}>"
     return f"({body}){'+' if item[REPEATED] else ''}{'?' if item[OPTIONAL] else ''}" if item[REPEATED] or item[OPTIONAL] else body
 
 
@@ -270,71 +319,121 @@ def _words(mark: str) -> set[str]:
     return {w.lower() for w in _NAMES.findall(mark)}
 
 
-# A verdict is a list: [label, where the next item may align, whether it is main text, hashes of constant texts, repeated, verdicts of its items].
-NEXT, KEPT, SAME, AGAIN, INNER = 1, 2, 3, 4, 5
+# A slot of a plan is a list: [label, where the next item may align, number of the slot, repeated, slots of its items].
+# A verdict is the same with whether it is main text and the digests of constant texts: [label, next, kept, constant, repeated, verdicts of its items].
+NEXT, NUMBER, AGAIN_, INNER_ = 1, 2, 3, 4
+KEPT, SAME, AGAIN, INNER = 2, 3, 4, 5
 #: Tags of prose, which are no part of a page of their own whatever their marks.
 PROSE = frozenset("p li dt dd td th tr pre".split()) | HEADINGS
 
 
-def _constant(slot: list) -> list[str]:
-    return [k for k, n in slot[SEEN].items() if n >= CONSTANT and 2 * n >= slot[PAGES]]
+def plan_of(wrapper: list) -> list:
+    """The items of a wrapper with groups dissolved, each with a number."""
+    numbers = count()
+
+    def slots(items: list, out: list, repeated: bool, start: int | None = None) -> list:
+        for item in items:
+            at, again = len(out), repeated or item[REPEATED]
+            if " " in item[LABEL]:
+                slots(item[ITEMS], out, True, at if start is None else start)
+                continue
+            after = start if start is not None else at if item[REPEATED] else at + 1
+            out.append([item[LABEL], after, next(numbers), again, slots(item[ITEMS], [], again)])
+        return out
+
+    return slots(wrapper[ITEMS], [], False)
+
+
+def placed(items: list, known: list) -> Iterator[tuple]:
+    """Each item of a page with the slot or verdict it aligns with, or None."""
+    at = 0
+    where: dict[str, list[int]] = {}
+    for k, slot in enumerate(known):
+        where.setdefault(slot[0], []).append(k)
+    for item in items:
+        own = where.get("#" if isinstance(item, tuple) else item.label)
+        if own is None:
+            yield item, None
+            continue
+        k = bisect_left(own, at)
+        j = own[k] if k < len(own) else own[0]
+        if j >= at:
+            at = known[j][NEXT]
+        yield item, known[j]
+
+
+def counted(page: Node, plan: list) -> tuple[dict[int, list[int]], set[tuple[int, int]]]:
+    """Characters and linked ones of each slot that a page has, and its (slot, text) pairs."""
+    sums: dict[int, list[int]] = {}
+    texts: set[tuple[int, int]] = set()
+
+    def walk(node: Node, known: list) -> None:
+        for item, slot in placed(node.items, known):
+            if slot is None:
+                continue
+            own = sums.setdefault(slot[NUMBER], [0, 0])
+            if isinstance(item, tuple):
+                own[0] += item[0]
+                own[1] += item[1]
+                texts.add((slot[NUMBER], digest(item[2])))
+            else:
+                walk(item, slot[INNER_])
+
+    walk(page, plan)
+    return sums, texts
+
 
+class Slot(NamedTuple):
+    """What all pages of a host say of a slot: pages that have it, characters, linked ones, different texts, and the constant texts."""
 
-def verdicts(wrapper: list) -> list:
-    """What extraction needs of a wrapper: its items with groups dissolved, and whether each is main text."""
+    pages: int = 0
+    chars: int = 0
+    linked: int = 0
+    distinct: int = 0
+    constant: tuple[int, ...] = ()
+
+
+def verdicts(plan: list, of: Mapping[int, Slot]) -> list:
+    """What extraction needs of a plan: whether each slot is main text."""
     masses: dict[int, float] = {}
+    none = Slot()
 
-    def mass(item: list) -> float:
+    def mass(slot: list) -> float:
         """Unlinked characters that vary."""
-        if item[LABEL] == "#":
-            own = 0.0 if _constant(item) and item[TEXT] is not None else float(max(0, item[CHARS] - 2 * item[LINKED]))
-        else:  # the members of a group are judged one by one
-            own = sum(mass(x) for x in item[ITEMS]) if " " in item[LABEL] or not is_boilerplate(item[LABEL], True) else 0.0
-        masses[id(item)] = own
+        if slot[0] == "#":
+            s = of.get(slot[NUMBER], none)
+            own = 0.0 if s.constant and s.distinct == 1 else float(max(0, s.chars - 2 * s.linked))
+        else:
+            own = 0.0 if is_boilerplate(slot[0], True) else sum(map(mass, slot[INNER_]))
+        masses[slot[NUMBER]] = own
         return own
 
-    def linked(item: list) -> bool:
-        return item[LABEL] == "#" and 0 < item[CHARS] <= 2 * item[LINKED] or any(linked(x) for x in item[ITEMS])
+    def linked(slot: list) -> bool:
+        s = of.get(slot[NUMBER], none)
+        return slot[0] == "#" and 0 < s.chars <= 2 * s.linked or any(map(linked, slot[INNER_]))
 
-    total = mass(wrapper)
+    total = sum(map(mass, plan))
 
-    def judged(items: list, out: list, repeated: bool, heading: bool, in_article: bool, start: int | None = None) -> list:
-        for item in items:
-            at, again = len(out), repeated or item[REPEATED]
-            if " " in item[LABEL]:
-                judged(item[ITEMS], out, True, heading, in_article, at if start is None else start)
+    def judged(slots: list, heading: bool, in_article: bool) -> list:
+        out = []
+        for slot in slots:
+            label, after, number, again, inner = slot
+            tag, s = label.split(".")[0], of.get(number, none)
+            if label == "#":
+                out.append([label, after, not linked(slot) or heading and not again, list(s.constant), again, []])
                 continue
-            tag = item[LABEL].split(".")[0]
-            after = start if start is not None else at if item[REPEATED] else at + 1
-            if item[LABEL] == "#":
-                kept = not linked(item) or heading and not again
-                out.append([item[LABEL], after, kept, _constant(item), again, []])
-            else:
-                cards = tag == "article" and again and linked(item) and 2 * masses[id(item)] < total
-                # outside of articles, a site's name is told from a title by being constant, which takes enough pages
-                site = tag == "header" and not in_article and item[PAGES] < CONSTANT
-                inner = judged(item[ITEMS], [], again, heading or tag in HEADINGS, in_article or tag in ("article", "main"))
-                out.append([item[LABEL], after, not cards and not site, [], again, inner])
+            cards = tag == "article" and again and linked(slot) and 2 * masses.get(number, 0.0) < total
+            # outside of articles, a site's name is told from a title by being constant, which takes enough pages
+            site = tag == "header" and not in_article and s.pages < CONSTANT
+            out.append([label, after, not cards and not site, [], again, judged(inner, heading or tag in HEADINGS, in_article or tag in ("article", "main"))])
         return out
 
-    return judged(wrapper[ITEMS], [], False, False, False)
+    return judged(plan, False, False)
 
 
 def extract(page: Node, host: list) -> str:
     """The texts of a page whose slots are main text, in page order; ``host`` are the verdicts of its host's wrapper."""
 
-    def placed(items: list, known: list) -> Iterator[tuple]:
-        """Each item of a page with the verdict it aligns with, or None."""
-        at = 0
-        for item in items:
-            label = "#" if isinstance(item, tuple) else item.label
-            j = next((k for k in range(at, len(known)) if known[k][0] == label), None)
-            if j is not None:
-                at = known[j][NEXT]
-            else:
-                j = next((k for k in range(at) if known[k][0] == label), None) if at else None
-            yield item, known[j] if j is not None else None
-
     def take(node: Node, known: list, in_article: bool, only_headings: bool, part: list) -> None:
         """``part`` has the places in ``out`` of the constant texts of this part of the page, and first whether others were met."""
         for item, found in placed(node.items, known):
@@ -385,44 +484,111 @@ def infer(pages: DataFrame) -> DataFrame:
     """``host`` and ``wrapper`` (JSON) of the pages (host, html)."""
     ship(pages.sparkSession)
 
-    def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, list] = {}
+    def streams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: set[tuple[str, str]] = set()
         for batch in batches:
             for host, source in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                one = described(parse(source.as_py() or ""))
-                held[host] = folded(held[host], one) if host in held else one
+                held.add((host, json.dumps(described(parse(source.as_py() or "")), ensure_ascii=False)))
                 if len(held) > HELD:
                     yield _rows(held)
         yield _rows(held)
 
     def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows come sorted by host, so one wrapper is held at a time."""
-        host, whole = None, None
+        """Rows come sorted by host and part, so one wrapper is held at a time."""
+        at, whole = None, None
         for batch in batches:
-            for name, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for host, part, text in zip(*[c.to_pylist() for c in batch.columns], strict=True):
                 one = json.loads(text)
-                if name == host and whole is not None:
+                if (host, part) == at:
                     whole = folded(whole, one)
                 else:
                     if whole is not None:
-                        yield _rows({host: whole})
-                    host, whole = name, one
+                        yield _part(at, whole)
+                    at, whole = (host, part), one
         if whole is not None:
-            yield _rows({host: whole})
+            yield _part(at, whole)
 
-    schema = "host string, wrapper string"
-    found = pages.select("host", "html").mapInArrow(parts, schema)
-    # a host's parts, one for each task that met it, are folded in two levels
-    dealt = found.withColumn("share", F.pmod(F.xxhash64("wrapper"), F.lit(FOLD)))
-    once = dealt.repartition("host", "share").sortWithinPartitions("host", "wrapper").select("host", "wrapper").mapInArrow(joined, schema)
-    return once.repartition("host").sortWithinPartitions("host", "wrapper").mapInArrow(joined, schema)
+    found = pages.select("host", "html").mapInArrow(streams, "host string, wrapper string").distinct()
+    found = found.select("host", F.pmod(F.xxhash64("wrapper"), F.lit(FOLD ** (LEVELS - 1))).alias("part"), "wrapper")
+    for level in range(LEVELS):  # parts of a host by the hash of their streams: first each by itself, then FOLD together
+        at = found.select("host", F.expr(f"part div {FOLD if level else 1}").alias("part"), "wrapper")
+        found = at.repartition("host", "part").sortWithinPartitions("host", "part", "wrapper").mapInArrow(joined, "host string, part bigint, wrapper string")
+    return found.select("host", "wrapper")
 
 
-def _rows(held: dict[str, list]) -> pa.RecordBatch:
-    out = pa.RecordBatch.from_arrays([pa.array(list(held), pa.string()), pa.array([json.dumps(w, ensure_ascii=False) for w in held.values()], pa.string())],
-                                     names=["host", "wrapper"])
+def _rows(held: set[tuple[str, str]]) -> pa.RecordBatch:
+    rows = sorted(held)
     held.clear()
-    return out
+    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.string()) for i in (0, 1)], names=["host", "wrapper"])
+
+
+def _part(at: tuple[str, int], wrapper: list) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([at[0]], pa.string()), pa.array([at[1]], pa.int64()), pa.array([json.dumps(wrapper, ensure_ascii=False)], pa.string())],
+                                      names=["host", "part", "wrapper"])
+
+
+_COUNTS = pa.schema([("host", pa.string()), ("slot", pa.int32()), ("text", pa.int64()), ("pages", pa.int64()), ("chars", pa.int64()), ("linked", pa.int64())])
+
+
+def count_slots(pages: DataFrame) -> DataFrame:
+    """(host, slot, text, pages, chars, linked) of the pages (host, plan, html), summed in each task; a null text is for the slot itself."""
+    def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[tuple[str, int, int | None], list[int]] = {}
+        read = lru_cache(64)(json.loads)
+
+        def handed_on() -> pa.RecordBatch:
+            rows = [(*k, *v) for k, v in held.items()]
+            held.clear()
+            return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], f.type) for i, f in enumerate(_COUNTS)], schema=_COUNTS)
+
+        for batch in batches:
+            for host, plan, source in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
+                sums, texts = counted(parse(source.as_py() or ""), read(plan))
+                for slot, (chars, linked) in sums.items():
+                    own = held.setdefault((host, slot, None), [0, 0, 0])
+                    own[0] += 1
+                    own[1] += chars
+                    own[2] += linked
+                for slot, text in texts:
+                    held.setdefault((host, slot, text), [0, 0, 0])[0] += 1
+            if len(held) > COUNTS:
+                yield handed_on()
+        yield handed_on()
+
+    return pages.mapInArrow(counts, "host string, slot int, text bigint, pages bigint, chars bigint, linked bigint")
+
+
+def host_verdicts(rows: DataFrame, work: Workspace) -> DataFrame:
+    """``host`` and ``verdicts`` (JSON), from all pages (host, html)."""
+    def planned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            plans = [json.dumps(plan_of(json.loads(w)), ensure_ascii=False) for w in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(plans, pa.string())], names=["host", "plan"])
+
+    # written first, so that its true size decides whether the pages are shuffled at all
+    plans = work.put(infer(rows).mapInArrow(planned, "host string, plan string"), "plans")
+    found = count_slots(rows.select("host", "html").join(plans, "host").select("host", "plan", "html"))
+    summed = work.put(found.groupBy("host", "slot", "text").agg(*[F.sum(c).alias(c) for c in ("pages", "chars", "linked")]), "counts")
+    slots = work.put(summed.filter("text is null").drop("text"), "slots")
+    texts = summed.filter("text is not null").select("host", "slot", "text", F.col("pages").alias("n"))
+    distinct = texts.groupBy("host", "slot").agg(F.count(F.lit(1)).alias("distinct"))
+    # at least half of a slot's pages, so a few texts of each slot
+    constant = (texts.filter(F.col("n") >= CONSTANT).join(slots.select("host", "slot", "pages"), ["host", "slot"]).filter(2 * F.col("n") >= F.col("pages"))
+                .groupBy("host", "slot").agg(F.sort_array(F.collect_list("text")).alias("constant")))
+    known = (slots.join(distinct, ["host", "slot"], "left").join(constant, ["host", "slot"], "left")
+             .groupBy("host").agg(F.collect_list(F.struct("slot", "pages", "chars", "linked", F.coalesce("distinct", F.lit(0)).alias("distinct"), "constant")).alias("slots")))
+
+    def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = []
+            for plan, slots in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+                of = {s["slot"]: Slot(s["pages"], s["chars"], s["linked"], s["distinct"], tuple(s["constant"] or ())) for s in slots or ()}
+                made.append(json.dumps(verdicts(json.loads(plan), of), ensure_ascii=False))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, pa.string())], names=["host", "verdicts"])
+
+    made = work.put(plans.join(known, "host", "left").mapInArrow(judged, "host string, verdicts string"), "verdicts")
+    work.drop("plans", "counts", "slots")
+    return made
 
 
 def main_text(pages: DataFrame, url: str = "url", source: str = "html") -> DataFrame:
@@ -431,15 +597,8 @@ def main_text(pages: DataFrame, url: str = "url", source: str = "html") -> DataF
     host = F.coalesce(F.lower(F.regexp_extract(F.col(url), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]*)", 1)), F.lit(""))
     keep = [c for c in pages.columns if c not in (source, "text")]
     rows = pages.select(*[F.col(f"`{c}`").alias(f"_c{i}") for i, c in enumerate(keep)], F.col(source).alias("html"), host.alias("host"))
-
-    def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [json.dumps(verdicts(json.loads(w))) for w in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.string())], names=["host", "verdicts"])
-
-    # written first, so that its true size decides whether the pages are shuffled at all
-    known = Workspace(pages.sparkSession, "wrappers").put(infer(rows).mapInArrow(judged, "host string, verdicts string"), "verdicts")
-    placed = rows.join(known, "host", "left").select(*[f"_c{i}" for i in range(len(keep))], "verdicts", "html")
+    known = host_verdicts(rows, Workspace(pages.sparkSession, "wrappers"))
+    beside = rows.join(known, "host", "left").select(*[f"_c{i}" for i in range(len(keep))], "verdicts", "html")
 
     def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n = len(keep)
@@ -449,5 +608,5 @@ def main_text(pages: DataFrame, url: str = "url", source: str = "html") -> DataF
                     zip(batch.column(n).to_pylist(), batch.column(n + 1), strict=True)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:n], pa.array(made, pa.string())], names=[*batch.schema.names[:n], "text"])
 
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in placed.schema if f.name.startswith("_c")]
-    return placed.mapInArrow(texts, ", ".join([*fields, "text string"])).toDF(*keep, "text")
+    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in beside.schema if f.name.startswith("_c")]
+    return beside.mapInArrow(texts, ", ".join([*fields, "text string"])).toDF(*keep, "text")
