@@ -1,11 +1,17 @@
 """Encoding to and decoding from the ids of a local rank file, by the tiktoken library.
 
-Long texts are cut before a single space between two other characters, where the
-splitting pattern always starts a new piece, so the cut changes no id and bounds
-what the library holds at once.  Decoding joins the raw bytes of the ids; they are
-read as UTF-8 only at the end, as an id may hold part of a character.
-
-Defined results: a null text is encoded as empty (no ids).
+The splitting pattern reads a text from left to right, and no piece goes on from a character
+that is not white space to one that is, nor from a letter to a sign.  So a long text may be
+cut before white space that follows other characters, and before a sign that follows a letter:
+the cut changes no id and bounds what the library holds at once.  A run of white space is matched with a
+look-ahead that the library can't carry out on a very long run; such runs go by the pattern's own
+rule: the whole run at the end of a text, all but its last character before other text, as one piece.
+Decoding joins the raw bytes of the ids; they are read as UTF-8 only at the end, as an id may
+hold part of a character.
+
+Defined results: a null text is encoded as empty (no ids); a text of any length and make is encoded
+whole (a stretch without a boundary, say of letters only, at once); rows that repeat give equal rows;
+an empty table gives an empty one; other columns stay, those with the names of the results are replaced.
 """
 
 from __future__ import annotations
@@ -26,7 +32,13 @@ from millrace.llm.runtime import ship, slices
 PART = 1 << 16
 #: Bytes of text in one output batch.
 BATCH = 1 << 20
-_SAFE = re.compile(r"(?<=\S)(?= \S)")
+#: White space as the library's pattern has it; some letters and signs that every version of Unicode has as such.
+_BLANK = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+_LETTER, _SIGN = r"A-Za-zа-яА-Я一-龥ぁ-ゔァ-ヺ가-힣", r"!-&(-/:-@\[-`{-~。，、"
+_SAFE = re.compile(f"(?<=[^{_BLANK}])(?=[{_BLANK}])|(?<=[{_LETTER}])(?=[{_SIGN}])")
+#: White space of this length on is kept from the library's pattern.
+LONG_RUN = 1 << 15
+_RUN = re.compile(f"[{_BLANK}]{{{LONG_RUN},}}")
 
 
 class Codec:
@@ -38,7 +50,8 @@ class Codec:
 
     def encode(self, text: str | None) -> np.ndarray:
         """The ids as 32-bit numbers."""
-        parts = [np.array(self.encoding.encode_ordinary(part), np.int32) for part in safe_parts(text)] if text else []
+        parts = [np.array(self.encoding._encode_single_piece(piece) if single else self.encoding.encode_ordinary(piece), np.int32)
+                 for part in safe_parts(text) for piece, single in without_long_runs(part)] if text else []
         return np.concatenate(parts) if parts else np.zeros(0, np.int32)
 
     def decode_bytes(self, ids: Sequence[int]) -> bytes:
@@ -60,6 +73,19 @@ def safe_parts(text: str, limit: int = PART) -> Iterator[str]:
     yield text[start:]
 
 
+def without_long_runs(part: str) -> Iterator[tuple[str, bool]]:
+    """Stretches of a part, and whether each is a single piece of the pattern: what it takes of a long run of white space."""
+    at = 0
+    for run in _RUN.finditer(part) if len(part) >= LONG_RUN else ():
+        stop = run.end() if run.end() == len(part) else run.end() - 1
+        if run.start() > at:
+            yield part[at:run.start()], False
+        yield part[run.start():stop], True
+        at = stop
+    if at < len(part):
+        yield part[at:], False
+
+
 _LOADED: dict[tuple[str, str], Codec] = {}
 
 
