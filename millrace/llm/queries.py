@@ -127,20 +127,25 @@ def _located_sql(name: str, pattern: str, group: int = 0, least: int = 0) -> str
 
 _SECRETS = f"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),{_located_sql('m_assign', secret_scan.ASSIGN, 2, 8)},{_located_sql('m_access', secret_scan.ACCESS)},{
-    _located_sql('m_hex', secret_scan.HEX)},{_located_sql('runs', secret_scan.CANDIDATE)},
+    _located_sql('m_hex', secret_scan.HEX)},{_located_sql('runs', secret_scan.CANDIDATE)},{_located_sql('parts', secret_scan.PART)},
      base AS (SELECT doc_id, start, 0 AS o, stop, 'assign' AS kind FROM m_assign UNION ALL SELECT doc_id, start, 1, stop, 'access' FROM m_access
               UNION ALL SELECT doc_id, start, 2, stop, 'hex' FROM m_hex),
-     free AS (SELECT * FROM runs r WHERE NOT regexp_matches(hit, {_literal(secret_scan.ALLOWED.replace('(?i)abcdefghij|example|placeholder|changeme|xxxxxx|dummy', '(?i:abcdefghij|example|placeholder|changeme|xxxxxx|dummy)'))})
-              AND NOT EXISTS (SELECT 1 FROM base b WHERE b.doc_id = r.doc_id AND b.start <= r.start AND r.stop <= b.stop)),
-     classed AS (SELECT *, CASE WHEN regexp_matches(hit, '^([0-9a-f]+|[0-9A-F]+)$') THEN CASE WHEN regexp_matches(hit, '[0-9]') THEN 'hexkey' END
-                                WHEN regexp_matches(hit, '[0-9]') AND regexp_matches(hit, '[a-z]') AND regexp_matches(hit, '[A-Z]') THEN 'b64key' END AS kind FROM free),
-     windows AS (SELECT doc_id, start, kind, i, substring(hit, i::INT + 1, {secret_scan.WINDOW}) AS w
-                 FROM (SELECT *, unnest(range(length(hit) - {secret_scan.WINDOW - 1})) AS i FROM classed WHERE kind IS NOT NULL)),
-     hot AS (SELECT doc_id, start, kind, i FROM windows
+     found AS (SELECT doc_id, start, stop, hit, CASE WHEN regexp_matches(hit, '[+/_=-]') AND regexp_matches(hit, '[0-9]') AND regexp_matches(hit, '[a-z]') AND regexp_matches(hit, '[A-Z]')
+                 THEN 'b64key' END AS kind FROM runs
+               UNION ALL SELECT doc_id, start, stop, hit, CASE WHEN regexp_matches(hit, '[0-9]') THEN CASE WHEN regexp_matches(hit, '^([0-9a-f]+|[0-9A-F]+)$') THEN 'hexkey'
+                   WHEN regexp_matches(hit, '[a-z]') AND regexp_matches(hit, '[A-Z]') THEN CASE WHEN regexp_matches(hit, '^[0-9a-fA-F]+$') THEN 'hexmixed' ELSE 'b64key' END
+                   WHEN regexp_matches(hit, '[a-z]') THEN 'base36' WHEN regexp_matches(hit, '[A-Z]') THEN 'base32' ELSE 'onecase' END
+                 WHEN regexp_matches(hit, '[a-z]') AND regexp_matches(hit, '[A-Z]') THEN 'letters' ELSE 'onecase' END FROM parts),
+     classed AS (SELECT * FROM found r WHERE kind IS NOT NULL AND NOT regexp_matches(hit, {_literal(secret_scan.ALLOWED.replace('(?i)abcdefghij|example|placeholder|changeme|xxxxxx|dummy', '(?i:abcdefghij|example|placeholder|changeme|xxxxxx|dummy)'))})
+                 AND NOT EXISTS (SELECT 1 FROM base b WHERE b.doc_id = r.doc_id AND b.start <= r.start AND r.stop <= b.stop)),
+     limits(kind, o, bits, folded) AS (VALUES {', '.join(f"('{k}', {secret_scan.KINDS.index(k)}, {v}, {k in secret_scan._FOLDED})" for k, v in secret_scan.THRESHOLDS.items())}),
+     windows AS (SELECT doc_id, start, stop, kind, o, bits, i, substring(CASE WHEN folded THEN lower(hit) ELSE hit END, i::INT + 1, {secret_scan.WINDOW}) AS w
+                 FROM (SELECT *, unnest(range(length(hit) - {secret_scan.WINDOW - 1})) AS i FROM classed) JOIN limits USING (kind)),
+     hot AS (SELECT * FROM windows
              WHERE list_sum(list_transform(list_distinct(string_split(w, '')), lambda c: (length(w) - length(replace(w, c, ''))) * log2(length(w) - length(replace(w, c, '')))))
-                   <= {secret_scan.WINDOW} * (log2({secret_scan.WINDOW}) - CASE kind WHEN 'hexkey' THEN {secret_scan.THRESHOLDS['hexkey']} ELSE {secret_scan.THRESHOLDS['b64key']} END) + 1e-9),
-     more AS (SELECT doc_id, start + min(i) AS start, CASE kind WHEN 'hexkey' THEN 3 ELSE 4 END AS o, start + max(i) + {secret_scan.WINDOW} AS stop, kind
-              FROM hot GROUP BY doc_id, start, kind),
+                   <= {secret_scan.WINDOW} * (log2({secret_scan.WINDOW}) - bits) + 1e-9),
+     more AS (SELECT DISTINCT doc_id, first, o, last, kind FROM (SELECT doc_id, start + min(i) AS first, o, start + max(i) + {secret_scan.WINDOW} AS last, kind
+              FROM hot GROUP BY doc_id, start, stop, o, kind)),
      shown AS (SELECT doc_id, string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, o) FILTER (o < 3) AS base,
                       string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, o) AS spans,
                       count(*) FILTER (o = 0) AS n_assign, count(*) FILTER (o = 1) AS n_access, count(*) FILTER (o = 2) AS n_hex

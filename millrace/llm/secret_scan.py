@@ -1,33 +1,35 @@
 """Secrets in texts: fixed shapes and windows of high entropy, by DataFrame functions only.
 
-Base spans are the shapes ``assign``, ``access`` and ``hex``.  Further candidates are
-runs of key characters of at least one window.  A run of one character class -
-``hexkey``: hexadecimal digits in one case with a digit, ``b64key``: lower, upper and
-digits - is scanned by a window of fixed length: the step to the next window takes one
-character out of the class's counts and puts one in, and moves the sum of
-c * log2(c) by just those two terms, so entropy = log2(W) - sum / W.  The span goes from the
-first to the last window at or above the class's threshold.  A run is suppressed if
-it matches the allow list or lies inside a base span.
-
-Masking goes further than ``spans``, whose two classes the SQL of op9 fixes.  ``part_spans``
-scans the parts of letters and digits between separators, each with the alphabet and
-threshold of its class: the two above, ``hexmixed``, ``base36`` (lower and digits),
-``base32`` (upper and digits), ``letters`` of both cases and ``onecase`` letters.  The
-allow list is matched with the part, so an example in a path hides nothing beside it.
-The thresholds are those that about one random token of 40 characters in a hundred does not reach, for
-``onecase`` four, as words come near it.
+Base spans are the shapes ``assign``, ``access`` and ``hex``.  Further candidates are of
+two sorts, each of at least one window: runs of key characters with a separator
+(``+/_=-``) in them, which are ``b64key`` if they have lower and upper letters and digits, and
+parts, runs of letters and digits only, of a class each: ``hexkey`` (hexadecimal digits in one
+case with a digit), ``hexmixed``, ``b64key`` (lower, upper, digits), ``base36`` (lower, digits),
+``base32`` (upper, digits), ``letters`` of both cases and ``onecase`` letters.  A candidate is
+scanned by a window of fixed length: the step to the next window takes one character out of the
+class's counts and puts one in, and moves the sum of c * log2(c) by just those two
+terms, so entropy = log2(W) - sum / W.  The counts are one character each in a text of the
+alphabet's length, so a step replaces two characters of it.  The span goes from the first to the last
+window at or above the class's threshold.  A candidate is suppressed if it matches the allow
+list itself, so an example in a path hides nothing beside it, or lies inside a base span.
+The thresholds are those that about one random token of 40 characters in a hundred does not
+reach, for ``onecase`` four, as words come near it.
 
 Positions are code points, end exclusive.  They come from the lengths of what stands
-between matches (split) and of the matches (extract), as no function gives them.
+between matches (split) and of the matches (extract), as no function gives them, by running
+sums.  Running sums and maxima are made in blocks of the root of the length, so a
+text with very many matches costs little more than its length.
 
 Defined results: a null text counts as empty and has no spans; spans that share a
-start are in the order of KINDS.
+start are in the order of KINDS; equal spans appear once; very long texts are read whole; rows that repeat give
+equal rows; an empty table gives an empty one; other columns stay, those named ``base_spans`` and ``spans`` are replaced by
+``find_spans``, and no column is by ``redact``.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -52,6 +54,38 @@ _ALPHABET = {"hexkey": "0123456789abcdef", "b64key": "".join(map(chr, [*range(48
 _FOLDED = frozenset(["hexkey", "base32", "onecase"])
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often the body names it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _running(values: Column, combine: Callable[[Column, Column], Column]) -> Column:
+    """What ``combine`` (with 0 as its start) makes of each number and all before it."""
+    none = F.array().cast("array<int>")
+
+    def scan(row: Column, start: Column) -> Column:
+        return F.aggregate(row, start, lambda done, x: F.concat(done, F.array(combine(F.coalesce(F.try_element_at(done, F.lit(-1)), F.lit(0)), x))))
+
+    def joined(rows: Column) -> Column:
+        before = scan(F.transform(rows, lambda r: F.element_at(r, -1)), F.array(F.lit(0)))
+        return F.flatten(F.zip_with(rows, F.slice(before, 1, F.size(rows)), lambda r, b: F.transform(r, lambda x: combine(x, b))))
+
+    def blocks(v: Column) -> Column:
+        width = F.ceil(F.sqrt(F.size(v))).cast("int")
+        rows = F.transform(F.sequence(F.lit(1), F.size(v), width), lambda first: scan(F.slice(v, first, width), none))
+        return F.when(F.size(v) > 0, _let(rows, joined)).otherwise(none)
+
+    return _let(values, blocks)
+
+
+def _plus(a: Column, b: Column) -> Column:
+    return a + b
+
+
+def _most(a: Column, b: Column) -> Column:
+    return F.greatest(a, b)
+
+
 def _located(text: Column, pattern: str, quick: str, keep: tuple[int, int] | None = None) -> Column:
     """Array of (start, end, hit) of the leftmost non-overlapping matches.
 
@@ -61,17 +95,15 @@ def _located(text: Column, pattern: str, quick: str, keep: tuple[int, int] | Non
     gaps, hits = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     sized = F.regexp_extract_all(text, F.lit(pattern), F.lit(keep[0])) if keep else hits
     least = keep[1] if keep else 0
-    steps = F.arrays_zip(gaps.alias("gap"), hits.alias("hit"), sized.alias("sized"))
     empty = F.array().cast("array<struct<start:int,end:int,hit:string>>")
 
-    def step(state: Column, x: Column) -> Column:
-        start = state["at"] + F.char_length(x["gap"])
-        end = start + F.coalesce(F.char_length(x["hit"]), F.lit(0))
-        one = F.array(F.struct(start.alias("start"), end.alias("end"), x["hit"].alias("hit")))
-        good = x["hit"].isNotNull() & (F.char_length(x["sized"]) >= least)
-        return F.struct(end.alias("at"), F.when(good, F.concat(state["out"], one)).otherwise(state["out"]).alias("out"))
+    def placed(steps: Column) -> Column:
+        ends = _running(F.transform(steps, lambda x: F.char_length(x["gap"]) + F.coalesce(F.char_length(x["hit"]), F.lit(0))), _plus)
+        good = F.filter(F.zip_with(steps, ends, lambda x, end: F.struct(x.alias("x"), end.alias("end"))),
+                        lambda s: s["x"]["hit"].isNotNull() & (F.char_length(s["x"]["sized"]) >= least))
+        return F.transform(good, lambda s: F.struct((s["end"] - F.char_length(s["x"]["hit"])).alias("start"), s["end"].alias("end"), s["x"]["hit"].alias("hit")))
 
-    found = F.aggregate(steps, F.struct(F.lit(0).alias("at"), empty.alias("out")), step, lambda s: s["out"])
+    found = _let(F.arrays_zip(gaps.alias("gap"), hits.alias("hit"), sized.alias("sized")), placed)
     return F.when(text.rlike(quick), found).otherwise(empty)
 
 
@@ -84,58 +116,84 @@ def _hot_windows(hit: Column, kind: str) -> Column:
     letters = _ALPHABET[kind]
     codes = F.transform(F.split(F.lower(hit) if kind in _FOLDED else hit, ""), lambda c: F.instr(F.lit(letters), c))
     most = WINDOW * (math.log2(WINDOW) - THRESHOLDS[kind]) + 1e-9  # the sum of c * log2(c) may be this high
+    zero = ord("A")  # a count is the character so far behind it
+
+    def count(counts: Column, code: Column) -> Column:
+        return F.ascii(F.substring(counts, code, F.lit(1))) - zero
 
-    # each place with the character that leaves the window as it enters, so that a run is read once whatever its length
-    behind = F.concat(F.array_repeat(F.lit(0), WINDOW), F.slice(codes, 1, F.char_length(hit) - WINDOW))
+    def moved(counts: Column, code: Column, n: Column) -> Column:
+        return F.overlay(counts, F.char(n + zero), code, F.lit(1))
 
     def step(state: Column, x: Column) -> Column:
         entering, leaving, i = x["entering"], x["leaving"], state["i"] + 1
         counts, same = state["counts"], entering == leaving
-        gone = F.when(leaving > 0, F.element_at(counts, F.greatest(leaving, F.lit(1)))).otherwise(0)
-        come = F.element_at(counts, entering)
-        moved = F.when(same, F.lit(0.0)).otherwise(
+        gone = F.when(leaving > 0, count(counts, leaving)).otherwise(0)
+        come = count(counts, entering)
+        more = F.when(same, F.lit(0.0)).otherwise(
             _weight(come + 1) - _weight(come) + F.when(leaving > 0, _weight(gone - 1) - _weight(gone)).otherwise(0.0))
-        total = state["total"] + moved
-        new = F.when(same, counts).otherwise(F.transform(counts, lambda c, k: c + (k + 1 == entering).cast("int") - (k + 1 == leaving).cast("int")))
+        total = state["total"] + more
+        put = moved(counts, entering, come + 1)
+        new = F.when(same, counts).when(leaving > 0, moved(put, leaving, gone - 1)).otherwise(put)
         hot = (i >= WINDOW) & (total <= most)
         return F.struct(i.alias("i"), new.alias("counts"), total.alias("total"),
                         F.when(hot & (state["first"] < 0), i - WINDOW).otherwise(state["first"]).alias("first"),
                         F.when(hot, i).otherwise(state["last"]).alias("last"))
 
-    start = F.struct(F.lit(0).alias("i"), F.array_repeat(F.lit(0), len(letters)).alias("counts"), F.lit(0.0).alias("total"), F.lit(-1).alias("first"), F.lit(-1).alias("last"))
-    return F.aggregate(F.arrays_zip(codes.alias("entering"), behind.alias("leaving")), start, step, lambda s: F.struct(s["first"].alias("first"), s["last"].alias("last")))
+    start = F.struct(F.lit(0).alias("i"), F.lit(chr(zero) * len(letters)).alias("counts"), F.lit(0.0).alias("total"), F.lit(-1).alias("first"), F.lit(-1).alias("last"))
 
+    def scanned(c: Column) -> Column:
+        # each place with the character that leaves the window as it enters, so that a run is read once whatever its length
+        behind = F.concat(F.array_repeat(F.lit(0), WINDOW), F.slice(c, 1, F.size(c) - WINDOW))
+        return F.aggregate(F.arrays_zip(c.alias("entering"), behind.alias("leaving")), start, step, lambda s: F.struct(s["first"].alias("first"), s["last"].alias("last")))
 
-def _entropy_spans(text: Column, base: Column) -> Column:
-    """Spans of the class of each candidate run that is not allowed and not inside a base span."""
-    runs = _located(text, CANDIDATE, CANDIDATE)
-    free = F.filter(runs, lambda r: ~r["hit"].rlike(ALLOWED) & ~F.exists(base, lambda b: (b["start"] <= r["start"]) & (r["end"] <= b["end"])))
-    is_hex = lambda h: h.rlike("^([0-9a-f]+|[0-9A-F]+)$") & h.rlike("[0-9]")
-    is_b64 = lambda h: h.rlike("[0-9]") & h.rlike("[a-z]") & h.rlike("[A-Z]") & ~h.rlike("^([0-9a-f]+|[0-9A-F]+)$")
+    return _let(codes, scanned)
 
-    def spans(kind: str, of_class: Callable[[Column], Column]) -> Column:
-        scanned = F.transform(F.filter(free, lambda r: of_class(r["hit"])), lambda r: F.struct(r["start"].alias("at"), _hot_windows(r["hit"], kind).alias("w")))
-        return F.transform(F.filter(scanned, lambda s: s["w"]["first"] >= 0), lambda s: _span(kind, s["at"] + s["w"]["first"], s["at"] + s["w"]["last"]))
 
-    return F.concat(spans("hexkey", is_hex), spans("b64key", is_b64))
+def _outside(found: Column, base: Column) -> Column:
+    """Those of the located candidates that lie inside no base span: no span that starts before them reaches their end."""
+    entry = lambda r, order, reach: F.struct(r["start"].alias("start"), F.lit(order).alias("order"), r["end"].alias("end"), reach.alias("reach"), r["hit"].alias("hit"))
+    both = F.array_sort(F.concat(F.transform(base, lambda b: F.struct(b["start"].alias("start"), F.lit(0).alias("order"), b["end"].alias("end"), b["end"].alias("reach"),
+                                                                      F.lit("").alias("hit"))), F.transform(found, lambda r: entry(r, 1, F.lit(0)))))
 
+    def free(sides: Column) -> Column:
+        reach = _running(F.transform(sides, lambda s: s["reach"]), _most)
+        return F.transform(F.filter(F.zip_with(sides, reach, lambda s, r: F.struct(s.alias("s"), r.alias("r"))), lambda x: (x["s"]["order"] == 1) & (x["s"]["end"] > x["r"])),
+                           lambda x: x["s"])
 
-def part_spans(text: Column, base: Column) -> Column:
-    """Spans of the parts between separators, of each by its class; not of allowed parts and those inside a base span."""
-    parts = _located(text, PART, PART)
-    free = F.filter(parts, lambda r: ~r["hit"].rlike(ALLOWED) & ~F.exists(base, lambda b: (b["start"] <= r["start"]) & (r["end"] <= b["end"])))
+    return F.when(F.size(base) == 0, F.transform(found, lambda r: entry(r, 1, F.lit(0)))).otherwise(_let(both, free))
+
+
+def _scanned(found: Column, base: Column, class_of: Callable[[Column], Column], kinds: Sequence[str]) -> Column:
+    """Spans of the candidates that are neither allowed nor inside a base span, each by its class."""
+    classed = F.transform(F.filter(_outside(found, base), lambda r: ~r["hit"].rlike(ALLOWED)),
+                          lambda r: F.struct(r["start"].alias("start"), r["hit"].alias("hit"), class_of(r["hit"]).alias("kind")))
+
+    def spans(own: Column, kind: str) -> Column:
+        windows = F.transform(F.filter(own, lambda r: r["kind"] == kind), lambda r: F.struct(r["start"].alias("at"), _hot_windows(r["hit"], kind).alias("w")))
+        return F.transform(F.filter(windows, lambda s: s["w"]["first"] >= 0), lambda s: _span(kind, s["at"] + s["w"]["first"], s["at"] + s["w"]["last"]))
+
+    return _let(classed, lambda own: F.concat(*[spans(own, k) for k in kinds]))
+
+
+def run_spans(text: Column, base: Column) -> Column:
+    """Spans of the runs with a separator and all of lower, upper and digits."""
+    mixed = lambda h: h.rlike("[+/_=-]") & h.rlike("[0-9]") & h.rlike("[a-z]") & h.rlike("[A-Z]")
+    return _scanned(_located(text, CANDIDATE, CANDIDATE), base, lambda h: F.when(mixed(h), "b64key"), ["b64key"])
 
+
+def part_spans(text: Column, base: Column) -> Column:
+    """Spans of the parts between separators, of each by its class."""
     def class_of(h: Column) -> Column:
         digit, lower, upper = (h.rlike(p) for p in ("[0-9]", "[a-z]", "[A-Z]"))
         return (F.when(digit & h.rlike("^([0-9a-f]+|[0-9A-F]+)$"), "hexkey").when(digit & lower & upper & h.rlike("^[0-9a-fA-F]+$"), "hexmixed")
                 .when(digit & lower & upper, "b64key").when(digit & lower, "base36").when(digit & upper, "base32").when(lower & upper, "letters").otherwise("onecase"))
 
-    def spans(kind: str) -> Column:
-        own = F.filter(free, lambda r: class_of(r["hit"]) == kind)
-        scanned = F.transform(own, lambda r: F.struct(r["start"].alias("at"), _hot_windows(r["hit"], kind).alias("w")))
-        return F.transform(F.filter(scanned, lambda s: s["w"]["first"] >= 0), lambda s: _span(kind, s["at"] + s["w"]["first"], s["at"] + s["w"]["last"]))
+    return _scanned(_located(text, PART, PART), base, class_of, list(THRESHOLDS))
 
-    return F.concat(*[spans(k) for k in THRESHOLDS])
+
+def _once(ordered: Column) -> Column:
+    """Without those equal to the one before."""
+    return F.filter(ordered, lambda x, i: ~x.eqNullSafe(F.get(ordered, i - 1)))
 
 
 def _span(kind: str, start: Column, end: Column) -> Column:
@@ -151,8 +209,8 @@ def find_spans(docs: DataFrame, text: str = "text") -> DataFrame:
         named("access", _located(body, ACCESS, ACCESS)),
         named("hex", _located(body, HEX, HEX))))
     rest = docs.drop("base_spans", "spans").withColumn("base_spans", base)
-    more = F.when(body.rlike(CANDIDATE), _entropy_spans(body, F.col("base_spans")))
-    return rest.withColumn("spans", F.when(more.isNull(), F.col("base_spans")).otherwise(F.array_sort(F.concat("base_spans", more))))
+    more = F.when(body.rlike(CANDIDATE), F.concat(run_spans(body, F.col("base_spans")), part_spans(body, F.col("base_spans"))))
+    return rest.withColumn("spans", F.when(more.isNull(), F.col("base_spans")).otherwise(_let(F.array_sort(F.concat("base_spans", more)), _once)))
 
 
 def shown(spans: Column) -> Column:
@@ -164,17 +222,34 @@ def count_of(spans: Column, kind: str) -> Column:
     return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("bigint")
 
 
+#: Characters in a block of a text that is cut.
+_BLOCK = 4096
+
+
+def _between(blocks: Column, a: Column, b: Column) -> Column:
+    """The text from place a to place b, of a text in blocks."""
+    first, last = F.floor(a / _BLOCK).cast("int"), F.floor(b / _BLOCK).cast("int")
+    block = lambda k: F.coalesce(F.try_element_at(blocks, k + 1), F.lit(""))
+    inner = F.concat(F.substring(block(first), a % _BLOCK + 1, F.lit(_BLOCK)), F.array_join(F.slice(blocks, first + 2, F.greatest(last - first - 1, F.lit(0))), ""),
+                     F.substring(block(last), F.lit(1), b % _BLOCK))
+    return F.when(first == last, F.substring(block(first), a % _BLOCK + 1, b - a)).otherwise(inner)
+
+
 def redact(docs: DataFrame, text: str = "text", mark: str = "[SECRET]") -> DataFrame:
-    """``docs`` with each stretch of overlapping spans, those of parts too, replaced by ``mark``; texts without spans and null texts stay as they are."""
-    found = find_spans(docs.select(*docs.columns, F.col(text).alias("_body")), "_body")
-    body = F.col("_body")
-    found = found.withColumn("spans", F.when(body.rlike(PART), F.array_sort(F.concat("spans", part_spans(body, F.col("base_spans"))))).otherwise(F.col("spans")))
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-
-    def step(state: Column, s: Column) -> Column:
-        apart = (s["start"] >= state["at"]) & ((s["start"] > state["at"]) | (state["out"] == ""))
-        kept = F.concat(state["out"], F.substring(body, state["at"] + 1, s["start"] - state["at"]), F.lit(mark))
-        return F.struct(F.greatest(state["at"], s["end"]).alias("at"), F.when(apart, kept).otherwise(state["out"]).alias("out"))
-
-    cut = F.aggregate("spans", start, step, lambda s: F.concat(s["out"], F.substring(body, s["at"] + 1, F.length(body))))
-    return found.withColumn(text, F.when(F.size("spans") > 0, cut).otherwise(body)).select(*docs.columns)
+    """``docs`` with each stretch of overlapping or touching spans replaced by ``mark``; texts without spans and null texts stay as they are."""
+    names = {c: f"_c{i}" for i, c in enumerate(docs.columns)}
+    found = find_spans(docs.select(*[F.col(f"`{c}`").alias(k) for c, k in names.items()]), names[text])
+    body = F.col(names[text])
+
+    def cut(spans: Column) -> Column:
+        reach = _running(F.transform(spans, lambda s: s["end"]), _most)
+        behind = F.concat(F.array(F.lit(-1)), F.slice(reach, 1, F.size(spans) - 1))
+        # a stretch starts where no earlier span reaches; the text before it goes back to where they end
+        starts = F.filter(F.zip_with(spans, behind, lambda s, r: F.struct(r.alias("at"), s["start"].alias("start"))), lambda s: s["start"] > s["at"])
+        tail = F.element_at(reach, -1)
+        return _let(F.regexp_extract_all(body, F.lit(f"(?s).{{1,{_BLOCK}}}"), F.lit(0)), lambda blocks: F.concat(
+            F.array_join(F.transform(starts, lambda s: F.concat(_between(blocks, F.greatest(s["at"], F.lit(0)), s["start"]), F.lit(mark))), ""),
+            _between(blocks, tail, F.char_length(body))))
+
+    made = found.withColumn(names[text], F.when(F.size("spans") > 0, _let(F.col("spans"), cut)).otherwise(body))
+    return made.select(*[F.col(k).alias(c) for c, k in names.items()])
