@@ -216,12 +216,16 @@ def components(docs: DataFrame, width: int = 5, percent: int = 80, key: str = "d
     per = here.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("m"))
     arenas = per.groupBy("bucket").agg(F.max_by("label", F.struct("m", "label")).alias("arena"), F.count(F.lit(1)).alias("groups")).filter("groups > 1")
     inside = work.put(here.join(arenas.select("bucket", "arena"), "bucket").select("arena", "rep", "label").distinct(), "inside")
-    chunks = inside.groupBy("arena").agg(F.ceil(F.count(F.lit(1)) / CHUNK).alias("chunks"))
-    dealt = inside.join(chunks, "arena")
-    name = lambda i: F.concat_ws("-", "arena", i)
-    strays = dealt.filter("label <> arena").select("arena", "rep", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("chunks") - 1)).alias("i"))
-    more = work.put(_visited(strays.select(name("i").alias("place"), "rep"),
-                             dealt.select(name(F.pmod(F.xxhash64("rep"), F.col("chunks"))).alias("place"), "rep"), sets, percent), "more")
+    # members and strays are both dealt into chunks; a place is a chunk of members with a chunk of strays
+    is_stray = (F.col("label") != F.col("arena")).cast("int")
+    chunks = inside.groupBy("arena").agg(F.ceil(F.count(F.lit(1)) / CHUNK).alias("chunks"), F.ceil(F.sum(is_stray) / CHUNK).alias("guests"))
+    dealt = inside.join(chunks, "arena").filter("guests > 0")
+    place = lambda i, j: F.concat_ws("-", "arena", i, j).alias("place")
+    own_chunk = lambda seed, n: F.pmod(F.xxhash64("rep", F.lit(seed)), F.col(n))
+    each = lambda n: F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(n) - 1))
+    strays = dealt.filter("label <> arena").select("arena", "rep", own_chunk(1, "guests").alias("j"), each("chunks").alias("i"))
+    hosts = dealt.select("arena", "rep", own_chunk(2, "chunks").alias("i"), each("guests").alias("j"))
+    more = work.put(_visited(strays.select(place("i", "j"), "rep"), hosts.select(place("i", "j"), "rep"), sets, percent), "more")
     if not more.isEmpty():
         at = labels.toDF("_n", "_l")
         lifted = (more.join(at.toDF("a", "_a"), "a", "left").join(at.toDF("b", "_b"), "b", "left")
