@@ -238,9 +238,13 @@ class Model:
 def train(docs: DataFrame, labels: DataFrame) -> Model:
     """Learn from the labelled rows that are not held out.  Two passes over the sample's texts: the lexicon, then the features."""
     ship(docs.sparkSession)
-    marked = labels.filter(~is_held_out(F.col("doc_id")) & F.col("toxic").isNotNull()).select("doc_id", F.col("toxic").cast("int").alias("toxic"))
-    sample = marked.orderBy(F.xxhash64("doc_id"), "doc_id", "toxic").limit(TRAIN_ROWS)  # a bounded number of small rows
-    texts = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("toxic", "text")
+    marked = labels.filter(~is_held_out(F.col("doc_id")) & F.col("toxic").isNotNull()).select("doc_id", F.col("toxic").cast("int").alias("toxic")).distinct()
+    # a bounded number of small rows; the hash leaves few more than that for the task that orders them
+    near = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < F.lit(2e6 * TRAIN_ROWS / max(1, marked.count()))
+    sample = marked.filter(near).orderBy(F.xxhash64("doc_id"), "doc_id", "toxic").limit(TRAIN_ROWS)
+    # of rows that repeat a key one, so that what reaches the driver is bounded too
+    texts = (docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").groupBy("doc_id", "toxic")
+             .agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text")).select("toxic", "text"))
     counts = texts.mapInArrow(_unit_counts, "unit string, positive bigint, negative bigint").groupBy("unit").agg(
         F.sum("positive").alias("a"), F.sum("negative").alias("b"))
     totals = counts.filter("unit = ''").first()
