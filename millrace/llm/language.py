@@ -127,14 +127,19 @@ def fit(x: np.ndarray, labels: np.ndarray, languages: list[str], seed: int = SEE
 
 def train(docs: DataFrame) -> Network | None:
     """The network of the documents' languages, learned from rows that are not held out; None without such rows."""
-    known = docs.filter(~is_held_out(F.col("doc_id")) & F.col("lang").isNotNull() & (F.col("lang") != UNKNOWN))
+    known = docs.filter(~is_held_out(F.col("doc_id")) & F.col("lang").isNotNull())
     counts = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not counts:
         return None
-    draw = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000))
+    # texts are drawn by a hash of their own too, and equal ones count once, so that keys and texts that repeat can't make the sample grow
+    draw = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1_000_000))
     chance = F.element_at(F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, 1e6 * PER_LANGUAGE / n)]), F.col("lang"))
-    head = F.substring(F.coalesce("text", F.lit("")), 1, TRAIN_WINDOWS * WINDOW)
-    rows = known.filter(draw < chance).select("lang", head.alias("head")).filter("head <> ''").toPandas()
+    # windows at hashed places of the whole text
+    free = F.greatest(F.char_length("text") - WINDOW, F.lit(0)) + 1
+    places = F.array_distinct(F.array(*[F.pmod(F.xxhash64("doc_id", F.lit(i)), free) for i in range(TRAIN_WINDOWS)]))
+    rows = (known.filter(draw < chance).select("lang", "doc_id", "text").filter("text <> ''").select("lang", "text", F.explode(places).alias("at"))
+            .select("lang", F.substring("text", F.col("at").cast("int") + 1, F.lit(WINDOW)).alias("head")).distinct().toPandas()
+            .sort_values(["lang", "head"], ignore_index=True))
     if not len(rows):
         return None
     languages = sorted(counts)
