@@ -11,7 +11,10 @@ its likeness to those is 0 whatever they share.  A merge drops such a stand-in a
 kept hash is there.
 
 Defined results: null and empty texts, and texts of white space only, have the
-empty fingerprint; likeness is 1 for two empty fingerprints, 0 for one.
+empty fingerprint; likeness is 1 for two empty fingerprints, 0 for one; a text of any length is read
+whole; rows that repeat a key follow one another in the order of a hash of their texts (rows of one key, and those without, lie in one
+block); an empty table gives an empty one.  ``fingerprint`` gives the hashes as an array of long; the text form of the query
+takes 16 digits for each, about as much as the text itself at SCALE 2.
 """
 
 from __future__ import annotations

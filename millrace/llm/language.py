@@ -5,12 +5,15 @@ fixed length, the largest answer of each filter in the window feeds a softmax ov
 the languages.  A text is predicted from all its windows: their probabilities are
 averaged, weighted by the bytes they hold.
 
-The network is fitted on the driver on at most PER_LANGUAGE labelled rows of each
-language, chosen by a hash of the key, and the first bytes of each; it is a few
-thousand numbers, whatever the table's size.
+The network is fitted on the driver on about PER_LANGUAGE labelled rows of each
+language, chosen by a hash of key and text, and TRAIN_WINDOWS windows of each, at places of the whole
+text that a hash gives; it is a few thousand numbers, whatever the table's size.  Every label that
+is not null is learned, whatever its name.
 
 Defined results: a text that is null or has no letter is ``und`` with score 0, and so
-is every text if there is no labelled row.
+is every text if there is no labelled row; a text of any length is read whole; rows that repeat give equal rows (and
+teach once); of languages with equal sums the first in order is taken; an empty table gives an empty one; columns other
+than doc_id, text and lang are not read.
 """
 
 from __future__ import annotations

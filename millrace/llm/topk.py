@@ -13,7 +13,9 @@ first bound.  Every vector is indexed, and the result is exact whatever the samp
 
 Defined results: vectors that are null or hold null or non-finite components take no
 part, as rows without an id; shorter vectors count as followed by zeros; ties go to
-the smaller id; a query has all candidates if there are fewer than k.
+the smaller id; a query has all candidates if there are fewer than k.  Rows that repeat an id
+are candidates of their own; as queries they are one, whose candidates are ranked with the scores of all its rows.
+An empty table gives an empty one; other columns are not read.
 """
 
 from __future__ import annotations

@@ -15,7 +15,9 @@ corpus: every document is scored from its whole text.
 
 Defined results: null and empty texts get the score of their (all zero) features;
 without any labelled row, or with one label only, the score is the base rate (0
-without labels).
+without labels); a text of any length is scored whole; rows that repeat a key are scored each by its own text
+(of those in the sample, the one whose text has the smallest hash teaches); equal texts have equal scores; an empty table
+gives an empty one; columns other than doc_id and text are not read.
 """
 
 from __future__ import annotations

@@ -135,3 +135,57 @@ def search(docs, items, k=20):
                 scores.append((-score, key is None, key or 0))
         out += [(item, i + 1, None if null else key, -score) for i, (score, null, key) in enumerate(sorted(scores)[:k])]
     return sorted(out, key=lambda r: tuple((x is None, x or 0) for x in r))
+
+
+def mixed(rows, weights, place, block_hashes):
+    """(document, copy) of a mix: each source's whole passes, then its longest beginning of the permutation that fits the rest of its quota.
+
+    A source's rows lie in ceil(sqrt(rows)) blocks by their key; blocks are in the order of ``block_hashes``, rows of a block in that of ``place``.
+    """
+    of = collections.defaultdict(list)
+    for doc, source, key, n in rows:
+        of[source].append((doc, key, n))
+    total = sum(n for r in of.values() for _, _, n in r)
+    share = {s: sum(n for _, _, n in r) / total for s, r in of.items()}
+    least = min(weights[s] / share[s] for s in of if share[s])
+    out = set()
+    for source, own in of.items():
+        ratio = weights[source] / share[source] / least if share[source] else 1.0
+        passes = math.floor(ratio + 1e-9)
+        rest = math.floor(max((ratio - passes) * sum(n for _, _, n in own), 0.0) + 1e-6)
+        blocks = math.isqrt(len(own) - 1) + 1
+        order = block_hashes(blocks)
+        out |= {(doc, c) for doc, _, _ in own for c in range(passes)}
+        held = 0
+        for doc, _, n in sorted(own, key=lambda r: (order[r[1] % blocks], place[r[1]])):
+            held += n
+            if held > rest or not rest:
+                break
+            out.add((doc, passes))
+    return out
+
+
+def sketch(text, width, scale, hash_of):
+    """Sorted hashes of the distinct shingles that lie below 1 / scale of the range, or the smallest one."""
+    hashes = sorted({hash_of(s) for s in shingles(text, width)})
+    return [h for h in hashes if h < 2 ** 64 // scale] or hashes[:1]
+
+
+def jaccard(a, b):
+    a, b = set(a), set(b)
+    return len(a & b) / len(a | b) if a | b else 1.0
+
+
+def mix64(x):
+    x = ((x ^ (x >> 30)) * 0xBF58476D1CE4E5B9) % 2 ** 64
+    x = ((x ^ (x >> 27)) * 0x94D049BB133111EB) % 2 ** 64
+    return x ^ (x >> 31)
+
+
+def shingle_hash(words, width):
+    rolled = 0
+    for word in words:
+        data, base = word.encode(), 0x9E3779B97F4A7C15
+        own = sum((c + 1) * pow(base, k, 2 ** 64) for k, c in enumerate(data)) + mix64(len(data))
+        rolled = (rolled * 0xD6E8FEB86659FD93 + mix64(own % 2 ** 64)) % 2 ** 64
+    return mix64(rolled if len(words) == width else (rolled + len(words)) % 2 ** 64)

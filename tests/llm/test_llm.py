@@ -65,9 +65,9 @@ def test_fingerprints(docs):
     assert len(got) == len(rows)
     for k, t in rows:
         assert got[k].n_chars == len(t) and got[k].edited_sha256 == hashlib.sha256(want[k].encode()).hexdigest()
-        a, b = fingerprints.sketches(pa.array([t, want[k]]))
-        assert got[k].fingerprint == fingerprints.to_text(a) and got[k].near_edited == pytest.approx(fingerprints.likeness(a, b))
-        assert (fingerprints.from_text(got[k].fingerprint) == a).all()
+        a, b = (brute.sketch(x, 5, 2, lambda s: brute.shingle_hash(s, 5)) for x in (t, want[k]))
+        assert got[k].fingerprint == "".join(f"{h:016x}" for h in a) and got[k].near_edited == pytest.approx(brute.jaccard(a, b))
+        assert fingerprints.from_text(got[k].fingerprint).tolist() == a
     long = [r for r in got.values() if r.n_chars > 4000]
     assert np.mean([r.near_edited for r in long]) > 0.5 > 0.1 > np.mean([r.near_next for r in long])
 
@@ -251,6 +251,33 @@ def test_top_products(spark):
     assert {tuple(r) for r in topk.top_k(df.limit(3)).collect()} == best(rows[:3]) and topk.top_k(df.limit(0)).collect() == []
 
 
+def test_top_products_of_rows_that_repeat_an_id(spark):
+    rows = [(50, [1.0, 0.0]), (50, [0.0, 1.0]), (1, [3.0, 1.0]), (1, [3.0, 1.0]), (2, [0.0, 4.0]), (3, [1.0, 1.0])]
+    got = sorted(tuple(r) for r in topk.top_k(spark.createDataFrame(rows, "vec_id bigint, embedding array<float>")).collect())
+    pairs = sorted((-65536 * sum(int(x * y) for x, y in zip(v, w, strict=True)), j) for i, v in rows if i == 50 for j, w in rows if j != 50)
+    assert got == [(50, n + 1, j, -s) for n, (s, j) in enumerate(pairs[:5])]
+
+
+def test_very_long_texts(spark):
+    """Two million characters in one row, beside short rows, through every operator that reads documents."""
+    rng = random.Random(12)
+    text = " ".join(f"{rng.choice(WORDS)}{rng.randrange(50)}" for _ in range(250_000))
+    df = spark.createDataFrame([(1, text, "en", "s", len(text)), (2, "short text here", "en", "s", 15), (3, text + " more", "de", "s", len(text) + 5)],
+                               "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    prints = {r.doc_id: r for r in fingerprints.edited_fingerprints(df).collect()}
+    assert prints[1].n_chars == len(text) and prints[1].edited_sha256 == hashlib.sha256((text[:len(text) - len(text) // 4] + "short text here").encode()).hexdigest()
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, 0)], "doc_id bigint, toxic int")
+    assert len(toxicity.score(df, toxicity.train(df, labels)).collect()) == 3 == len(language.identify(df, language.train(df)).collect())
+    from tokenizers import Tokenizer
+    path = public_tokenizers.path(queries.COUNTED)
+    counts = {r.doc_id: r.n_tokens for r in token_counts.count_tokens(df, path).collect()}
+    assert counts[1] == len(Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids)
+    assert {r.doc_id: r.component_id for r in near_dups.components(df, 4).collect()} == {1: 1, 2: 2, 3: 1}
+    page = "<html><body><article>" + "".join(f"<p>{text[i:i + 400]}</p>" for i in range(0, 400_000, 400)) + "</article></body></html>"
+    pages = spark.createDataFrame([(1, "http://a.b/1", page), (2, "http://a.b/2", "<article><p>x</p></article>")], "page_id bigint, url string, html string")
+    assert {r.page_id: r.text for r in wrappers.main_text(pages).collect()} == {1: brute.article(page), 2: "x"}
+
+
 def test_codec(docs, edge, empty):
     path, pattern = public_tokenizers.path(queries.CODEC), public_tokenizers.PATTERN
     codec = bpe_codec.Codec(path, pattern)
@@ -308,6 +335,18 @@ def test_mix_meets_its_limit(docs):
     assert not used.duplicated(["doc_id", "copy"]).any()
 
 
+def test_mix_by_brute_force(spark, docs):
+    """Which rows the permutation takes, from the same hashes of rows but by plain loops over each source."""
+    for limit in (1.5, 3.0):
+        got = mixing.mix(docs, limit=limit).select("doc_id", "copy").collect()
+        weights = {r.source: r.weight for r in mixing.mix(docs, limit=limit).select("source", "weight").distinct().collect()}
+        key = mixing._row_key(mixing.SEED).alias("key")
+        rows = docs.select("doc_id", "source", key, mixing.token_count(F.col("text")).alias("n")).collect()
+        hashed = lambda values, seed: {r.v: r.h for r in spark.createDataFrame([(v,) for v in values], "v bigint").select("v", F.xxhash64("v", F.lit(seed)).alias("h")).collect()}
+        place = hashed({r.key for r in rows}, mixing.SEED + 1)
+        assert {(r.doc_id, r["copy"]) for r in got} == brute.mixed([(r.doc_id, r.source, r.key, r.n) for r in rows], weights, place, lambda n: hashed(range(n), mixing.SEED))
+
+
 def test_mix_finds_entropy_and_edges(docs, edge, empty):
     weights = mixing.mix(docs, entropy=2.5).groupBy("source").agg(F.first("weight").alias("w")).toPandas().w
     assert -(weights * np.log(weights)).sum() == pytest.approx(2.5, abs=1e-3)
@@ -499,6 +538,12 @@ def test_pipeline(spark, docs):
 
 
 def test_pipeline_stages_take_edges(spark, edge, empty):
+    clashing = edge.select("*", *[F.concat(F.lit(f"{n} "), F.coalesce(F.col("doc_id").cast("string"), F.lit("-"))).alias(n) for n in
+                                  ("spans", "base_spans", "_body", "_text", "_text0", "weight", "place", "copy", "n_tokens", "ids", "score", "rep", "_c0", "_row", "_doc", "key", "block")])
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        made = stage(spark, clashing, SMALL)
+        assert made.columns == clashing.columns
+        assert all(r[n] == f"{n} {'-' if r.doc_id is None else r.doc_id}" for r in made.collect() for n in clashing.columns[len(edge.columns):])
     for given in (edge, empty):
         for name, stage in corpus_pipeline.STAGES:
             made = stage(spark, given, SMALL)
