@@ -5,11 +5,15 @@ as Parquet in the shared folder and gives it to the next stage.  All stages but
 keep the columns of documents.  Rows of the mix may repeat a document, as often as its
 source needs.
 
-Defined results: a stage given an empty table returns an empty one; extra columns stay.
+Defined results: a stage given an empty table returns an empty one; extra columns stay, whatever their
+names; a null text counts as empty: it is scored, in no group, has no secrets, no tokens and no ids; rows that
+repeat another are judged as that one, and near copies keep the rows of the smallest key; rows without a key stay.
 """
 
 from __future__ import annotations
 
+from itertools import count
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,18 +34,25 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return near_dups.first_of_each_group(docs, width=5, percent=80)
 
 
+def _unused(docs: DataFrame, stem: str) -> str:
+    return next(name for name in map(f"_{stem}{{}}".format, count()) if name not in docs.columns)
+
+
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets replaced by a mark; n_chars follows where a text changed."""
-    before = docs.withColumn("_text", F.col("text"))
-    after = secret_scan.redact(before)
-    changed = ~F.col("text").eqNullSafe(F.col("_text"))
+    before = _unused(docs, "text")
+    after = secret_scan.redact(docs.withColumn(before, F.col("text")))
+    changed = ~F.col("text").eqNullSafe(F.col(before))
     kind = docs.schema["n_chars"].dataType
-    return after.withColumn("n_chars", F.when(changed, F.char_length("text").cast(kind)).otherwise(F.col("n_chars"))).select(*docs.columns)
+    return after.withColumn("n_chars", F.when(changed, F.char_length("text").cast(kind)).otherwise(F.col("n_chars"))).select(*[f"`{c}`" for c in docs.columns])
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The flattest mix that uses every document and repeats no source more than twice, in the order of the permutation."""
-    return mixing.mix(docs, limit=2.0).repartitionByRange("place").sortWithinPartitions("place").select(*docs.columns)
+    # columns that the mix would replace go under other names meanwhile
+    names = {c: _unused(docs, c) for c in docs.columns if c in ("copy", "n_tokens", "weight", "place")}
+    used = mixing.mix(docs.withColumnsRenamed(names), limit=2.0).repartitionByRange("place").sortWithinPartitions("place")
+    return used.drop("copy", "n_tokens", "weight", "place").withColumnsRenamed({k: c for c, k in names.items()}).select(*[f"`{c}`" for c in docs.columns])
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
