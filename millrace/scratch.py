@@ -45,8 +45,21 @@ def materialise(df: DataFrame, label: str = "step") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop_frame(*frames: DataFrame) -> None:
+    """Delete the tables that ``materialise`` wrote for these frames, when no plan needs them any more."""
+    for df in frames:
+        spark = df.sparkSession
+        root = f"/millrace/{spark.sparkContext.applicationId}/"
+        for folder in {name.rsplit("/", 1)[0] for name in df.inputFiles()}:
+            if root in folder:
+                _delete(spark, folder)
+
+
+def _delete(spark: SparkSession, name: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def release(spark: SparkSession) -> None:
     """Delete this application's intermediate tables."""
-    root = f"{scratch_root(spark)}/millrace/{spark.sparkContext.applicationId}"
-    path = spark._jvm.org.apache.hadoop.fs.Path(root)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    _delete(spark, f"{scratch_root(spark)}/millrace/{spark.sparkContext.applicationId}")

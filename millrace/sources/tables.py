@@ -11,9 +11,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions.conform import distinct_keys, try_cast_columns
+from millrace.operators.audit import observed
 from millrace.operators.lookup import Split
 from millrace.operators.merge import on_map, upsert_full
-from millrace.scratch import materialise
+from millrace.scratch import drop_frame, materialise
+from millrace.sources import journal
 
 # ---- scans -------------------------------------------------------------------
 
@@ -50,6 +52,7 @@ def schema_of(df: DataFrame) -> T.StructType:
 
 def write(df: DataFrame, path: str, mode: str = "append", partition_by: Sequence[str] = ()) -> None:
     """Append to or overwrite a table folder, optionally partitioned."""
+    journal.repair(df.sparkSession, path)
     writer = df.write.mode(mode)
     if mode == "overwrite":
         # The whole table, whatever the session says about partitions.
@@ -61,6 +64,7 @@ def write(df: DataFrame, path: str, mode: str = "append", partition_by: Sequence
 
 def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
     """Replace only the partitions that occur in the frame."""
+    journal.repair(df.sparkSession, path)
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
 
 
@@ -81,10 +85,11 @@ def as_view(df: DataFrame, name: str) -> DataFrame:
     return df
 
 
-def write_split(split: Split, path: str, flag: str = "rejected") -> None:
-    """Loaded and rejected rows in one write, so the lookups behind them run once."""
+def write_split(split: Split, path: str, flag: str = "rejected") -> dict[str, int]:
+    """Loaded and rejected rows in one write, so the lookups behind them run once; gives how many there were of each."""
     marked = split.frame.withColumn(flag, F.col(split.error).isNotNull())
-    marked.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(flag).parquet(path)
+    return observed(marked, lambda df: df.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(flag).parquet(path),
+                    {"loaded": F.count_if(~F.col(flag)), "rejected": F.count_if(F.col(flag))})
 
 
 def truncate(spark: SparkSession, path: str, schema: T.StructType) -> None:
@@ -125,33 +130,26 @@ def rewrite_partitions(spark: SparkSession, path: str, touched: DataFrame, parti
                        change: Callable[[DataFrame], DataFrame], schema: T.StructType | None = None) -> None:
     """Replace the content of some partitions by a function of it; the others are not read or written.
 
-    The new content is stored before the old one goes.  A partition left without
-    rows is removed.  Without a schema, partition columns have the types that
-    ``touched`` gives them.
+    The new content is written once, in the table's journal, and its folders are moved
+    to their places when all of it is there; a stop on the way is made good by the next
+    writer.  A partition left without rows is removed.  Without a schema, partition
+    columns have the types that ``touched`` gives them.
     """
+    journal.repair(spark, path)
     if schema is None:
         kinds = {f.name: f.dataType for f in touched.schema}
         schema = T.StructType([T.StructField(f.name, kinds.get(f.name, f.dataType) if f.name in partition_by else f.dataType)
                                for f in by_path(spark, path).schema])
     touched = materialise(touched.select(*partition_by).distinct(), "touched")
-    table = by_path(spark, path, schema)
-    fresh = materialise(change(in_partitions(table, touched)), "rewritten")
-    folder = F.regexp_replace("_metadata.file_path", "/[^/]+$", "")
-    folders = in_partitions(table.select(*partition_by, folder.alias("__folder")), touched).distinct()
-    filled = fresh.select(*[F.col(name).alias(f"__{name}") for name in partition_by]).distinct()
-    same = reduce(Column.__and__, [F.col(name).eqNullSafe(F.col(f"__{name}")) for name in partition_by])
-    emptied = folders.join(filled, same, "left_anti")
-    # One row per emptied partition.
-    gone = [row[0] for row in emptied.select(F.url_decode(F.replace("__folder", F.lit("+"), F.lit("%2B")))).collect()]
-    overwrite_partitions(fresh, path, partition_by)
-    _, fs = _file_system(spark, path)
-    for name in gone:
-        fs.delete(spark._jvm.org.apache.hadoop.fs.Path(name), True)
+    fresh = change(in_partitions(by_path(spark, path, schema), touched))
+    journal.rewrite(spark, path, touched, fresh, partition_by)
+    drop_frame(touched)
 
 
 def upsert_partitions(spark: SparkSession, path: str, source: DataFrame, on: Mapping[str, str] | Sequence[str],
                       partition_by: Sequence[str], schema: T.StructType | None = None) -> None:
     """Full-row upsert into a partitioned table that rewrites only the partitions it touches."""
+    journal.repair(spark, path)
     target = by_path(spark, path, schema)
     if schema is None:
         # Values read from folder names would be guessed: text '01' would become the number 1.
@@ -210,13 +208,17 @@ def write_next(df: DataFrame, path: str, partition_by: Sequence[str] = (), keep:
     return read_current(spark, path)
 
 
-def write_together(spark: SparkSession, path: str, number: int, frames: Mapping[str, tuple[DataFrame, Sequence[str]]], keep: int = 2) -> None:
-    """Write several tables (frame, partition columns) as one version, which counts once all of them are whole.
+def write_together(spark: SparkSession, path: str, number: int, frames: Mapping[str, tuple[DataFrame, Sequence[str]]]) -> None:
+    """Write several tables (frame, partition columns) as one version, which ``commit_version`` makes count.
 
     A version that broke off has no marker and is written over.
     """
     for name, (df, partition_by) in frames.items():
         write(df, f"{path}/version={number}/{name}", "overwrite", partition_by)
+
+
+def commit_version(spark: SparkSession, path: str, number: int, keep: int = 2) -> None:
+    """From now on readers take this version; versions older than the last ``keep`` go."""
     root, fs = _file_system(spark, f"{path}/version={number}")
     fs.create(spark._jvm.org.apache.hadoop.fs.Path(root, "_SUCCESS"), True).close()
     for old in versions(spark, path)[:-keep]:
@@ -228,6 +230,11 @@ def drop_folder(spark: SparkSession, path: str) -> None:
     fs.delete(root, True)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    root, fs = _file_system(spark, path)
+    return fs.exists(root)
+
+
 # ---- declared tables -----------------------------------------------------------
 
 # Type names a metadata table may use.
