@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
+from millrace.plans import pos_files
 from millrace.sources.feeds import layout, stream_delimited
 
 
@@ -23,3 +24,18 @@ def ingest_new_files(spark: SparkSession, path: str, system: str, feed: str, pro
     query.awaitTermination()
     if (error := query.exception()) is not None:
         raise error
+
+
+def load_arrived(spark: SparkSession, tables: pos_files.FeedTables, paths: Mapping[str, str], feed: str, stations: DataFrame, mapping: DataFrame | None,
+                 progress: str, as_of, hours: int = 0) -> pos_files.State:
+    """Load the files of a feed (``paths``: a folder or glob by system) that arrived since the last call, and return the tables.
+
+    Each system is a stream of its own.  The number of a batch is kept with the rows it
+    loaded, in one version, so a batch that is handed over again after a stop is loaded once.
+    """
+    for system, path in paths.items():
+        def load(rows: DataFrame, batch: int, stream: str = f"{feed} {system}") -> None:
+            pos_files.load_rows(rows.sparkSession, tables, rows, feed, stations, mapping, as_of, hours, (stream, batch))
+
+        ingest_new_files(spark, path, system, feed, f"{progress}/{system}", load, as_of, hours)
+    return pos_files.current(spark, tables)
