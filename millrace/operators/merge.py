@@ -11,7 +11,7 @@ and may repeat.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -56,26 +56,31 @@ def on_map(on: Mapping[str, str] | Sequence[str]) -> dict[str, str]:
     return dict(on) if isinstance(on, Mapping) else {name: name for name in on}
 
 
-def unseen(source: DataFrame, target: DataFrame, on: Mapping[str, str]) -> DataFrame:
+def key_counts(source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The source's keys without NULL, each once, with how often it occurs."""
+    return source.dropna(subset=list(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("__times"))
+
+
+def unseen(source: DataFrame, target: DataFrame, on: Mapping[str, str], counted: DataFrame | None = None) -> DataFrame:
     """Source rows whose key the target lacks.
 
     The target's keys are first cut down to those the source has, by a semi join
     with the source as the small side, so the target's own key column is not
-    shuffled when the source fits a broadcast.
+    shuffled when the source fits a broadcast.  ``counted`` are the source's keys, if they are known.
     """
     theirs = list(on.values())
-    keys = source.select(*theirs)
+    keys = (source if counted is None else counted).select(*theirs)
     touched = target.select(*[F.col(mine).alias(name) for mine, name in on.items()])
     touched = touched.join(keys, theirs, "left_semi").distinct()
     return source.join(touched, theirs, "left_anti")
 
 
-def refuse_repeated(source: DataFrame, keys: Sequence[str]) -> DataFrame:
+def refuse_repeated(source: DataFrame, keys: Sequence[str], counted: DataFrame | None = None) -> DataFrame:
     """``source``, failing at run time if two rows share a key without NULL.
 
     The check is a scalar subquery, so the planner still sees the source's own size.
     """
-    times = source.dropna(subset=list(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("__times"))
+    times = key_counts(source, keys) if counted is None else counted
     example = times.filter("__times > 1").agg(F.max(F.to_json(F.struct(*keys)))).scalar()
     refused = F.raise_error(F.concat(F.lit("merge source has a repeated key: "), example)).cast("boolean")
     return source.filter(F.when(example.isNotNull(), refused).otherwise(True))
@@ -114,10 +119,10 @@ def merge(target: DataFrame, source: DataFrame, on: Mapping[str, str] | Sequence
     NULL.  ``insert=None`` adds no rows.
     """
     on = on_map(on)
-    if unique:
-        source = refuse_repeated(source, list(on.values()))
+    counted = key_counts(source, list(on.values())) if unique else None
+    checked = refuse_repeated(source, list(on.values()), counted) if unique else source
     not_matched, same, updated, inserted = labels
-    joined = _marked(target, source, same_keys(on), on, when)
+    joined = _marked(target, checked, same_keys(on), on, when)
     hit, apply = F.col(_HIT), F.col(_APPLY)
     what = F.when(apply, updated).when(hit, same).otherwise(not_matched)
     kept = joined.select(
@@ -129,7 +134,7 @@ def merge(target: DataFrame, source: DataFrame, on: Mapping[str, str] | Sequence
     )
     if insert is None:
         return kept
-    fresh = unseen(source, target, on).alias("s").select(
+    fresh = unseen(checked, target, on, counted).alias("s").select(
         *[_cell(target, c, insert.get(c)) for c in target.columns],
         *([F.lit(inserted).alias(action)] if action else []),
     )
@@ -294,3 +299,67 @@ def scd1_current(target: DataFrame, source: DataFrame, on: Mapping[str, str] | S
         *([F.lit("INSERT").alias(action)] if action else []),
     )
     return kept.unionByName(fresh)
+
+
+def versioned_merge(target: DataFrame, source: DataFrame, on: Mapping[str, str] | Sequence[str], status: str, tracked: Sequence[str],
+                    keep: Sequence[str], as_of, hours: int = 0, defaults: Mapping[str, object] | None = None,
+                    start: tuple[str, str] = ("StartDateKey", "StartTimeKey"), end: tuple[str, str] = ("EndDateKey", "EndTimeKey"),
+                    load: tuple[str, str] | None = None, fill: str | None = "NA", null_is_change: bool = False, unique: bool = True) -> DataFrame:
+    """:func:`scd2_status`, then :func:`scd1_current` with the same source, by one join of the target.
+
+    Each joined row is classified once: an open row whose status changed is closed
+    and followed by a new version, an open row with other changes is overwritten, all
+    others stay.  The new version is compared with the source's own defaults, as the
+    second merge would.
+    """
+    on = on_map(on)
+    counted = key_counts(source, list(on.values())) if unique else None
+    checked = refuse_repeated(source, list(on.values()), counted) if unique else source
+    day, clock = stamp(as_of, hours)
+    key_of, defaults = {mine: theirs for mine, theirs in on.items()}, defaults or {}
+    opened = t(start[0]).isNotNull() & t(end[0]).isNull()
+    differing = ~F.coalesce(t(status) == s(status), F.lit(False))
+    joined = _marked(target, checked, same_keys(on) & opened, on, differing)
+
+    def raw(name: str) -> Column:
+        origin = key_of.get(name, name)
+        return s(origin).cast(_kind(target, name)) if origin in source.columns else F.lit(None).cast(_kind(target, name))
+
+    def filled(name: str) -> Column:
+        origin = key_of.get(name, name)
+        if origin not in defaults or origin not in source.columns:
+            return raw(name)
+        return F.coalesce(s(origin), F.lit(defaults[origin]).cast(_kind(source, origin))).cast(_kind(target, name))
+
+    def text(name: str, value: Column) -> Column:
+        return F.coalesce(value, F.lit(fill)) if fill is not None and isinstance(_kind(target, name), T.StringType) else value
+
+    def taken(name: str) -> Column:
+        return text(name, filled(name)) if key_of.get(name, name) in source.columns else filled(name)
+
+    def changed(old: Callable[[str], Column]) -> Column:
+        tests = [~old(c).eqNullSafe(filled(c)) for c in tracked]
+        tests += [old(c).isNull() & filled(c).isNull() for c in tracked] if null_is_change else []
+        return reduce(Column.__or__, tests, F.lit(False))
+
+    hit, closing, new = F.col(_HIT), F.col(_APPLY), F.col(_COPY) == 1
+    # evaluated once per joined row, not once per output column
+    joined = joined.withColumns({"__overwrite": hit & ~closing & changed(t), "__refill": closing & changed(raw)})
+    copies = joined.withColumn(_COPY, F.explode(F.when(closing, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
+    now = dict(zip(start, (day, clock)))
+    last = dict(zip(end, (day, clock)))
+
+    def fresh_version(name: str) -> Column:
+        value = now[name].cast(_kind(target, name)) if name in now else F.lit(None).cast(_kind(target, name)) if name in end else raw(name)
+        return F.when(F.col("__refill"), text(name, value) if name in keep else taken(name)).otherwise(value)
+
+    def old_version(name: str) -> Column:
+        value = F.when(F.col("__overwrite"), text(name, t(name)) if name in keep else taken(name))
+        value = value.when(closing, last[name].cast(_kind(target, name))) if name in last else value
+        return value.otherwise(t(name))
+
+    kept = copies.select(*[F.when(new, fresh_version(c)).otherwise(old_version(c)).alias(c) for c in target.columns])
+    moments = now | (dict(zip(load, (day, clock))) if load else {})
+    fresh = unseen(checked, target, on, counted).alias("s").select(
+        *[(moments[c].cast(_kind(target, c)) if c in moments else taken(c)).alias(c) for c in target.columns])
+    return kept.unionByName(fresh)

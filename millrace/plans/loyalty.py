@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -14,8 +15,10 @@ from millrace.operators import enrich as fill
 from millrace.operators import slices
 from millrace.operators.keys import allocate_keys, flag_latest
 from millrace.operators.lookup import ERROR, Split, flag_present, lookup
-from millrace.operators.merge import (ACTION, any_differs, merge, refresh_keep_keys, s, scd1_current, scd2_status,
-                                      upsert_changed, upsert_full)
+from millrace.operators.merge import (ACTION, any_differs, merge, refresh_keep_keys, s, upsert_changed, upsert_full,
+                                      versioned_merge)
+from millrace.plans.steps import Step
+from millrace.scratch import materialise
 
 LOCAL_HOURS = 7
 RAW_TIME = "dd/MM/yyyy HH:mm:ss"
@@ -121,14 +124,11 @@ def update_cards(dimension: DataFrame, staged: DataFrame, as_of, hours: int = LO
     card order and the member's newest open card is flagged.
     """
     staged = conform_types(staged, dimension.schema)
-    versioned = scd2_status(dimension, staged, ["CardNum"], "CardStatus", as_of, hours, action=None)
     text = [f.name for f in staged.schema if isinstance(f.dataType, T.StringType) and f.name != "CardStatus"]
     keep = ["StartDateKey", "StartTimeKey", "EndDateKey", "EndTimeKey", "CardProfileKey"]
-    current = scd1_current(
-        versioned, staged, ["CardNum"], [n for n in CARD_TRACKED if n in staged.columns], keep, as_of, hours,
-        defaults=dict.fromkeys(text, "NA"), load=("LoadDateKey", "LoadTimeKey"),
-        null_is_change=null_is_change, action=None, unique=False,  # the same source as above
-    )
+    current = versioned_merge(
+        dimension, staged, ["CardNum"], "CardStatus", [n for n in CARD_TRACKED if n in staged.columns], keep, as_of, hours,
+        defaults=dict.fromkeys(text, "NA"), load=("LoadDateKey", "LoadTimeKey"), null_is_change=null_is_change)
     order = ["CardNum", "StartDateKey", "StartTimeKey"]
     numbered = allocate_keys(current, "CardProfileKey", order, existing=dimension, stage=True)
     flagged = flag_latest(numbered, "MemberID", ["StartDateKey", "CardIssuedDateKey"], "CardProfileKey",
@@ -401,3 +401,67 @@ def merge_accrual_items(fact: DataFrame, staged: DataFrame, key: str = "PointIte
 def merge_redemption_items(fact: DataFrame, staged: DataFrame, key: str = "REDEEM_ROW_ID", action: str | None = None) -> DataFrame:
     dated = staged.withColumn("YearKey", F.lpad(F.date_format("TXN_DT", "yyyy"), 4, "0"))
     return _items(fact, dated, key, {"TXN_DT": "TRANSACTION_DATE"}, action)
+
+
+# ---- the whole load ----------------------------------------------------------------
+
+
+@dataclass(frozen=True)
+class Arrivals:
+    """What a loyalty load takes in; steps whose input is None are left out."""
+
+    merchants: DataFrame | None = None
+    products: DataFrame | None = None
+    cards: DataFrame | None = None
+    test_cards: DataFrame | None = None
+    transactions: DataFrame | None = None
+    mapping: DataFrame | None = None
+    terminals: DataFrame | None = None
+    accruals: DataFrame | None = None
+    redemptions: DataFrame | None = None
+
+
+@dataclass(frozen=True)
+class Rules:
+    """Names and codes of a loyalty programme: the source of its product codes, the member id that stands for none, the
+    column of products in use, station labels (of changed and of unlabelled members) and flags (product, column)."""
+
+    source_name: str
+    placeholder: str
+    used: str
+    labels: tuple[StationLabel, StationLabel] | None = None
+    flags: tuple[tuple[int, str], ...] = ()
+
+
+def load_steps(given: Arrivals, rules: Rules, as_of, hours: int = LOCAL_HOURS) -> list[Step]:
+    """The steps of a load in their order, over the tables merchants, products, cards, fact, rejects, register, terminals, accruals and redemptions."""
+    def transactions(t: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+        split = resolve_transactions(given.transactions, t["cards"], product_groups(given.mapping, t["products"], rules.source_name), t["merchants"], hours)
+        split = split.map(lambda frame: materialise(frame, "transactions"))  # read by the fact and the quarantine
+        fact = merge_transactions(t["fact"], None, transaction_rows(split.matched, t["fact"].schema))
+        return {"fact": fact, "rejects": merge_rejects(t["rejects"], split, transaction_rows(split.matched, t["fact"].schema))}
+
+    def registrations(t: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+        noted = register_cards(t["register"], t["cards"], t["fact"], as_of, hours)
+        return {"register": first_purchases(noted, t["cards"], t["fact"], purchase_products(t["products"], rules.used), as_of)}
+
+    def flagged(t: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+        cards = t["cards"]
+        for product, into in rules.flags:
+            cards = flag_members(cards, t["fact"], t["products"], product, rules.used, into)
+        return {"cards": cards.select(*t["cards"].columns)}
+
+    steps = [
+        (given.merchants, Step("merchants", lambda t: {"merchants": update_merchants(t["merchants"], given.merchants, as_of, hours)})),
+        (given.products, Step("products", lambda t: {"products": update_products(t["products"], given.products)})),
+        (given.cards, Step("cards", lambda t: {"cards": update_cards(t["cards"], stage_cards(given.cards, given.test_cards, hours), as_of, hours)})),
+        (given.transactions, Step("transactions", transactions)),
+        (given.transactions, Step("registrations", registrations)),
+        (given.transactions, Step("members", lambda t: {"register": backfill_members(t["register"], t["cards"], as_of, rules.placeholder, hours)})),
+        (given.terminals, Step("terminals", lambda t: {"terminals": update_terminals(t["terminals"], given.terminals, hours)})),
+        (rules.labels, Step("labels", lambda t: {"cards": update_station_labels(t["cards"], t["register"], t["merchants"], rules.placeholder, as_of, *rules.labels)})),
+        (rules.flags or None, Step("flags", flagged)),
+        (given.accruals, Step("accruals", lambda t: {"accruals": merge_accrual_items(t["accruals"], given.accruals)})),
+        (given.redemptions, Step("redemptions", lambda t: {"redemptions": merge_redemption_items(t["redemptions"], given.redemptions)})),
+    ]
+    return [step for needed, step in steps if needed is not None]

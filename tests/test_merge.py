@@ -1,6 +1,8 @@
+import random
+
 import pytest
 
-from millrace.operators.merge import insert_only, merge, refresh_keep_keys, s, scd1_current, scd2_status, unseen, upsert_changed, upsert_full
+from millrace.operators.merge import insert_only, merge, refresh_keep_keys, s, scd1_current, scd2_status, unseen, upsert_changed, upsert_full, versioned_merge
 from millrace.plans.sales import merge_members
 from tests.conftest import rows_of
 
@@ -125,3 +127,27 @@ def test_merge_expression_over_both_sides(target, source):
     from millrace.operators.merge import merge, t
     got = merge(target, source, ["k"], {"b": t("b") + s("b")}, None)
     assert rows_of(got.filter("k = 2"), "b", "a") == [(2, "x")]
+
+
+@pytest.mark.parametrize("null_is_change", [False, True])
+def test_versioned_merge_equals_both_merges(spark, null_is_change):
+    """One join gives what closing and opening, then overwriting give one after the other."""
+    rng = random.Random(11)
+    target_kind = "k string, st string, a string, b int, own string, LoadDay int, StartDateKey int, StartTimeKey int, EndDateKey int, EndTimeKey int, id int"
+    pick = lambda *x: rng.choice([*x, None])
+    rows = []
+    for i in range(60):
+        for j in range(rng.randint(0, 3)):
+            closed = j > 0 or rng.random() < 0.2
+            rows.append((f"k{i}", pick("A", "B"), pick("x", "NA"), pick(1, 2), pick("o"), 1, 20230101 if rng.random() < 0.9 else None, 0, 20230202 if closed else None, 0 if closed else None, len(rows)))
+    rows.append((None, "A", "x", 1, "o", 1, 20230101, 0, None, None, -1))
+    source = spark.createDataFrame([(f"k{i}", pick("A", "B"), pick("x", "y"), pick(1, 2)) for i in range(20, 80)] + [(None, "A", "q", 5)], "k string, st string, a string, b int")
+    target = spark.createDataFrame(rows, target_kind)
+    keep = ["StartDateKey", "StartTimeKey", "EndDateKey", "EndTimeKey", "id"]
+    more = {"defaults": {"a": "NA"}, "load": ("LoadDay", "LoadClock"), "null_is_change": null_is_change}
+    first = scd2_status(target, source, ["k"], "st", "2024-06-15 08:30:05", 7, action=None)
+    want = scd1_current(first, source, ["k"], ["a", "b"], keep, "2024-06-15 08:30:05", 7, action=None, **more)
+    got = versioned_merge(target, source, ["k"], "st", ["a", "b"], keep, "2024-06-15 08:30:05", 7, **more)
+    assert got.columns == want.columns and rows_of(got) == rows_of(want)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LeftOuter") == 1
