@@ -6,7 +6,7 @@ key instead of a reason to run the load twice.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -18,7 +18,7 @@ from millrace.functions.conform import conform_table
 from millrace.operators import ledger as ledgers
 from millrace.operators import slices
 from millrace.operators.ledger import SYSTEM_A, SYSTEM_B
-from millrace.operators.lookup import Lookup, Split, lookup_any, mapping_table
+from millrace.operators.lookup import ERROR, Lookup, Split, lookup_any, mapping_table
 from millrace.operators.totals import net_refunds
 from millrace.scratch import materialise
 
@@ -229,6 +229,65 @@ def to_tables(split: Split, fact: T.StructType, rejects: T.StructType, feed: str
     return conform_table(split.matched, fact, allow_missing=True), conform_table(rejected, rejects, allow_missing=True)
 
 
+def _changed(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Keys under which two maps differ."""
+    return old.subtract(new).unionByName(new.subtract(old)).select(*keys).dropna().distinct()
+
+
+def touched_by_change(rows: DataFrame, feed: str, old: tuple[DataFrame, DataFrame | None], new: tuple[DataFrame, DataFrame | None]) -> DataFrame:
+    """Prepared rows with ``__hit``: whether a lookup key of the row is one under which the (stations, mapping) before and now differ.
+
+    A product found by station is judged by its code alone, as the station may be another one now.
+    """
+    rule = RULES[feed]
+    named = lambda stations: stations.select("StationKey", "CustomerCode", "POSCode", c.squeeze("PosName").alias("POSName")).distinct()
+    changed = _changed(named(old[0]), named(new[0]), ["POSName", "POSCode", "CustomerCode"])
+    sides = [(changed, {"ReStationName": "POSName", "POSCode": "POSCode", "CustomerCode": "CustomerCode"})]
+    if rule.station_by_code_only:
+        sides.append((_changed(named(old[0]).drop("POSName"), named(new[0]).drop("POSName"), ["POSCode", "CustomerCode"]), {"POSCode": "POSCode", "CustomerCode": "CustomerCode"}))
+    if rule.product is not None:
+        before, after = product_maps(old[1], rule.product), product_maps(new[1], rule.product)
+        code, title = rule.product.code, rule.product.title
+        sides.append((_changed(before[0], after[0], ["SourceKey", "SourceTitle", "SourceName"]), {code: "SourceKey", title: "SourceTitle", "__system": "SourceName"}))
+        sides.append((_changed(before[1], after[1], ["SourceKey", "SourceName"]), {code: "SourceKey", "__system": "SourceName"}))
+    hit = F.lit(False)
+    for i, (keys, on) in enumerate(sides):
+        side = keys.select(*[F.col(theirs).alias(f"__k{i}_{j}") for j, theirs in enumerate(on.values())])
+        rows = rows.join(side, [F.col(mine) == F.col(f"__k{i}_{j}") for j, mine in enumerate(on)], "left")
+        hit = hit | F.col(f"__k{i}_0").isNotNull()
+    return rows.withColumn("__hit", hit)
+
+
+@dataclass(frozen=True)
+class Replay:
+    """Fact rows that a replay adds, the quarantine after it, and the quarantined rows that it looked up again."""
+
+    loaded: DataFrame
+    rejects: DataFrame
+    tried: DataFrame
+
+
+def replay_changed(rejects: DataFrame, ledger: DataFrame, feed: str, old: tuple[DataFrame, DataFrame | None], new: tuple[DataFrame, DataFrame | None],
+                   staging: T.StructType, fact: T.StructType) -> Replay:
+    """Try only those quarantined rows again whose lookup keys have changed between the ``old`` and the ``new`` (stations, mapping).
+
+    All other rows would be rejected as they were, so they stay without being looked up;
+    the result is that of a whole replay.
+    """
+    names = [n for n in ("FileName", "LoadDateKey", "LoadTimeKey") if n in staging.names]
+    whole = slices.replay_input(rejects.withColumn("__row", F.struct(*rejects.columns)), ledger, None, names)
+    kept = T.StructType([*staging, T.StructField("__row", rejects.schema)])
+    rows = prepare(conform_table(whole, kept, allow_missing=True), feed)
+    own = F.struct(*staging.names).alias("__own")
+    marked = touched_by_change(rows.withColumn("__system", _system()).select("*", own), feed, old, new)
+    marked = materialise(marked.select("__own", "__row", "__hit"), "replay")
+    tried = marked.filter("__hit").select("__own.*")
+    split = load_feed(tried, feed, new[0], new[1], stage=True)
+    loaded, again = to_tables(split, fact, rejects.schema, feed)
+    rest = marked.filter("not __hit").select("__row.*")
+    return Replay(loaded, rest.unionByName(again), tried)
+
+
 @dataclass(frozen=True)
 class Batch:
     """Table contents after a load, the fact rows it adds, and the keys of the files it replaces."""
