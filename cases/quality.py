@@ -53,6 +53,20 @@ def metrics_grouped(spark, sf):
         Check(5, "lineitem", "", "countby", "saledate")], AS_OF))
 
 
+@case(" union all ".join([
+    _line(1, "l_partkey", "distinct", "count(distinct l_partkey)"), _line(2, "l_suppkey", "distinct", "count(distinct l_suppkey)") + " where l_returnflag = 'R'",
+    _line(3, "l_shipdate", "distinct", "count(distinct l_shipdate)"), _line(4, "l_discount", "distinct", "count(distinct l_discount)"),
+    _line(5, "l_tax", "distinct", "count(distinct l_tax)") + " where l_quantity > 1000",
+    _line(6, "l_suppkey", "countdistinctby", "count(distinct l_suppkey)", "'l_linenumber'", "cast(l_linenumber as varchar)") + " group by l_linenumber",
+    _line(7, "l_partkey", "countdistinctby", "count(distinct l_partkey)", "'l_linenumber'", "cast(l_linenumber as varchar)") + " where l_linestatus = 'F' and l_linenumber < 5 group by l_linenumber"]))
+def metrics_distinct(spark, sf):
+    """Five distinct counts in one scan, two by a group in another."""
+    kinds = [("l_partkey", ""), ("l_suppkey", "l_returnflag = 'R'"), ("l_shipdate", ""), ("l_discount", ""), ("l_tax", "l_quantity > 1000")]
+    checks = [Check(i + 1, "lineitem", name, "distinct", "", where) for i, (name, where) in enumerate(kinds)]
+    checks += [Check(6, "lineitem", "l_suppkey", "countdistinctby", "l_linenumber"), Check(7, "lineitem", "l_partkey", "countdistinctby", "l_linenumber", "l_linestatus = 'F' and l_linenumber < 5")]
+    return _double(table_metrics(tables(spark, sf, "lineitem"), checks, AS_OF))
+
+
 _LIST = [(3, "orders", "o_totalprice", "sum", None, "o_orderstatus = 'O'", 1), (1, "Customer", None, "countrow", None, None, 1),
          (2, "customer", "c_nationkey", "distinct", None, None, 1), (4, "events", None, "countby", "event_type", "value > 10", 1),
          (5, "events", "value", "sum", None, None, 0)]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -68,10 +68,42 @@ def run_audited(spark: SparkSession, step: Callable[[], object], count: Callable
     return True
 
 
-def counted(df: DataFrame, name: str = "rows") -> tuple[DataFrame, Observation]:
-    """A frame whose row count becomes known as a by-product of writing it."""
-    observation = Observation(name)
-    return df.observe(observation, F.count(F.lit(1)).alias("rows")), observation
+def counted(df: DataFrame, measures: Mapping[str, Column] | None = None) -> tuple[DataFrame, Observation]:
+    """A frame whose row count (and other measures) become known as a by-product of writing it."""
+    observation = Observation()
+    return df.observe(observation, F.count(F.lit(1)).alias("rows"), *[m.alias(n) for n, m in (measures or {}).items()]), observation
+
+
+def observed(df: DataFrame, write: Callable[[DataFrame], object], measures: Mapping[str, Column] | None = None) -> dict[str, int]:
+    """Write a frame and give its measures, ``rows`` among them, as the write found them: no job counts it."""
+    frame, observation = counted(df, measures)
+    write(frame)
+    return dict(observation.get)
+
+
+def last_count(spark: SparkSession, log: str, table: str) -> int:
+    """Rows of a table after its last recorded load; 0 without one.  Reads the audit rows, not the table."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(log)
+    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+        return 0
+    rows = spark.read.schema(AUDIT).parquet(log).filter((F.col("TABLE_NAME") == table) & (F.col("STATUS_ACTIVITY") == SUCCESS))
+    return int(rows.agg(F.max_by("COUNTROWSAFTER", F.struct("ENDTIME", "STARTTIME")).alias("n")).first().n or 0)
+
+
+def run_observed(spark: SparkSession, df: DataFrame, write: Callable[[DataFrame], object], log: Callable[[DataFrame], None], details: Mapping[str, object],
+                 clock: Callable[[], datetime], before: int = 0, raise_error: bool = True) -> bool:
+    """Append a frame and its audit row; the counts are those before (as the log has them) and with the rows the write saw."""
+    started = clock()
+    counts: dict[str, object] = {"COUNTROWSBEFORE": before}
+    try:
+        counts["COUNTROWSAFTER"] = before + observed(df, write)["rows"]
+    except Exception as error:
+        log(audit_row(spark, {**details, **counts}, started, clock(), FAIL, error))
+        if raise_error:
+            raise
+        return False
+    log(audit_row(spark, {**details, **counts}, started, clock()))
+    return True
 
 
 def table_size(df: DataFrame, name: str) -> DataFrame:

@@ -142,8 +142,7 @@ def _groups(df: DataFrame, name: str, checks: Sequence[Check]) -> DataFrame:
 
 
 def _distinct(df: DataFrame, check: Check) -> DataFrame:
-    """A distinct count gets its own aggregate: it reads one or two columns, where
-    several in one aggregate would make Spark copy every row per count."""
+    """One distinct count by an aggregate of its own, which reads one or two columns."""
     rows = df.filter(F.expr(check.where)) if check.where else df
     if check.kind == "distinct":
         counted = rows.agg(F.count_distinct(check.column).alias("__v"))
@@ -152,6 +151,48 @@ def _distinct(df: DataFrame, check: Check) -> DataFrame:
     return counted.select(F.inline(F.array(_row(check, F.col("__v"), check.group_by, _group_text(check.group_by)))))
 
 
+def _as_text(df: DataFrame, name: str) -> Column | None:
+    """A text that two values of a column share if and only if they are equal; None for types that have none here."""
+    column, kind = F.col(name), df.schema[name].dataType
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(column).cast("string")  # an hour that comes twice reads the same
+    if isinstance(kind, (T.DoubleType, T.FloatType)):
+        return (column + F.lit(0.0)).cast("string")  # minus zero is zero
+    if isinstance(kind, T.BinaryType):
+        return F.hex(column)
+    if isinstance(kind, (T.StringType, T.NumericType, T.BooleanType, T.DateType, T.TimestampNTZType)):
+        return column.cast("string")
+    return None
+
+
+def _distincts(df: DataFrame, checks: Sequence[Check]) -> list[DataFrame]:
+    """Distinct counts: those without a group in one scan, those by one group column in one scan each.
+
+    A row becomes a (check, value) pair for each check, and equal pairs are one before they leave
+    a task and after; counting them is a second, small aggregate.  So a scan
+    gives any number of exact counts, and only pairs travel.
+    """
+    text = {c.column: _as_text(df, c.column) for c in checks}
+    frames = [_distinct(df, c) for c in checks if text[c.column] is None]
+    rest = [c for c in checks if text[c.column] is not None]
+    for group in dict.fromkeys(c.group_by if c.kind == "countdistinctby" else "" for c in rest):
+        own = [c for c in rest if (c.group_by if c.kind == "countdistinctby" else "") == group]
+        if len(own) == 1:
+            frames.append(_distinct(df, own[0]))
+            continue
+        pairs = F.array(*[_passing(c, F.struct(F.lit(i).alias("i"), text[c.column].alias("v"))) for i, c in enumerate(own)])
+        by = [F.col(group).alias("__group")] if group else []
+        once = df.select(*by, F.explode(F.array_compact(pairs)).alias("p")).select(*[F.col("__group") for _ in by], "p.i", "p.v").distinct()
+        if not group:
+            counted = once.agg(*[F.count(F.when(F.col("i") == i, F.col("v"))).alias(f"__v{i}") for i in range(len(own))])
+            frames.append(counted.select(F.inline(F.array(*[_row(c, F.col(f"__v{i}"), c.group_by) for i, c in enumerate(own)]))))
+            continue
+        counted = once.groupBy("__group", "i").agg(F.count("v").alias("n"))
+        rows = F.array(*[F.struct(F.lit(i).alias("i"), _row(c, F.col("n"), group, _group_text(group)).alias("row")) for i, c in enumerate(own)])
+        frames.append(counted.select("i", F.explode(rows).alias("r")).filter("i = r.i").select("r.row.*"))
+    return frames
+
+
 def table_metrics(df: DataFrame, checks: Sequence[Check], as_of) -> DataFrame:
     """Results of all checks of one table."""
     frames = []
@@ -160,7 +201,7 @@ def table_metrics(df: DataFrame, checks: Sequence[Check], as_of) -> DataFrame:
         frames.append(_scalars(df, scalars))
     for name in dict.fromkeys(c.group_by for c in checks if c.kind in GROUPED):
         frames.append(_groups(df, name, [c for c in checks if c.kind in GROUPED and c.group_by == name]))
-    frames.extend(_distinct(df, c) for c in checks if c.kind in DISTINCT)
+    frames.extend(_distincts(df, [c for c in checks if c.kind in DISTINCT]))
     return union_by_name(frames, False).withColumn("checked_at", as_timestamp(as_of))
 
 

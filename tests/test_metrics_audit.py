@@ -2,10 +2,13 @@ from datetime import datetime
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators import audit
+from millrace.operators.lookup import lookup
 from millrace.operators.metrics import Check, checklist, reconcile, run_checklist, table_metrics
+from millrace.sources import tables
 from tests.conftest import rows_of
 
 NOW = "2024-06-15 08:30:05"
@@ -102,3 +105,33 @@ def test_sizes_and_observed_count(frame, tmp_path):
     watched, seen = audit.counted(df)
     watched.write.parquet(str(tmp_path / "o"))
     assert seen.get == {"rows": 2}
+
+
+def test_distinct_counts_share_a_scan(spark, tmp_path):
+    """Equal values of every type count once, whatever they look like; five counts take one scan."""
+    rows = [(0.0, float("nan"), "a", 1, datetime(2024, 10, 27, 0, 30), b"x", [1]), (-0.0, float("nan"), "A", None, datetime(2024, 10, 27, 1, 30), b"x", [1]), (1.5, None, "a ", 1, None, b"", [2])]
+    path = str(tmp_path / "t")
+    spark.createDataFrame(rows, "d double, f float, s string, k int, t timestamp, b binary, l array<int>").write.parquet(path)
+    df = spark.read.parquet(path)
+    names = ["d", "f", "s", "k", "t", "b"]
+    found = table_metrics(df, [Check(i, "t", n, "distinct") for i, n in enumerate(names)], "2024-06-15 08:30:05")
+    want = df.agg(*[F.count_distinct(n) for n in names]).first()
+    assert [int(r.value) for r in found.orderBy("index").collect()] == list(want)
+    assert found._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    mixed = table_metrics(df, [Check(1, "t", "l", "distinct"), Check(2, "t", "s", "countdistinctby", "k"), Check(3, "t", "d", "countdistinctby", "k", "s <> 'A'")], "2024-06-15 08:30:05")
+    assert rows_of(mixed, "index", "groupbyValue", F.col("value").cast("int").alias("v")) == [(1, "", 2), (2, None, 1), (2, "1", 2), (3, "1", 2)]
+
+
+def test_counts_come_with_the_write(spark, tmp_path, monkeypatch):
+    """Neither the rows nor the two halves of a split are counted by a job of their own."""
+    log, path, halves = str(tmp_path / "log"), str(tmp_path / "t"), str(tmp_path / "s")
+    moments = iter(datetime(2024, 1, 1, 0, 0, i) for i in range(20))
+    step = lambda df, **more: audit.run_observed(spark, df, lambda f: f.write.mode("append").parquet(path), lambda row: row.write.mode("append").parquet(log),
+                                                 {"TABLE_NAME": "t", "PIPELINENAME": "p"}, lambda: next(moments), before=audit.last_count(spark, log, "t"), **more)
+    monkeypatch.setattr(DataFrame, "count", lambda self: pytest.fail("a count job"))
+    assert step(spark.range(10)) and step(spark.range(0)) and step(spark.range(7).selectExpr("id"))
+    assert not step(spark.range(5).selectExpr("assert_true(id < 3) as x", "id").select("id", "x"), raise_error=False)
+    found = [(r.STATUS_ACTIVITY, r.COUNTROWSBEFORE, r.COUNTROWSAFTER) for r in spark.read.parquet(log).orderBy("STARTTIME").collect()]
+    assert found == [("Success", "0", "10"), ("Success", "10", "10"), ("Success", "10", "17"), ("Fail", "17", None)]
+    split = lookup(spark.range(6).selectExpr("id as k"), spark.range(2).selectExpr("id as c", "id + 1 as v"), {"k": "c"}, ["v"], "no")
+    assert tables.write_split(split, halves) == {"rows": 6, "loaded": 2, "rejected": 4}
