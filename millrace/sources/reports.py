@@ -5,12 +5,13 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions.columns import decode_file_name, without
 from millrace.functions.conform import conform_table
+from millrace.scratch import materialise
 
 
 def read_texts(spark: SparkSession, paths: str | Sequence[str], charset: str = "UTF-16") -> DataFrame:
@@ -43,6 +44,37 @@ def report_lines(texts: DataFrame, text: str = "text", skip: int = 5, after_head
     return kept.select(*rest, "header", "line_no", F.split("__line", "\t", -1).alias("cells"))
 
 
+def read_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """Path, FileName, ``line_no`` (0-based in the file), ``line`` and ``lines`` (of the file) of UTF-8 or single-byte reports of any size.
+
+    A file is read in as many splits as it has, never as one row.  A line's number is its place in
+    its split plus the lines of the splits before it: one small row for each split.  The lines are
+    written once, so that both readings of them have the same splits.  UTF-16 has no
+    byte that only ends lines; such reports are read whole by :func:`read_texts`.
+    """
+    raw = spark.read.text(paths).select(
+        F.col("_metadata.file_path").alias("__file"), F.col("_metadata.file_block_start").alias("__block"), F.monotonically_increasing_id().alias("__place"),
+        F.col("value").alias("line"))
+    lines = materialise(raw, "lines")
+    splits = lines.groupBy("__file", "__block").agg(F.count(F.lit(1)).alias("__n"), F.min("__place").alias("__first"))
+    # a file's splits in order: a row for each, so no window holds lines
+    order = Window.partitionBy("__file").orderBy("__block")
+    before = materialise(splits.select("__file", "__block", "__first", (F.sum("__n").over(order) - F.col("__n")).alias("__before"),
+                                       F.sum("__n").over(Window.partitionBy("__file")).alias("lines")), "splits")
+    placed = lines.join(before, ["__file", "__block"])
+    return placed.select(F.col("__file").alias("Path"), decode_file_name("__file").alias("FileName"), (F.col("__before") + F.col("__place") - F.col("__first")).cast("int").alias("line_no"), "line",
+                         F.col("lines").cast("int").alias("lines"))
+
+
+def body_lines(lines: DataFrame, skip: int = 5, after_header: int = 0, trailer: int = 0, line: str = "line") -> DataFrame:
+    """What :func:`report_lines` gives, from the numbered lines of :func:`read_lines`; a file's header is one small row joined to its lines."""
+    rest = [c for c in lines.columns if c not in (line, "line_no", "lines")]
+    header = lines.filter(F.col("line_no") == skip).select(*[F.col(c).alias(f"__{c}") for c in rest], F.transform(F.split(line, "\t", -1), clean_header).alias("header"))
+    kept = lines.filter((F.col("line_no") > skip + after_header) & (F.col("line_no") < F.col("lines") - trailer))
+    joined = kept.join(header, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in rest], "left")
+    return joined.select(*rest, "header", "line_no", F.split(line, "\t", -1).alias("cells"))
+
+
 def report_rows(lines: DataFrame, columns: Sequence[str], required: str | None = None) -> DataFrame:
     """Named cells of body lines; columns are found by header name in each report.
 

@@ -223,3 +223,20 @@ def test_upsert_keeps_text_partitions_without_a_schema(spark, frame, tmp_path):
     tables.write(frame("k int, v string, p string", (1, "a", "01"), (2, "b", "02"), (4, "d", "1"), (5, "e", None)), path, "overwrite", ["p"])
     tables.upsert_partitions(spark, path, frame("k int, v string, p string", (1, "A", "01"), (3, "C", "03"), (5, "E", None)), ["k"], ["p"])
     assert rows_of(tables.by_path(spark, path, T.StructType.fromDDL("k int, v string, p string"))) == [(1, "A", "01"), (2, "b", "02"), (3, "C", "03"), (4, "d", "1"), (5, "E", None)]
+
+
+def test_reports_read_in_many_splits(spark, tmp_path):
+    """Two reports of many splits, with blank lines and CRLF: the same lines as when each is one row."""
+    for name, n, end in (("a#1.txt", 3000, "\n"), ("b.txt", 2500, "\r\n")):
+        body = end.join(["p"] * 5 + ["Text\tG/L Acc.\tDocument.No"] + [""] + [f"row {i}\t{'x' * (i % 50)}\t{i if i % 7 else ''}" if i % 11 else "" for i in range(n)] + ["total", "end"])
+        (tmp_path / name).write_bytes((body + (end if n == 3000 else "")).encode())
+    whole = reports.report_lines(reports.read_texts(spark, str(tmp_path), "UTF-8"), skip=5, after_header=1, trailer=2)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        lines = reports.read_lines(spark, str(tmp_path))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    split = reports.body_lines(lines, skip=5, after_header=1, trailer=2)
+    assert lines.count() > 5000 and {*whole.columns, "Path"} == set(split.columns)
+    assert rows_of(split, "FileName", "line_no", F.to_json("cells"), F.to_json("header")) == rows_of(whole, "FileName", "line_no", F.to_json("cells"), F.to_json("header"))
