@@ -1,10 +1,12 @@
 """Cash pick-up and daily sales, computed by the jobs themselves on rows derived from events and orders."""
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cases.base import AS_OF, case, number, tables
 from millrace.plans import cash, sales
+from millrace.scratch import scratch_path
 from millrace.sources import reports
 
 # Cash drops: 40 of 50 stations are known; a third of the drops is transferred the day after.
@@ -194,6 +196,12 @@ def _sales_tables(spark, sf):
     return staged, stations, stations.filter("cast(CustomerCode as int) % 6 <> 0"), mapping
 
 
+def _workbook(spark, sf):
+    """The same rows as a workbook, the staging schema they are for, stations and mapping."""
+    staged, _, stations, mapping = _sales_tables(spark, sf)
+    return staged, T.StructType([*staged.schema, T.StructField("FileKey", T.IntegerType())]), stations, mapping
+
+
 def _sales(spark, sf):
     staged, _, stations, mapping = _sales_tables(spark, sf)
     return sales.load_sales(staged, stations, mapping, "SALES", file_key=77)
@@ -339,3 +347,41 @@ def text_report_rows(spark, sf):
                     "o_orderpriority", F.lit("\ty\t"), "o_orderkey", F.lit("\n\t\tsum\n"))
     lines = reports.report_lines(orders.select(F.col("o_orderkey").alias("report"), text.alias("text")), skip=2)
     return reports.report_rows(lines, ["G_L", "DocumentNo"], required="G_L")
+
+
+@case("""select cast(o_orderkey as varchar) as document, o_orderstatus as account, cast(5 + row_number() over (partition by o_orderkey % 16 order by o_orderkey) as integer) as line_no from orders""")
+def split_report_rows(spark, sf):
+    """Sixteen reports of many lines, each read in many splits: preamble, header, lines in key order, two closing lines."""
+    orders, folder = tables(spark, sf, "orders"), scratch_path(spark, "reports")
+    body = orders.select((F.col("o_orderkey") % 16).alias("report"), F.col("o_orderkey").alias("n"), F.concat("o_orderstatus", F.lit("\t"), "o_orderkey").alias("value"))
+    around = F.array(*[F.struct(F.lit(n).cast("bigint").alias("n"), F.lit(v).alias("value")) for n, v in
+                       [(-9, "Statement"), (-8, ""), (-7, "of accounts"), (-6, ""), (-5, "-"), (-4, " G/L \tDocument.No."), (1 << 60, "total\t"), ((1 << 60) + 1, "end")]])
+    whole = body.unionByName(body.select("report").distinct().select("report", F.explode(around).alias("x")).select("report", "x.n", "x.value"))
+    whole.repartition("report").sortWithinPartitions("report", "n").select("report", "value").write.partitionBy("report").text(folder)
+    setting = "spark.sql.files.maxPartitionBytes"
+    old = spark.conf.get(setting)
+    spark.conf.set(setting, "16384")
+    try:
+        lines = reports.read_lines(spark, f"{folder}/*/part-*")
+    finally:
+        spark.conf.set(setting, old)
+    rows = reports.report_rows(reports.body_lines(lines, skip=5, trailer=2), ["G_L", "DocumentNo"], required="DocumentNo")
+    return rows.select(F.col("DocumentNo").alias("document"), F.col("G_L").alias("account"), "line_no")
+
+
+@case("""
+with years as (select distinct cast(year(l_shipdate) as integer) as y from lineitem)
+select y as file_key, 'sales ' || y as file_name, cast(case y % 3 when 0 then 2 when 1 then 4 else 1 end as smallint) as status from years""")
+def daily_sales_states(spark, sf):
+    """A workbook for each year: some have a column nobody knows, for some the stations lack a column, the others are loaded."""
+    raw, schema, stations, mapping = _workbook(spark, sf)
+    kept = sales.SalesTables(scratch_path(spark, "sales"), schema, _SALES_FACT, _SALES_REJECTS)
+    years = sorted(r[0] for r in raw.select(F.year("CalendarDay")).distinct().collect())
+    for year in years:
+        rows = raw.filter(F.year("CalendarDay") == year)
+        given = rows.withColumn("Nobody", F.lit(1)) if year % 3 == 0 else rows
+        try:
+            sales.load_workbook(spark, kept, given, stations.drop("StationKey") if year % 3 == 1 else stations, mapping, "SALES", year, f"sales {year}", AS_OF)
+        except (ValueError, AnalysisException):
+            pass
+    return sales.stored(spark, kept).ledger.select(F.col("FileKey").alias("file_key"), F.col("FileName").alias("file_name"), F.col("LoadStatus").alias("status"))

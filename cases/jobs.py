@@ -13,10 +13,12 @@ from cases.files import _LEDGER, old_ledger, out
 from millrace.functions.conform import conform_table
 from millrace.operators import audit
 from millrace.operators import ledger as ledgers
-from millrace.plans import cash, pos_files, sales
+from millrace.operators.lookup import lookup
+from millrace.plans import cash, pos, pos_files, sales
 from millrace.scratch import scratch_path
 from millrace.sources import feeds
 from millrace.sources import tables as store
+from millrace.streaming import ingest
 
 # ---- raw fuel files: loaded once with part of the stations known, then two of five are sent again -----------------
 
@@ -34,7 +36,7 @@ REJECTS = T.StructType([f for f in STAGING if f.name not in ("FileName", "LoadDa
 def write_files(spark, rows):
     """Rows (value, FileName) as one file for each name, byte for byte."""
     parts, folder = scratch_path(spark, "parts"), scratch_path(spark, "files")
-    rows.repartition("FileName").write.partitionBy("FileName").option("encoding", "ISO-8859-1").csv(parts, sep="\u0001", quote="", escape="")
+    rows.repartition("FileName").write.partitionBy("FileName").option("encoding", "ISO-8859-1").option("maxRecordsPerFile", 0).csv(parts, sep="\u0001", quote="", escape="")
     path = spark._jvm.org.apache.hadoop.fs.Path
     fs = path(parts).getFileSystem(spark._jsc.hadoopConfiguration())
     fs.mkdirs(path(folder))
@@ -42,6 +44,8 @@ def write_files(spark, rows):
         name = status.getPath().getName()
         if name.startswith("FileName="):
             own = [p.getPath() for p in fs.listStatus(status.getPath()) if p.getPath().getName().startswith("part-")]
+            if len(own) != 1:
+                raise ValueError(f"{name} was written in {len(own)} parts")
             fs.rename(own[0], path(folder, name.removeprefix("FileName=").replace("%23", "#")))
     return folder
 
@@ -56,7 +60,7 @@ def _fuel_lines(spark, sf):
     return rows.select(line.alias("value"), name.alias("FileName"), (F.col("TransNumber") % 5).alias("i"))
 
 
-def _loaded(spark, sf):
+def _loaded(spark, sf, with_tables=False):
     lines, stations, mapping = _fuel_lines(spark, sf), _stations(spark, sf), _mapping(spark, sf)
     kept = pos_files.FeedTables(scratch_path(spark, "pos"), STAGING, FACT, REJECTS)
     known = stations.filter("cast(POSCode as int) % 4 <> 1")
@@ -64,7 +68,7 @@ def _loaded(spark, sf):
         folder = write_files(spark, rows.drop("i"))
         paths = {ledgers.SYSTEM_A: f"{folder}/*TRN.CSV", ledgers.SYSTEM_B: f"{folder}/*TRNFLOWCO.CSV"}
         state = pos_files.load_files(spark, kept, paths, "TRN", sites, mapping, AS_OF, 7)
-    return state
+    return (state, kept) if with_tables else state
 
 
 # Files 0 to 2 keep their first keys (1 to 6), 3 and 4 have those of the second load.  A row of files 0 to 2 whose station was not
@@ -105,15 +109,62 @@ def pos_files_ledger(spark, sf):
     return out(_loaded(spark, sf).ledger)
 
 
+@case(_FILES + """,
+arrived_lines as (select * replace (i + 1 + case sys when 'FLOWCO' then 5 else 0 end as key), case when error is not null then error when sys = 'FIRSTPRO' and vol is null then 'Mismatch Volume' end as e from marked),
+netted as (select *, cast(sum(vol) over (partition by close_day, trans, key) as double) as v from arrived_lines where e is null)
+select trans, line, cast(part as varchar) as chief, cast(key as integer) as file_key, sk as station_key, case sys when 'FIRSTPRO' then v else cast(vol as double) end as volume
+from netted where sys = 'FLOWCO' or vol >= 0""")
+def streamed_feed_fact(spark, sf):
+    """The files arrive as a stream for each system; a last call finds nothing new."""
+    lines, stations, mapping = _fuel_lines(spark, sf), _stations(spark, sf), _mapping(spark, sf)
+    kept = pos_files.FeedTables(scratch_path(spark, "pos"), STAGING, FACT, REJECTS)
+    folder, progress = write_files(spark, lines.drop("i")), scratch_path(spark, "progress")
+    paths = {ledgers.SYSTEM_A: f"{folder}/*TRN.CSV", ledgers.SYSTEM_B: f"{folder}/*TRNFLOWCO.CSV"}
+    for _ in range(2):
+        state = ingest.load_arrived(spark, kept, paths, "TRN", stations, mapping, progress, AS_OF, 7)
+    return state.fact.select(F.col("TransNumber").alias("trans"), F.col("ReceiptNumber").alias("line"), F.col("ChiefNumber").alias("chief"), F.col("FileKey").alias("file_key"),
+                             F.col("StationKey").alias("station_key"), number("Volume").alias("volume"))
+
+
+@case(_FILES + """,
+netted as (select *, cast(sum(vol) over (partition by close_day, trans, key, early) as double) as v from marked where err is null)
+select trans, line, key as file_key, case sys when 'FIRSTPRO' then v else cast(vol as double) end as volume from netted where sys = 'FLOWCO' or vol >= 0""")
+def pos_files_compacted(spark, sf):
+    """The rows of files that were sent again are off the disk; nothing else has changed."""
+    _, kept = _loaded(spark, sf, True)
+    state = pos_files.compact(spark, kept)
+    return state.stored.select(F.col("TransNumber").alias("trans"), F.col("ReceiptNumber").alias("line"), F.col("FileKey").alias("file_key"), number("Volume").alias("volume"))
+
+
+@case(_FILES + """,
+keyed_lines as (select * replace (2 * i + 1 + case sys when 'FLOWCO' then 1 else 0 end as key) from marked),
+again as (select *, sum(vol) over (partition by close_day, trans, key) as v from keyed_lines where err is null and supp % 4 = 1)
+select 'fact' as part, trans, line, cast(key as integer) as file_key, case sys when 'FIRSTPRO' then cast(v as double) else cast(vol as double) end as volume, cast(null as varchar) as error
+from again where sys = 'FLOWCO' or vol >= 0
+union all select 'rejects', trans, line, cast(key as integer), null, err from keyed_lines where err is not null""")
+def replay_changed_keys(spark, sf):
+    """A quarter of the stations become known; only the rows of those are looked up again, the rest of the quarantine stays."""
+    lines, stations, mapping = _fuel_lines(spark, sf), _stations(spark, sf), _mapping(spark, sf)
+    kept = pos_files.FeedTables(scratch_path(spark, "pos"), STAGING, FACT, REJECTS)
+    known = stations.filter("cast(POSCode as int) % 4 <> 1")
+    folder = write_files(spark, lines.drop("i"))
+    paths = {ledgers.SYSTEM_A: f"{folder}/*TRN.CSV", ledgers.SYSTEM_B: f"{folder}/*TRNFLOWCO.CSV"}
+    state = pos_files.load_files(spark, kept, paths, "TRN", known, mapping, AS_OF, 7)
+    done = pos.replay_changed(state.rejects, state.ledger, "TRN", (known, mapping), (stations, mapping), STAGING, FACT)
+    columns = [F.col("TransNumber").alias("trans"), F.col("ReceiptNumber").alias("line"), F.col("FileKey").alias("file_key")]
+    loaded = done.loaded.select(F.lit("fact").alias("part"), *columns, number("Volume").alias("volume"), F.lit(None).cast("string").alias("error"))
+    return loaded.unionByName(done.rejects.select(F.lit("rejects").alias("part"), *columns, F.lit(None).cast("double").alias("volume"), F.col("Error").alias("error")))
+
+
 @case("select lang as feed, cast(1 as bigint) as files from documents where lang <= 'en' group by lang")
 def empty_file_list(spark, sf):
     """A file for each language; languages after 'en' have rows in theirs, the others none."""
     docs, folder = tables(spark, sf, "documents"), scratch_path(spark, "empties")
-    for row in docs.select("lang").distinct().filter("lang is not null").collect():
-        own = docs.filter((F.col("lang") == row.lang) & (F.col("lang") > "en")).select(F.col("doc_id").cast("string"))
-        own.coalesce(1).write.text(f"{folder}/{row.lang}")
-    found = feeds.empty_files(spark, f"{folder}/*")
-    return found.select(F.regexp_extract("path", "/([^/]+)/[^/]+$", 1).alias("feed")).groupBy("feed").agg(F.count(F.lit(1)).alias("files"))
+    docs.filter("lang > 'en'").select(F.col("doc_id").cast("string"), "lang").write.partitionBy("lang").text(f"{folder}")
+    for row in docs.select("lang").distinct().filter("lang <= 'en'").collect():  # a folder of a language each
+        spark.range(0).select(F.lit("").alias("value")).write.text(f"{folder}/lang={row.lang}")
+    found = feeds.empty_files(spark, f"{folder}/lang=*")
+    return found.select(F.regexp_extract("path", "/lang=([^/]+)/[^/]+$", 1).alias("feed")).groupBy("feed").agg(F.count(F.lit(1)).alias("files"))
 
 
 # ---- tables ----------------------------------------------------------------------
@@ -173,6 +224,24 @@ def audited_load(spark, sf):
                                                          F.col("COUNTROWSAFTER").alias("after"), F.col("ERRORMESSAGE").alias("message"))
 
 
+@case("""select 'orders' as name, 'Success' as status, '0' as before, cast(count(*) filter (o_orderkey % 2 = 0) as varchar) as after from orders
+union all select 'orders', 'Success', cast(count(*) filter (o_orderkey % 2 = 0) as varchar), cast(count(*) as varchar) from orders
+union all select 'lines', 'loaded', cast(count(*) filter (p_partkey is not null) as varchar), cast(count(*) as varchar) from lineitem left join (select * from part where p_size <= 25) on l_partkey = p_partkey""")
+def observed_load(spark, sf):
+    """Two appends and a lookup, counted by their writes alone."""
+    orders, line, part = tables(spark, sf, "orders", "lineitem", "part")
+    path, log = scratch_path(spark, "observed"), scratch_path(spark, "audit")
+    moments = iter(datetime.fromisoformat(AS_OF) + timedelta(seconds=i) for i in range(4))
+    for rest in (0, 1):
+        audit.run_observed(spark, orders.select("o_orderkey").filter(F.col("o_orderkey") % 2 == rest), lambda df: store.write(df, path), lambda row: store.write(row, log),
+                           {"PIPELINENAME": "orders", "TABLE_NAME": "orders"}, lambda: next(moments), audit.last_count(spark, log, "orders"))
+    split = lookup(line.select("l_orderkey", "l_partkey"), part.filter("p_size <= 25"), {"l_partkey": "p_partkey"}, ["p_brand"], "Mismatch")
+    found = store.write_split(split, scratch_path(spark, "split"))
+    rows = store.by_path(spark, log, audit.AUDIT).select(F.col("TABLE_NAME").alias("name"), F.col("STATUS_ACTIVITY").alias("status"), F.col("COUNTROWSBEFORE").alias("before"),
+                                                         F.col("COUNTROWSAFTER").alias("after"))
+    return rows.unionByName(spark.createDataFrame([("lines", "loaded", str(found["loaded"]), str(found["rows"]))], rows.schema))
+
+
 @case(f"""
 with {_LEDGER}, numbered as (select * replace (cast(row_number() over (order by file_name) as integer) as file_key) from ledger)
 select file_key, file_name, cat, sub, load_date, load_time, cast(case when file_key = (select max(file_key) from numbered) then 5 else status end as smallint) as status from numbered""")

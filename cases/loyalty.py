@@ -4,7 +4,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cases.base import AS_OF, case, number, tables
-from millrace.plans import loyalty
+from millrace.plans import loyalty, steps
+from millrace.scratch import scratch_path
+from millrace.sources import locator
 
 I, S, L, D = T.IntegerType(), T.StringType(), T.LongType(), T.DecimalType(18, 2)
 
@@ -84,7 +86,7 @@ def card_dimension(spark, sf):
 
 
 # In SQL only the columns that carry something.
-_PROFILE = f"""
+_NUMBERED = f"""
 with {_CARDS},
 keys as (select staged.*, cast(strftime(issued, '%Y%m%d') as integer) as issued_day, cast(strftime(expires, '%Y%m%d') as integer) as expire_day from staged),
 dim as (
@@ -114,6 +116,8 @@ numbered as (
   union all
   select c_custkey, card, status, member, name, start_day, end_day,
     cast((select max(profile) from dim) + row_number() over (order by card, start_day) as integer), regis, issued_day from one where profile is null)
+"""
+_PROFILE = _NUMBERED + """
 select card, status, member, name, start_day, end_day, profile, regis, issued_day,
   case when end_day is null and row_number() over (partition by member order by start_day desc, issued_day desc nulls last, profile desc) = 1 then 1 else 0 end as latest
 from numbered
@@ -154,10 +158,9 @@ def raw_transactions(spark, sf):
         F.when(F.expr("o_orderkey % 13 <> 0"), F.col("o_orderdate")).alias("PROCESS_DATE"), (F.col("o_orderdate") + F.make_dt_interval(hours=F.col("o_orderkey") % 24)).alias("TRANS_DATE"))
 
 
-def _resolved(spark, sf):
-    customer, nation, part = tables(spark, sf, "customer", "nation", "part")
-    cards = customer.filter("c_custkey % 10 <> 3").select(F.concat(F.lit("K"), "c_custkey").alias("CardNum"), F.col("c_custkey").cast("int").alias("CardProfileKey"),
-                                                         F.lit(None).cast("int").alias("EndDateKey"))
+def _programme(spark, sf):
+    """Products, the mapping of their codes, and merchants."""
+    nation, part = tables(spark, sf, "nation", "part")
     products = part.select((F.expr("p_partkey % 60")).cast("int").alias("ProductKey")).distinct().withColumn(
         "ProductGroup", F.when(F.expr("ProductKey % 2 = 0"), "POINT").otherwise("LUBE"))
     mapping = products.filter("ProductKey % 7 <> 0").select(
@@ -167,7 +170,14 @@ def _resolved(spark, sf):
     nil = mapping.filter("MappingKey = 1").withColumns({"SourceKey": F.lit("0"), "MappingKey": F.lit(0)})
     merchants = nation.select(F.concat(F.lit("R"), "n_nationkey").alias("RowId"), F.col("n_nationkey").cast("int").alias("MerchandiseKey"))
     merchants = merchants.unionByName(merchants.filter("MerchandiseKey = 0").withColumns({"RowId": F.lit("NA"), "MerchandiseKey": F.lit(999)}))
-    groups = loyalty.product_groups(mapping.unionByName(nil), products, "LOYAL")
+    return products, mapping.unionByName(nil), merchants
+
+
+def _resolved(spark, sf):
+    cards = tables(spark, sf, "customer").filter("c_custkey % 10 <> 3").select(
+        F.concat(F.lit("K"), "c_custkey").alias("CardNum"), F.col("c_custkey").cast("int").alias("CardProfileKey"), F.lit(None).cast("int").alias("EndDateKey"))
+    products, mapping, merchants = _programme(spark, sf)
+    groups = loyalty.product_groups(mapping, products, "LOYAL")
     return loyalty.resolve_transactions(raw_transactions(spark, sf), cards, groups, merchants)
 
 
@@ -462,3 +472,56 @@ def transaction_split(spark, sf):
     orders = tables(spark, sf, "orders").select("o_orderkey", F.date_format("o_orderdate", "yyyyMMdd").cast("int").alias("TransDateKey"))
     today, before = loyalty.split_transactions(orders, "1998-06-14 20:00:00")
     return today.select("o_orderkey", F.lit("today").alias("part")).unionByName(before.select("o_orderkey", F.lit("before").alias("part")))
+
+
+# ---- history -------------------------------------------------------------------
+
+HISTORY = schema(TxnId=L, Amount=D, TransYearKey=I, TransMonthKey=I, TransType=S, TransStatus=S)
+
+
+def _history_rows(spark, sf):
+    """Orders as transactions; a month stands for its quarter."""
+    orders = tables(spark, sf, "orders")
+    return orders.select(F.col("o_orderkey").alias("TxnId"), F.col("o_totalprice").cast("decimal(18,2)").alias("Amount"), F.year("o_orderdate").alias("TransYearKey"),
+                         F.quarter("o_orderdate").alias("TransMonthKey"), F.lit("ACCRUAL").alias("TransType"), F.col("o_orderstatus").alias("TransStatus"))
+
+
+@case("""
+with rows as (select o_orderkey as txn, cast(o_totalprice as decimal(18,2)) as amount, cast(year(o_orderdate) as integer) as year, cast(quarter(o_orderdate) as integer) as month,
+  o_orderstatus as status from orders)
+select txn, cast(case when year in (1995, 1996) and txn % 3 = 0 then -amount else amount end as double) as amount, year, month,
+  case when year in (1995, 1996) and txn % 3 = 0 then 'Cancelled' else status end as status from rows""")
+def loyalty_history_merge(spark, sf):
+    """Two years' transactions come again with another status, some for the first time: their rows change partition, the other years' lie untouched."""
+    rows = _history_rows(spark, sf)
+    again = (F.col("TransYearKey").isin(1995, 1996)) & (F.col("TxnId") % 3 == 0)
+    kept = locator.History(spark, scratch_path(spark, "history"), HISTORY, "TxnId", loyalty.TXN_PARTITIONS, buckets=16)
+    kept.merge(rows.filter(~(again & (F.col("TxnId") % 2 == 0))))
+    kept.merge(rows.filter(again).withColumns({"TransStatus": F.lit("Cancelled"), "Amount": (-F.col("Amount")).cast("decimal(18,2)")}))
+    return kept.rows().select(F.col("TxnId").alias("txn"), number("Amount").alias("amount"), F.col("TransYearKey").alias("year"), F.col("TransMonthKey").alias("month"),
+                              F.col("TransStatus").alias("status"))
+
+
+# ---- the whole load ----------------------------------------------------------------
+
+
+@case(_NUMBERED + "," + _TXN.replace("select raw.*, c_custkey as card from raw left join customer on o_custkey = c_custkey and c_custkey % 10 <> 3",
+                                     "select raw.*, profile as card from raw left join numbered on 'K' || o_custkey = numbered.card and end_day is null") + """
+select 'T' || k as txn, cast(card as integer) as card, cast(m as integer) as product, merchant, cast(amount + 10 - coalesce(redeem, 0) as double) as remaining from txn where error is null
+union all select 'T' || o_orderkey, -1, -1, -1, 0.0 from orders where (o_orderkey % 100 = 1) and 'T' || o_orderkey not in (select 'T' || k from txn where error is null)""")
+def loyalty_chain_fact(spark, sf):
+    """Cards, transactions, registrations and members in their order; the run stops after the cards and goes on where it stopped."""
+    root = scratch_path(spark, "loyalty")
+    products, mapping, merchants = _programme(spark, sf)
+    old = raw_transactions(spark, sf).select(F.col("TXN_ID").alias("TxnId")).filter(F.substring("TxnId", 2, 20).cast("bigint") % 100 == 1)
+    none = {"CardProfileKey": F.lit(-1), "ProductKey": F.lit(-1), "MerchandiseKey": F.lit(-1), "RemainingPoint": F.lit(0)}
+    fact = old.select(*[(F.col("TxnId") if f.name == "TxnId" else none.get(f.name, F.lit(None))).cast(f.dataType).alias(f.name) for f in FACT])
+    rejects = spark.createDataFrame([], schema(TXN_ID=S, Error=S))
+    start = {"merchants": merchants, "products": products.withColumn("used", F.lit(1)), "cards": card_dimension(spark, sf), "fact": fact, "rejects": rejects,
+             "register": spark.createDataFrame([], _register_schema())}
+    given = loyalty.Arrivals(cards=raw_cards(spark, sf), test_cards=test_cards(spark, sf), transactions=raw_transactions(spark, sf), mapping=mapping)
+    todo = loyalty.load_steps(given, loyalty.Rules("LOYAL", "M7", "used"), AS_OF)
+    steps.run_steps(spark, root, "20240615", todo[:1], start)
+    done = steps.run_steps(spark, root, "20240615", todo, start)["fact"]
+    return done.select(F.col("TxnId").alias("txn"), F.col("CardProfileKey").alias("card"), F.col("ProductKey").alias("product"), F.col("MerchandiseKey").alias("merchant"),
+                       number("RemainingPoint").alias("remaining"))

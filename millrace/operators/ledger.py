@@ -37,6 +37,8 @@ SUPERSEDED = 4
 REPLACED_BY_NEWER_MONTH = 6
 CLEANUP_FAILED = 9
 MAIN_STEP_FAILED = -99
+# The daily-sales load writes the number of superseded files for a main step that failed.
+SALES_STEP_FAILED = 4
 # Only files in these states, or reserved ones, can be superseded.
 SUPERSEDABLE = [LOADED, LOAD_FAILED, 5, MAIN_STEP_FAILED]
 

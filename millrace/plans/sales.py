@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,6 +17,7 @@ from millrace.operators.keys import latest_per_key
 from millrace.operators.lookup import ERROR, Lookup, Split, lookup, lookup_any, mapping_table
 from millrace.operators.merge import insert_only, merge, s, unseen
 from millrace.scratch import materialise
+from millrace.sources import tables as store
 from millrace.sources.reports import match_columns
 
 NO_STATION, NO_PRODUCT, NO_DIVISION = "Mismatch StationKey", "Mismatch ProductKey", "Mismatch DivisionKey"
@@ -107,6 +108,64 @@ def load_file(staged: DataFrame, stations: DataFrame, mapping: DataFrame, source
     return Loaded(fact, rejects, ledgers.append(ledger, noted))
 
 
+@dataclass(frozen=True)
+class SalesTables:
+    """Where the stored sales tables are, and their columns."""
+
+    root: str
+    staging: T.StructType
+    fact: T.StructType
+    rejects: T.StructType
+
+
+def stored(spark: SparkSession, tables: SalesTables) -> Loaded:
+    """Tables after the last complete load."""
+    done = store.versions(spark, tables.root)
+
+    def read(name: str, schema: T.StructType) -> DataFrame:
+        if not done:
+            return spark.createDataFrame([], schema)
+        return store.by_path(spark, f"{tables.root}/version={done[-1]}/{name}", schema).select(*schema.names)
+
+    return Loaded(read("fact", tables.fact), read("rejects", tables.rejects), read("ledger", ledgers.LEDGER))
+
+
+def load_workbook(spark: SparkSession, tables: SalesTables, raw: DataFrame, stations: DataFrame, mapping: DataFrame, source_name: str,
+                  file_key: int, file_name: str, as_of, hours: int = 0, category: str = "SALES", subcategory: str = "DailySales",
+                  month_to_date: bool = False) -> Loaded:
+    """Stage and load one workbook's rows into the stored tables and note how far it came.
+
+    The file's state says which step failed: staging (nothing is loaded), the main step (nothing
+    is loaded), or the removal of files a month-to-date file supersedes (its own rows are
+    loaded, the older ones still there).  Fact, rejects and ledger become one version, so
+    a stop leaves them as they were.  The error of a failed step is raised after that.
+    """
+    before = stored(spark, tables)
+    done = store.versions(spark, tables.root)
+    fact, rejects, ledger, error = before.fact, before.rejects, before.ledger, None
+    state = ledgers.STAGING_FAILED
+    try:
+        staged = materialise(stage(raw, tables.staging, file_key), "sales_staged")
+        state = ledgers.SALES_STEP_FAILED
+        split = load_sales(staged, stations, mapping, source_name, file_key=file_key).map(lambda frame: materialise(frame, "sales"))
+        new_fact, new_rejects = to_tables(split, tables.fact, tables.rejects)
+        fact, rejects = fact.unionByName(new_fact), rejects.unionByName(new_rejects)
+        state = ledgers.CLEANUP_FAILED
+        if month_to_date:
+            kept = slices.supersede_month_to_date(fact, rejects, ledger, file_key, category, subcategory)
+            ledger, fact, rejects = (materialise(df, name) for df, name in zip(kept, ("ledger", "fact", "rejects"), strict=True))
+        state = ledgers.LOADED
+    except Exception as raised:  # noted below, then raised again
+        error = raised
+    row = ledgers.new_rows(spark.createDataFrame([(file_key, file_name)], "FileKey int, FileName string"), category, subcategory, state, as_of, hours)
+    number = (done[-1] if done else 0) + 1
+    store.write_together(spark, tables.root, number, {"fact": (fact, ()), "rejects": (rejects, ()), "ledger": (ledgers.append(ledger, row), ledgers.PARTITIONS)})
+    store.commit_version(spark, tables.root, number)
+    if error is not None:
+        raise error
+    return stored(spark, tables)
+
+
 def replay_rejects(stations: DataFrame, mapping: DataFrame, source_name: str, fact: DataFrame, rejects: DataFrame,
                    ledger: DataFrame) -> Loaded:
     """Try quarantined sales again; files with loaded rows and no reject left count as loaded."""
