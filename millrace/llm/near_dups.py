@@ -122,12 +122,15 @@ def _sets(docs: DataFrame, key: str, text: str, width: int) -> DataFrame:
 
 
 def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets are alike enough."""
+    """The pairs (a, b) whose full sets are alike enough.  A ``b`` of many pairs has its set copied for each CHUNK of them, so that no task has them all."""
+    copies = pairs.groupBy("b").agg(F.ceil(F.count(F.lit(1)) / CHUNK).alias("copies"))
     left = sets.select(F.col("rep").alias("a"), F.col("shingles").alias("set_a"))
-    right = sets.select(F.col("rep").alias("b"), F.col("shingles").alias("set_b"))
+    right = (sets.select(F.col("rep").alias("b"), F.col("shingles").alias("set_b")).join(copies, "b")
+             .withColumn("copy", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("copies") - 1))).drop("copies"))
+    dealt = pairs.join(copies.filter("copies > 1"), "b", "left").select("a", "b", F.pmod(F.xxhash64("a"), F.coalesce("copies", F.lit(1))).alias("copy"))
     common = F.size(F.array_intersect("set_a", "set_b"))
     both = F.size("set_a") + F.size("set_b") - common
-    return pairs.join(left, "a").join(right, "b").filter(100 * common >= percent * both).select("a", "b").distinct()
+    return dealt.join(left, "a").join(right, ["b", "copy"]).filter(100 * common >= percent * both).select("a", "b").distinct()
 
 
 def _visited(visitors: DataFrame, members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
