@@ -185,6 +185,16 @@ def bucketed_table(spark, sf):
     return store.by_name(spark, name)
 
 
+@case("""select o_orderkey, case when o_orderkey % 3 = 0 then -o_custkey else o_custkey end as o_custkey, case when o_orderkey % 3 = 0 then 'new' else o_orderstatus end as o_orderstatus
+  from orders""")
+def bucketed_merge(spark, sf):
+    """A third of the rows come again or for the first time; bucket meets bucket."""
+    orders, name = tables(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus"), f"millrace_{uuid.uuid4().hex}"
+    store.save_table(orders.filter("o_orderkey % 3 <> 0 or o_orderkey % 2 = 0"), name, bucket_by=(8, ["o_orderkey"]))
+    delta = orders.filter("o_orderkey % 3 = 0").withColumns({"o_custkey": -F.col("o_custkey"), "o_orderstatus": F.lit("new")})
+    return store.merge_bucketed(spark, name, delta, ["o_orderkey"], 8, f"{name}_next")
+
+
 @case("select o_orderkey, o_custkey from orders where o_orderkey % 2 = 1")
 def truncated_table(spark, sf):
     """All rows go, the columns stay, new rows come."""

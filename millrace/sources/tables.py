@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from functools import reduce
 
@@ -80,6 +81,26 @@ def save_table(df: DataFrame, name: str, mode: str = "overwrite", partition_by:
     writer.saveAsTable(name)
 
 
+def merged_buckets(spark: SparkSession, name: str, delta: str, keys: Sequence[str]) -> DataFrame:
+    """Full-row upsert of one bucketed table into another; with the same buckets on the keys neither is exchanged, whatever their sizes."""
+    return upsert_full(by_name(spark, name), by_name(spark, delta), keys, action=None)
+
+
+def merge_bucketed(spark: SparkSession, name: str, delta: DataFrame, keys: Sequence[str], buckets: int, into: str) -> DataFrame:
+    """Upsert a delta into a table bucketed on the keys, as a new table of the same buckets.
+
+    Only the delta is dealt out: it is written in the target's buckets first, and bucket
+    meets bucket after that.  ``into`` is another name than ``name``, which is being read.
+    """
+    side = f"{name}_delta_{uuid.uuid4().hex}"
+    save_table(delta, side, bucket_by=(buckets, keys))
+    try:
+        save_table(merged_buckets(spark, name, side, keys), into, bucket_by=(buckets, keys))
+    finally:
+        spark.sql(f"drop table {side}")
+    return by_name(spark, into)
+
+
 def as_view(df: DataFrame, name: str) -> DataFrame:
     df.createOrReplaceTempView(name)
     return df

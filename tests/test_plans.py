@@ -206,3 +206,24 @@ def test_terminals_null_ids(frame):
     got = loyalty.update_terminals(target, source, action="action")
     assert rows_of(got, "TID", "MID", "TID_Status", F.date_format("LoadDate", "dd").alias("d"), "action") == [
         ("A", "M", None, "01", "SAME IN MATCHED"), ("B", "N", "on", "02", "UPDATE"), ("C", "M", "on", "01", "SAME IN TARGET"), ("D", None, "on", "02", "INSERT")]
+
+
+def test_a_merge_of_equal_buckets_exchanges_nothing(spark):
+    """A large source too: neither table is dealt out again, only counts of keys are brought together."""
+    import uuid
+
+    from millrace.sources import tables
+    name, old = f"millrace_{uuid.uuid4().hex}", spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    rows = spark.range(5000).selectExpr("id as k", "id % 7 as v")
+    tables.save_table(rows.filter("k % 3 <> 0"), name, bucket_by=(8, ["k"]))
+    tables.save_table(rows.filter("k % 2 = 0"), f"{name}_d", bucket_by=(8, ["k"]))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        merged = tables.merged_buckets(spark, name, f"{name}_d", ["k"])
+        plan = merged._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("SortMergeJoin") >= 3 and "Exchange hashpartitioning" not in plan
+        assert merged.count() == rows.filter("k % 3 <> 0 or k % 2 = 0").count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        for table in (name, f"{name}_d"):
+            spark.sql(f"drop table {table}")
