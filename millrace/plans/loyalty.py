@@ -81,6 +81,7 @@ _CARD_NAMES = {
     "SAME_PR_FLG": "SamePriceSubmit", "MEM_CLASS": "MemberClass", "MEMBER_ID": "MemberID", "MEMBER_NUM": "MEMBER_NUM",
     "MOBILE_NUMBEROriginal": "MobileNumberOriginal", "EMAIL_ADDROriginal": "EmailAddrOriginal",
 }
+# Raw card columns in their order.
 _CARD_RAW = [
     "CARD_STATUS", "CARD_TYPE", "CARD_SUB_TYPE", "CARD_NUM", "MEMBER_ID", "MOBILE_NUMBER", "FIRST_NAME_ENG",
     "LAST_NAME_ENG", "BIRTH_DATE", "FIRST_NAME_THA", "LAST_NAME_THA", "IDENTIFICATION_NUM", "CAR_MODEL", "PROVINCE",
@@ -88,10 +89,11 @@ _CARD_RAW = [
     "APPROVAL_STATUS", "SAME_PR_FLG", "MEM_CLASS", "EMAIL_ADDR", "DONATION_FLAG", "DONATION_CODE", "DONATION_NAME",
     "Chanel", "UpdateBy", "MOBILE_NUMBEROriginal", "EMAIL_ADDROriginal", "MEMBER_NUM", "MemberGroup", "RegisChannel",
 ]
+# Integer date and time keys of a card.
 _CARD_KEYS = ["LoadDateKey", "LoadTimeKey", "CardIssuedDateKey", "CardIssuedTimeKey", "CardExpireDateKey",
               "CardExpireTimeKey", "JoinDateKey", "JoinTimeKey"]
 CARD_COLUMNS = [*[_CARD_NAMES.get(name, camel(name)) for name in _CARD_RAW], "JoinDate", *_CARD_KEYS, "IsTest"]
-# A change in these alone is no reason to rewrite a card.
+# A change in these alone is no reason to rewrite a card.
 _CARD_UNTRACKED = {"CardStatus", "CardType", "CardSubType", "CardNum", "LoadDateKey", "LoadTimeKey",
                    "CardIssuedDateKey", "CardIssuedTimeKey", "CardExpireTimeKey"}
 CARD_TRACKED = [name for name in CARD_COLUMNS if name not in _CARD_UNTRACKED]

@@ -24,6 +24,7 @@ NO_STATION, NO_PRODUCT, NO_DIVISION = "Mismatch StationKey", "Mismatch ProductKe
 # Divisions whose materials are looked up, and the labels of two regions.
 OIL_DIVISIONS = ["02", "04"]
 METRO = ["Bangkok", "Vicinity"]
+# Names of the fact's columns where they differ from the workbook's.
 RENAMES = {
     "Int_Date": "DateKey",
     "MappingKey": "ProductKey",

@@ -13,44 +13,71 @@ from millrace.functions.conform import conform_table, fill_by_type, trim_text, u
 from millrace.operators import ledger as ledgers
 from millrace.operators.ledger import SYSTEM_A, SYSTEM_B
 
-# Column order of the raw files.  Names are positional, there is no header.
-_HEAD8 = ["KeyID", "CustomerCode", "POSCode", "StationName", "CloseDateKey", "TransNumber", "TransDateKey", "TransTime"]
-_HEAD9 = [*_HEAD8, "ReceiptNumber"]
-_STATION = _HEAD8[:4]
-_METER_TAIL = ["GradeNumber", "GradeTitle", "GradePrice", "StartVolume", "EndVolume", "StartAmount", "EndAmount",
-               "TestVolume", "UsName"]
-_FREE = [*_STATION, "EOD_Date", "ReceiptNumber", "TransDateKey", "TransTime", "TransNumber", "FreeItemNo",
-         "FreeItemName", "FreeQTY", "FreeTopupQTY", "FreeMemberQTY", "FreeRemainQTY", "ReceiptItemQTY", "MemberCard",
-         "LoyaltyRedeemQTY", "Rate", "AccrualPoint", "LoyaltyProductCode", "LoyaltyProductName", "Promotion"]
-_PAYMENT = [*_HEAD9, "PMCode", "ReceiveAmount", "ARNumber", "LPNumber", "DocCode"]
-
-_BOTH = {
-    "TRN": [*_HEAD9, "Dispenser", "Hose", "Grade", "GradeTitle", "UnitPrice", "Volume", "Amount", "AttendeeNumber",
-            "ChiefNumber"],
-    "LUB": [*_HEAD9, "LubeCode", "LubeName", "UnitPrice", "Quantity", "Amount"],
-    "AR_TRANSACTIONS": [*_HEAD9, "Dispenser", "Hose", "GradeNumber", "GradeTitle", "GradePrice", "Volume", "Amount",
-                        "LubeCode", "UnitPrice", "Quantity", "LBAmount", "PMCode", "ARNumber", "ARName",
-                        "LicensePlate", "DocCode", "ODOMeter", "AttendantNumber", "DONumber"],
-    "DSC": ["KeyId", *_HEAD9[1:], "DCCode", "DCAmount"],
-    "EOD_TANKS": [*_STATION, "StartDateKey", "TankNumber", "GradeNumber", "GradeTitle", "OpenVolume", "CloseVolume",
-                  "DeliveryVolume", "EndDateKey"],
+# Column order of the raw files of each system and feed.  Names are positional, there is no header.
+_A = {
+    "TRN": """
+        KeyID CustomerCode POSCode StationName CloseDateKey TransNumber TransDateKey TransTime ReceiptNumber Dispenser
+        Hose Grade GradeTitle UnitPrice Volume Amount AttendeeNumber ChiefNumber""",
+    "LUB": """
+        KeyID CustomerCode POSCode StationName CloseDateKey TransNumber TransDateKey TransTime ReceiptNumber LubeCode
+        LubeName UnitPrice Quantity Amount""",
+    "AR_TRANSACTIONS": """
+        KeyID CustomerCode POSCode StationName CloseDateKey TransNumber TransDateKey TransTime ReceiptNumber Dispenser
+        Hose GradeNumber GradeTitle GradePrice Volume Amount LubeCode UnitPrice Quantity LBAmount PMCode ARNumber ARName
+        LicensePlate DocCode ODOMeter AttendantNumber DONumber""",
+    "DSC": """
+        KeyId CustomerCode POSCode StationName CloseDateKey TransNumber TransDateKey TransTime ReceiptNumber DCCode
+        DCAmount""",
+    "EOD_TANKS": """
+        KeyID CustomerCode POSCode StationName StartDateKey TankNumber GradeNumber GradeTitle OpenVolume CloseVolume
+        DeliveryVolume EndDateKey""",
+    "PMT": """
+        KeyID CustomerCode POSCode StationName CloseDateKey TransNumber TransDateKey TransTime ReceiptNumber PMCode
+        ReceiveAmount ARNumber LPNumber DocCode PAY_Date PAY_Time End_Date End_Time""",
+    "EOD_METERS": """
+        KeyId CustomerCode POSCode StationName CloseDateKey TankNumber DispenserNumber HoseNumber ShiftNumber
+        GradeNumber GradeTitle GradePrice StartVolume EndVolume StartAmount EndAmount TestVolume UsName""",
+    "POINTS": """
+        KeyID CustomerCode POSCode StationName CloseDateKey TransNumber TransDateKey TransTime ReceiptNumber PMCode
+        Terminal_ID Merchant_Name Batch_Number Card_Trace_Number Card_Number Available_Balance Collect_Point
+        Redeem_Point Collect_TimeStemp""",
+    "REFUND": """
+        KeyID CustomerCode POSCode StationName CloseDateKey TransNumber TransDateKey TransTime ReceiptNumber Volume
+        Amount Vat""",
+    "FREE": """
+        KeyID CustomerCode POSCode StationName EOD_Date ReceiptNumber TransDateKey TransTime TransNumber FreeItemNo
+        FreeItemName FreeQTY FreeTopupQTY FreeMemberQTY FreeRemainQTY ReceiptItemQTY MemberCard LoyaltyRedeemQTY Rate
+        AccrualPoint LoyaltyProductCode LoyaltyProductName Promotion""",
 }
-_ONLY_A = {
-    "PMT": [*_PAYMENT, "PAY_Date", "PAY_Time", "End_Date", "End_Time"],
-    "EOD_METERS": ["KeyId", *_STATION[1:], "CloseDateKey", "TankNumber", "DispenserNumber", "HoseNumber",
-                   "ShiftNumber", *_METER_TAIL],
-    "POINTS": [*_HEAD9, "PMCode", "Terminal_ID", "Merchant_Name", "Batch_Number", "Card_Trace_Number", "Card_Number",
-               "Available_Balance", "Collect_Point", "Redeem_Point", "Collect_TimeStemp"],
-    "REFUND": [*_HEAD9, "Volume", "Amount", "Vat"],
-    "FREE": _FREE,
+_B = {
+    "TRN": """
+        KeyID CustomerCode POSCode StationName CloseDateKey TransNumber TransDateKey TransTime ReceiptNumber Dispenser
+        Hose Grade GradeTitle UnitPrice Volume Amount AttendeeNumber ChiefNumber""",
+    "LUB": """
+        KeyID CustomerCode POSCode StationName CloseDateKey TransNumber TransDateKey TransTime ReceiptNumber LubeCode
+        LubeName UnitPrice Quantity Amount""",
+    "AR_TRANSACTIONS": """
+        KeyID CustomerCode POSCode StationName CloseDateKey TransNumber TransDateKey TransTime ReceiptNumber Dispenser
+        Hose GradeNumber GradeTitle GradePrice Volume Amount LubeCode UnitPrice Quantity LBAmount PMCode ARNumber ARName
+        LicensePlate DocCode ODOMeter AttendantNumber DONumber""",
+    "DSC": """
+        KeyId CustomerCode POSCode StationName CloseDateKey TransNumber TransDateKey TransTime ReceiptNumber DCCode
+        DCAmount""",
+    "EOD_TANKS": """
+        KeyID CustomerCode POSCode StationName StartDateKey TankNumber GradeNumber GradeTitle OpenVolume CloseVolume
+        DeliveryVolume EndDateKey""",
+    "PMT": """
+        KeyID CustomerCode POSCode StationName CloseDateKey TransNumber TransDateKey TransTime ReceiptNumber PMCode
+        ReceiveAmount ARNumber LPNumber DocCode""",
+    "EOD_METERS": """
+        KeyId CustomerCode POSCode StationName CloseDateKey ShiftNumber DispenserNumber HoseNumber TankNumber
+        GradeNumber GradeTitle GradePrice StartVolume EndVolume StartAmount EndAmount TestVolume UsName""",
+    "FREE": """
+        KeyID CustomerCode POSCode StationName EOD_Date ReceiptNumber TransDateKey TransTime TransNumber FreeItemNo
+        FreeItemName FreeQTY FreeTopupQTY FreeMemberQTY FreeRemainQTY ReceiptItemQTY MemberCard LoyaltyRedeemQTY Rate
+        AccrualPoint LoyaltyProductCode LoyaltyProductName Promotion DeliveryId""",
 }
-_ONLY_B = {
-    "PMT": _PAYMENT,
-    "EOD_METERS": ["KeyId", *_STATION[1:], "CloseDateKey", "ShiftNumber", "DispenserNumber", "HoseNumber",
-                   "TankNumber", *_METER_TAIL],
-    "FREE": [*_FREE, "DeliveryId"],
-}
-LAYOUTS = {SYSTEM_A: {**_BOTH, **_ONLY_A}, SYSTEM_B: {**_BOTH, **_ONLY_B}}
+LAYOUTS = {SYSTEM_A: {feed: text.split() for feed, text in _A.items()}, SYSTEM_B: {feed: text.split() for feed, text in _B.items()}}
 FEEDS = tuple(LAYOUTS[SYSTEM_A])
 LINEAGE = [
     T.StructField("FileName", T.StringType()),
