@@ -99,8 +99,10 @@ def audit(docs: DataFrame, text: str = "text", lang: str = "lang", source: str =
     summed = tallies(docs, text, lang, source).repartition("lang", "term").groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
     kept = (summed.groupBy("lang", "term").agg(F.sum("docs").alias("docs"), F.sum("n").alias("total"), F.collect_list(F.struct("source", "n")).alias("counts"))
             .filter(F.col("docs") >= least_docs).drop("docs"))
-    terms = work.put(kept.repartitionByRange("lang", F.desc("total"), "term").sortWithinPartitions("lang", F.desc("total"), "term")
+    # written before it is dealt by range, as the sample for the ranges would count all terms once more
+    terms = work.put(work.put(kept, "kept").repartitionByRange("lang", F.desc("total"), "term").sortWithinPartitions("lang", F.desc("total"), "term")
                      .withColumn("id", F.monotonically_increasing_id()), "terms")
+    work.drop("kept")
 
     size = terms.groupBy("lang").agg(F.count(F.lit(1)).alias("v"), F.sum("total").alias("lang_n"))
     counts = terms.select("lang", "term", "id", "total", F.explode("counts").alias("x")).select("lang", "term", "id", "total", "x.source", "x.n")
