@@ -128,8 +128,11 @@ def blank_title(title: ColumnOrName, empty: Column, label: str) -> Column:
 
 
 def decode_file_name(path: ColumnOrName) -> Column:
-    """Last path part with its ``#`` restored (paths arrive URL-encoded)."""
-    return F.regexp_replace(F.regexp_extract(col_of(path), r"([^/?]+)(?:\?.*)?$", 1), "%23", "#")
+    """Last path part with its ``#`` restored (paths arrive URL-encoded).
+
+    A part is tried only from its start and only as a whole, so the time for a path grows with its length, not with the square of its parts' lengths.
+    """
+    return F.replace(F.regexp_extract(col_of(path), r"(?<![^/?])([^/?]++)(?:\?.*)?$", 1), F.lit("%23"), F.lit("#"))
 
 
 # The Thai single-byte charset puts U+0E01..U+0E3A and U+0E3F..U+0E5B
@@ -140,6 +143,7 @@ _THAI_TO = "".join(chr(byte - 0xA1 + 0x0E01) for byte in _THAI_BYTES)
 
 
 def thai_text(latin: ColumnOrName) -> Column:
-    """Thai text from a column that was read byte by byte as ISO-8859-1."""
-    return F.translate(col_of(latin), _THAI_FROM, _THAI_TO)
+    """Thai text from a column that was read byte by byte as ISO-8859-1; plain ASCII, where every character is one byte, is left as it is."""
+    text = col_of(latin)
+    return F.when(F.octet_length(text) != F.length(text), F.translate(text, _THAI_FROM, _THAI_TO)).otherwise(text)
 

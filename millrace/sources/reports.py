@@ -14,6 +14,10 @@ from millrace.functions.conform import conform_table
 from millrace.scratch import materialise
 
 
+#: Bytes of reports whose lines one task writes.
+TASK_BYTES = 64 << 20
+
+
 def read_texts(spark: SparkSession, paths: str | Sequence[str], charset: str = "UTF-16") -> DataFrame:
     """One row per file: its name and whole text."""
     files = spark.read.format("binaryFile").load(paths)
@@ -51,11 +55,14 @@ def read_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     its split plus the lines of the splits before it: one small row for each split.  The lines are
     written once, so that both readings of them have the same splits.  UTF-16 has no
     byte that only ends lines; such reports are read whole by :func:`read_texts`.
+
+    A task writes the lines of many splits, about ``TASK_BYTES`` of them, so that small splits do not make as many tasks and files.
     """
+    size = spark.read.format("binaryFile").load(paths).agg(F.sum("length")).first()[0] or 0
     raw = spark.read.text(paths).select(
         F.col("_metadata.file_path").alias("__file"), F.col("_metadata.file_block_start").alias("__block"), F.monotonically_increasing_id().alias("__place"),
         F.col("value").alias("line"))
-    lines = materialise(raw, "lines")
+    lines = materialise(raw.coalesce(max(size // TASK_BYTES + 1, 4 * spark.sparkContext.defaultParallelism)), "lines")
     splits = lines.groupBy("__file", "__block").agg(F.count(F.lit(1)).alias("__n"), F.min("__place").alias("__first"))
     # a file's splits in order: a row for each, so no window holds lines
     order = Window.partitionBy("__file").orderBy("__block")
@@ -67,9 +74,13 @@ def read_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
 
 
 def body_lines(lines: DataFrame, skip: int = 5, after_header: int = 0, trailer: int = 0, line: str = "line") -> DataFrame:
-    """What :func:`report_lines` gives, from the numbered lines of :func:`read_lines`; a file's header is one small row joined to its lines."""
+    """What :func:`report_lines` gives, from the numbered lines of :func:`read_lines`; a file's header is one small row joined to its lines.
+
+    The headers are written once, so that the planner knows how few they are and does not gather the lines of a file to meet its header.
+    """
     rest = [c for c in lines.columns if c not in (line, "line_no", "lines")]
     header = lines.filter(F.col("line_no") == skip).select(*[F.col(c).alias(f"__{c}") for c in rest], F.transform(F.split(line, "\t", -1), clean_header).alias("header"))
+    header = materialise(header, "headers")
     kept = lines.filter((F.col("line_no") > skip + after_header) & (F.col("line_no") < F.col("lines") - trailer))
     joined = kept.join(header, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in rest], "left")
     return joined.select(*rest, "header", "line_no", F.split(line, "\t", -1).alias("cells"))
