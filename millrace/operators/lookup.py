@@ -24,11 +24,13 @@ class Split:
     """An annotated frame: ``Error`` is NULL for loaded rows, else the reason.
 
     Both halves come from one pass over the lookups; a sink that writes both
-    partitions the annotated frame by reason and so runs them once.
+    partitions the annotated frame by reason and so runs them once.  ``others``
+    are the rows of the frame that hold every rejected one, if a later step left them out.
     """
 
     frame: DataFrame
     error: str = ERROR
+    others: DataFrame | None = None
 
     @property
     def matched(self) -> DataFrame:
@@ -36,10 +38,10 @@ class Split:
 
     @property
     def rejected(self) -> DataFrame:
-        return self.frame.filter(F.col(self.error).isNotNull())
+        return (self.frame if self.others is None else self.others).filter(F.col(self.error).isNotNull())
 
     def map(self, change) -> Split:
-        return Split(change(self.frame), self.error)
+        return Split(change(self.frame), self.error, None if self.others is None else change(self.others))
 
     def counts(self, source: DataFrame) -> DataFrame:
         """One row: input, loaded and rejected rows, and whether they add up.

@@ -32,9 +32,15 @@ def net_refunds(df: DataFrame, keys: Sequence[str], quantity: str, amount: str,
 
     Quantity and amount become the sum over the keys, refunds included; several
     sales of one transaction each carry the full total.  Rows outside ``where``
-    pass through unchanged.
+    pass through unchanged and take no part in the join with the totals.
     """
-    netted = F.lit(True) if where is None else F.coalesce(where, F.lit(False))
+    net, others = net_parts(df, keys, quantity, amount, where, quantity_type, amount_type)
+    return net if others is None else others.unionByName(net)
+
+
+def net_parts(df: DataFrame, keys: Sequence[str], quantity: str, amount: str, where: Column | None = None,
+              quantity_type: str = "decimal(15,3)", amount_type: str | None = None) -> tuple[DataFrame, DataFrame | None]:
+    """What :func:`net_refunds` gives in two frames: the sales with their net totals, and the rows outside ``where`` (None without it)."""
     amount_kind = amount_type or df.schema[amount].dataType
     # Text is read as a number first; what is no number is no sale.
     typed = df.withColumns({
@@ -42,12 +48,13 @@ def net_refunds(df: DataFrame, keys: Sequence[str], quantity: str, amount: str,
         for name, kind in ((quantity, quantity_type), (amount, amount_kind))
         if isinstance(df.schema[name].dataType, T.StringType)
     })
-    total = join_back(typed, keys, {"__quantity": F.sum(quantity), "__amount": F.sum(amount)}, where)
-    kept = total.filter(~netted | (F.col(quantity) >= 0))
-    return kept.withColumns({
-        quantity: F.when(netted, F.col("__quantity")).otherwise(F.col(quantity)).cast(quantity_type),
-        amount: F.when(netted, F.col("__amount")).otherwise(F.col(amount)).cast(amount_kind),
-    }).drop("__quantity", "__amount")
+    rows = typed if where is None else typed.filter(where)
+    sales = join_back(rows, keys, {"__quantity": F.sum(quantity), "__amount": F.sum(amount)}).filter(F.col(quantity) >= 0)
+    net = sales.withColumns({quantity: F.col("__quantity").cast(quantity_type), amount: F.col("__amount").cast(amount_kind)}).drop("__quantity", "__amount")
+    if where is None:
+        return net, None
+    others = typed.filter(~F.coalesce(where, F.lit(False)))
+    return net, others.withColumns({quantity: F.col(quantity).cast(quantity_type), amount: F.col(amount).cast(amount_kind)})
 
 
 def staged_total(df: DataFrame, fine: Sequence[str], coarse: Sequence[str], amount: str, latest: str,

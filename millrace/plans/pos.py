@@ -19,7 +19,7 @@ from millrace.operators import ledger as ledgers
 from millrace.operators import slices
 from millrace.operators.ledger import SYSTEM_A, SYSTEM_B
 from millrace.operators.lookup import ERROR, Lookup, Split, lookup_any, mapping_table
-from millrace.operators.totals import net_refunds
+from millrace.operators.totals import net_parts
 from millrace.scratch import materialise
 
 IS_B = "IsFlowCo"
@@ -187,29 +187,52 @@ def load_feed(staged: DataFrame, feed: str, stations: DataFrame, mapping: DataFr
     """
     rule = RULES[feed]
     rows = prepare(staged, feed).withColumn("__system", _system())
-    split = _find_station(rows, stations, rule)
-    if rule.product is not None:
+    if rule.product is None:
+        split = _find_station(rows, _known_size(stations), rule)
+    else:
         if mapping is None:
             raise ValueError(f"feed {feed} needs the product mapping")
-        titled, placed = product_maps(mapping, rule.product)
-        split = lookup_any(split.frame, [
-            Lookup(titled, {rule.product.code: "SourceKey", rule.product.title: "SourceTitle", "__system": "SourceName"}, [PRODUCT]),
-            Lookup(placed, {rule.product.code: "SourceKey", "StationKey": "StationKey", "__system": "SourceName"}, [PRODUCT]),
-        ], NO_PRODUCT, unique)
+        split = _find_product(rows, _known_size(stations), product_maps(mapping, rule.product), rule, unique)
     if stage:
         split = split.map(lambda frame: materialise(frame, feed.lower()))
     return _finish(split, feed, rule, drop_noise)
 
 
+def _known_size(stations: DataFrame) -> DataFrame:
+    """The columns a lookup needs, written once: each branch reads them, and the planner knows their size."""
+    return materialise(stations.select("StationKey", "CustomerCode", "POSCode", "PosName").distinct(), "stations")
+
+
+def _find_product(rows: DataFrame, stations: DataFrame, maps: tuple[DataFrame, DataFrame], rule: FeedRule, unique: bool) -> Split:
+    """Station, then product by title, else by station.
+
+    The maps are written once, as ``stations`` are.  The map by station grows with the
+    stations and so may have to be shuffled together with the rows; only rows whose code
+    it holds at all take part in that join, the others are decided by the title map.
+    """
+    code, title = rule.product.code, rule.product.title
+    titled, placed = materialise(maps[0], "titled"), materialise(maps[1], "placed")
+    codes = materialise(placed.select(F.col("SourceKey").alias("__code"), F.col("SourceName").alias("__name")).distinct(), "codes")
+    marked = rows.join(codes, (F.col(code) == F.col("__code")) & (F.col("__system") == F.col("__name")), "left")
+    by_title = Lookup(titled, {code: "SourceKey", title: "SourceTitle", "__system": "SourceName"}, [PRODUCT])
+    by_station = Lookup(placed, {code: "SourceKey", "StationKey": "StationKey", "__system": "SourceName"}, [PRODUCT])
+    frames = []
+    for part, lookups in ((F.col("__code").isNotNull(), [by_title, by_station]), (F.col("__code").isNull(), [by_title])):
+        found = _find_station(marked.filter(part).drop("__code", "__name"), stations, rule)
+        frames.append(lookup_any(found.frame, lookups, NO_PRODUCT, unique).frame)
+    return Split(frames[0].unionByName(frames[1]))
+
+
 def _finish(split: Split, feed: str, rule: FeedRule, drop_noise: Column | None) -> Split:
-    frame, loaded = split.frame, F.col(split.error).isNull()
+    frame, loaded, others = split.frame, F.col(split.error).isNull(), None
     if feed == "TRN":
         # a fuel line without a number for its volume can't be netted; it waits in the quarantine
         unread = loaded & ~F.col(IS_B) & F.col("Volume").try_cast("decimal(15,3)").isNull()
         frame = frame.withColumn(split.error, F.when(unread, F.lit(NO_VOLUME)).otherwise(F.col(split.error)))
-        frame = net_refunds(frame, ["CloseDateKey", "TransNumber", "FileKey"], "Volume", "Amount",
-                            where=loaded & ~F.col(IS_B), amount_type="decimal(18,2)")
-        frame = frame.withColumn("Vat", F.lit(None).cast("decimal(18,2)"))
+        net, others = net_parts(frame, ["CloseDateKey", "TransNumber", "FileKey"], "Volume", "Amount",
+                                where=loaded & ~F.col(IS_B), amount_type="decimal(18,2)")
+        net, others = (part.withColumn("Vat", F.lit(None).cast("decimal(18,2)")) for part in (net, others))
+        frame = others.unionByName(net)
     if feed == "PMT":
         in_a = ~F.col(IS_B) & loaded
         frame = frame.withColumns({
@@ -218,8 +241,9 @@ def _finish(split: Split, feed: str, rule: FeedRule, drop_noise: Column | None)
         }).drop("PayTimeKey", "END_TimeKey")
     if feed == "EOD_TANKS" or drop_noise is not None:
         predicate = noise() if drop_noise is None else F.coalesce(drop_noise, F.lit(False))
-        frame = frame.filter(loaded | ~predicate)
-    return Split(frame.withColumnsRenamed(dict(rule.renames)).drop("__system"), split.error)
+        kept = loaded | ~predicate
+        frame, others = frame.filter(kept), None if others is None else others.filter(kept)
+    return Split(frame, split.error, others).map(lambda df: df.withColumnsRenamed(dict(rule.renames)).drop("__system"))
 
 
 def to_tables(split: Split, fact: T.StructType, rejects: T.StructType, feed: str) -> tuple[DataFrame, DataFrame]:
