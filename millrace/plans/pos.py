@@ -270,13 +270,15 @@ def touched_by_change(rows: DataFrame, feed: str, old: tuple[DataFrame, DataFram
     if rule.station_by_code_only:
         sides.append((_changed(named(old[0]).drop("POSName"), named(new[0]).drop("POSName"), ["POSCode", "CustomerCode"]), {"POSCode": "POSCode", "CustomerCode": "CustomerCode"}))
     if rule.product is not None:
-        before, after = product_maps(old[1], rule.product), product_maps(new[1], rule.product)
+        before = [materialise(part, "before") for part in product_maps(old[1], rule.product)]
+        after = before if new[1] is old[1] else [materialise(part, "after") for part in product_maps(new[1], rule.product)]
         code, title = rule.product.code, rule.product.title
         sides.append((_changed(before[0], after[0], ["SourceKey", "SourceTitle", "SourceName"]), {code: "SourceKey", title: "SourceTitle", "__system": "SourceName"}))
         sides.append((_changed(before[1], after[1], ["SourceKey", "SourceName"]), {code: "SourceKey", "__system": "SourceName"}))
     hit = F.lit(False)
     for i, (keys, on) in enumerate(sides):
-        side = keys.select(*[F.col(theirs).alias(f"__k{i}_{j}") for j, theirs in enumerate(on.values())])
+        # changed keys are written once: their true size keeps the quarantine out of an exchange if they are few
+        side = materialise(keys.select(*[F.col(theirs).alias(f"__k{i}_{j}") for j, theirs in enumerate(on.values())]), "changed")
         rows = rows.join(side, [F.col(mine) == F.col(f"__k{i}_{j}") for j, mine in enumerate(on)], "left")
         hit = hit | F.col(f"__k{i}_0").isNotNull()
     return rows.withColumn("__hit", hit)
