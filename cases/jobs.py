@@ -50,6 +50,23 @@ def write_files(spark, rows):
     return folder
 
 
+def write_parts(spark, rows):
+    """Rows (value, FileName) byte for byte as files in folders: each task writes a file of every name it has rows of, so no row is moved to another task."""
+    parts, folder = scratch_path(spark, "parts"), scratch_path(spark, "files")
+    rows.write.partitionBy("FileName").option("encoding", "ISO-8859-1").option("maxRecordsPerFile", 0).csv(parts, sep="\u0001", quote="", escape="")
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(parts).getFileSystem(spark._jsc.hadoopConfiguration())
+    for status in fs.listStatus(path(parts)):
+        name = status.getPath().getName()
+        if name.startswith("FileName="):
+            for part in fs.listStatus(status.getPath()):
+                if part.getPath().getName().startswith("part-"):
+                    own = path(folder, part.getPath().getName().split("-")[1])
+                    fs.mkdirs(own)
+                    fs.rename(part.getPath(), path(own, name.removeprefix("FileName=").replace("%23", "#")))
+    return folder
+
+
 def _fuel_lines(spark, sf):
     """Order lines as lines of ten files; some volumes are no numbers, names carry blanks, one field is Thai."""
     rows = _rows(spark, sf, "TRN")
@@ -65,8 +82,8 @@ def _loaded(spark, sf, with_tables=False):
     kept = pos_files.FeedTables(scratch_path(spark, "pos"), STAGING, FACT, REJECTS)
     known = stations.filter("cast(POSCode as int) % 4 <> 1")
     for rows, sites in ((lines, known), (lines.filter("i >= 3"), stations)):
-        folder = write_files(spark, rows.drop("i"))
-        paths = {ledgers.SYSTEM_A: f"{folder}/*TRN.CSV", ledgers.SYSTEM_B: f"{folder}/*TRNFLOWCO.CSV"}
+        folder = write_parts(spark, rows.drop("i"))
+        paths = {ledgers.SYSTEM_A: f"{folder}/*/*TRN.CSV", ledgers.SYSTEM_B: f"{folder}/*/*TRNFLOWCO.CSV"}
         state = pos_files.load_files(spark, kept, paths, "TRN", sites, mapping, AS_OF, 7)
     return (state, kept) if with_tables else state
 
@@ -118,8 +135,8 @@ def streamed_feed_fact(spark, sf):
     """The files arrive as a stream for each system; a last call finds nothing new."""
     lines, stations, mapping = _fuel_lines(spark, sf), _stations(spark, sf), _mapping(spark, sf)
     kept = pos_files.FeedTables(scratch_path(spark, "pos"), STAGING, FACT, REJECTS)
-    folder, progress = write_files(spark, lines.drop("i")), scratch_path(spark, "progress")
-    paths = {ledgers.SYSTEM_A: f"{folder}/*TRN.CSV", ledgers.SYSTEM_B: f"{folder}/*TRNFLOWCO.CSV"}
+    folder, progress = write_parts(spark, lines.drop("i")), scratch_path(spark, "progress")
+    paths = {ledgers.SYSTEM_A: f"{folder}/*/*TRN.CSV", ledgers.SYSTEM_B: f"{folder}/*/*TRNFLOWCO.CSV"}
     for _ in range(2):
         state = ingest.load_arrived(spark, kept, paths, "TRN", stations, mapping, progress, AS_OF, 7)
     return state.fact.select(F.col("TransNumber").alias("trans"), F.col("ReceiptNumber").alias("line"), F.col("ChiefNumber").alias("chief"), F.col("FileKey").alias("file_key"),
@@ -147,8 +164,8 @@ def replay_changed_keys(spark, sf):
     lines, stations, mapping = _fuel_lines(spark, sf), _stations(spark, sf), _mapping(spark, sf)
     kept = pos_files.FeedTables(scratch_path(spark, "pos"), STAGING, FACT, REJECTS)
     known = stations.filter("cast(POSCode as int) % 4 <> 1")
-    folder = write_files(spark, lines.drop("i"))
-    paths = {ledgers.SYSTEM_A: f"{folder}/*TRN.CSV", ledgers.SYSTEM_B: f"{folder}/*TRNFLOWCO.CSV"}
+    folder = write_parts(spark, lines.drop("i"))
+    paths = {ledgers.SYSTEM_A: f"{folder}/*/*TRN.CSV", ledgers.SYSTEM_B: f"{folder}/*/*TRNFLOWCO.CSV"}
     state = pos_files.load_files(spark, kept, paths, "TRN", known, mapping, AS_OF, 7)
     done = pos.replay_changed(state.rejects, state.ledger, "TRN", (known, mapping), (stations, mapping), STAGING, FACT)
     columns = [F.col("TransNumber").alias("trans"), F.col("ReceiptNumber").alias("line"), F.col("FileKey").alias("file_key")]

@@ -343,7 +343,8 @@ def run_feed(staged: DataFrame, feed: str, stations: DataFrame, mapping: DataFra
         # only if the file itself came again, so their loaded rows stay.
         remaining = rejects.filter(F.lit(False))
     current = staged.select("FileKey").distinct()
-    old = slices.keys_of_names([fact, rejects], ledger, names).join(current, "FileKey", "left_anti")
+    # few keys, written once: their true size keeps the rows they are taken from out of an exchange by file
+    old = materialise(slices.keys_of_names([fact, rejects], ledger, names).join(current, "FileKey", "left_anti"), "superseded")
     if replay:
         replayed = slices.without_keys(replayed, old, ["FileKey"])
     split = load_feed(replayed, feed, stations, mapping, stage=True)

@@ -69,8 +69,8 @@ def current(spark: SparkSession, tables: FeedTables) -> State:
     state = f"{tables.root}/state/version={number}"
 
     def read(path: str, schema: T.StructType) -> DataFrame:
-        if not number:
-            return spark.createDataFrame([], schema)
+        if not number:  # no rows, and the planner knows it
+            return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema])
         return store.by_path(spark, path, schema).select(*schema.names)
 
     removed, dead = read(f"{state}/removed", REMOVED), read(f"{state}/dead", DEAD)
@@ -145,7 +145,7 @@ def _load(spark, tables, files, raw, feed, stations, mapping, as_of, hours, batc
         store.commit_version(spark, f"{tables.root}/state", number)
         raise
     store.commit_version(spark, f"{tables.root}/state", number)
-    drop_frame(*written)
+    drop_frame(*written, batch_of.split.frame)  # staged and looked-up rows are in the tables now
     return current(spark, tables)
 
 
